@@ -8,6 +8,7 @@ integers so they compare cleanly with the SQL oracle.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,16 @@ from pyspark.sql.types import IntegerType, ShortType, ByteType, TimestampType
 
 from repo_pulse.session import ensure_session_settings
 from repo_pulse.sources import fixtures as fx
+from repo_pulse.functions import discounted_amount, parse_iso_ts, parse_payload, safe_bigint, safe_timestamp
+from repo_pulse.operators import dashboard as dash
 from repo_pulse.operators import lifecycle as lc
 from repo_pulse.operators import mart
+from repo_pulse.operators import quality as dq
 from repo_pulse.operators import staging as stg
+from repo_pulse.operators.dedup import latest_version, version_order
+from repo_pulse.session import new_work_dir
+from repo_pulse.sources import cursors as cur
+from repo_pulse.sources import landing
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -179,5 +187,344 @@ def q_mart(spark, d):
     return mart.mart_repo_health_daily(fact_pr(spark, d), fact_issue(spark, d), AS_OF)
 
 
+# ---------------------------------------------------------------- landing, raw, JSON
+
+def _typed_number_updated(df: DataFrame) -> DataFrame:
+    j = parse_payload(F.col("payload"), "number string, updated_at string")
+    return df.select("*", j.alias("_j")).select(
+        *[c for c in df.columns if c != "payload"],
+        safe_bigint(F.col("_j.number")).alias("pr_number"),
+        safe_timestamp(F.col("_j.updated_at")).alias("updated_at"))
+
+
+# Two landing runs, each stamped with its load date.
+LANDING_RUNS = ((0, dt.date(2024, 2, 29), "run-1"), (1, dt.date(2024, 3, 1), "run-2"))
+
+
+def _land_runs(spark, d) -> str:
+    """Land PR records as two runs (version 0, then the re-delivered version 1)."""
+    root = new_work_dir(spark, "landing-pulls")
+    p = fx.pull_versions(spark, d)
+    for version, load_date, run_id in LANDING_RUNS:
+        env = landing.envelope(p.filter(F.col("v") == version), "pull", load_date,
+                               payload_cols=fx.pull_payload_cols())
+        landing.write_landing(env, root, run_id=run_id)
+    return root
+
+
+@register("scan_landing")
+def q_scan_landing(spark, d):
+    """Scan landed NDJSON runs with the declared envelope schema."""
+    return _typed_number_updated(landing.read_landing(spark, _land_runs(spark, d)).drop("dt", "repo", "run_id"))
+
+
+@register("envelope_build")
+def q_envelope_build(spark, d):
+    """Wrap typed PR records as raw rows stamped with the load date."""
+    p = fx.pull_versions(spark, d)
+    env = landing.envelope(p, "pull", AS_OF, payload_cols=[
+        "number", "title", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at")])
+    return _typed_number_updated(env)
+
+
+@register("landing_roundtrip")
+def q_landing_roundtrip(spark, d):
+    """Partitioned landing (dt/repo/run_id, <= 2000 lines a file), read back."""
+    back = landing.read_landing(spark, _land_runs(spark, d))
+    return _typed_number_updated(back).select(
+        "ingestion_date", "repo_full_name", "event_type", F.col("dt").cast("string").alias("dt"),
+        "repo", "run_id", "pr_number", "updated_at")
+
+
+@register("raw_append")
+def q_raw_append(spark, d):
+    """Two loads appended to one raw table."""
+    path = new_work_dir(spark, "raw-append")
+    raw = fx.pulls_raw(spark, d)
+    landing.append_raw(raw.filter(F.col("ingestion_date") < F.lit(fx.SPLIT_DATE)), path)
+    landing.append_raw(raw.filter(F.col("ingestion_date") >= F.lit(fx.SPLIT_DATE)), path)
+    return _typed_number_updated(spark.read.parquet(path))
+
+
+@register("json_scalar_paths")
+def q_json_scalar_paths(spark, d):
+    """Scalar strings at top-level and nested paths, every version."""
+    return stg.parse_pulls(fx.pulls_raw(spark, d)).select(
+        "ingestion_date", "repo_full_name", "pr_number", "pull_request_node_id", "pull_request_title",
+        "pull_request_url", "base_branch", "head_branch", "author_login")
+
+
+@register("safe_casts")
+def q_safe_casts(spark, d):
+    """P5: safe bigint / bool / timestamp casts, every version."""
+    return stg.parse_pulls(fx.pulls_raw(spark, d)).select(
+        "ingestion_date", "repo_full_name", "pr_number", "pull_request_id", "is_draft", "author_id",
+        "additions_count", "commits_count", "created_at", "updated_at", "closed_at", "merged_at")
+
+
+@register("parse_iso_ts")
+def q_parse_iso_ts(spark, d):
+    """Strict ISO-8601 'Z' parse of issue feed timestamps (with fractions)."""
+    raw = fx.issues_raw(spark, d)
+    j = parse_payload(F.col("payload"), "number string, updated_at string")
+    return raw.select("ingestion_date", "repo_full_name", j.alias("j")).select(
+        "ingestion_date", "repo_full_name", safe_bigint(F.col("j.number")).alias("issue_number"),
+        parse_iso_ts(F.col("j.updated_at")).alias("updated_at"))
+
+
+@register("latest_version")
+def q_latest_version(spark, d):
+    """Latest version per (repo, review_id); NULL updated_at sorts last."""
+    r = stg.parse_reviews(fx.reviews_raw(spark, d)).filter(F.col("review_id").isNotNull())
+    return latest_version(r, ["repo_full_name", "review_id"], version_order()).select(
+        "repo_full_name", "review_id", "ingestion_date", "updated_at", "review_state", "pr_number")
+
+
+def _pull_feed(spark, d):
+    return stg.parse_pulls(fx.pulls_raw(spark, d)).select(
+        "repo_full_name", "pr_number", "updated_at", "ingestion_date")
+
+
+@register("full_load")
+def q_full_load(spark, d):
+    """No cursor, every feed row (NULL updated_at kept)."""
+    return cur.full_load(_pull_feed(spark, d))
+
+
+@register("split_issue_feed")
+def q_split_issue_feed(spark, d):
+    """Issue rows of the mixed feed (``pull_request`` absent)."""
+    return stg.parse_issues(fx.issues_raw(spark, d)).select(
+        "ingestion_date", "repo_full_name", "issue_number", "updated_at")
+
+
+@register("json_array_length")
+def q_json_array_length(spark, d):
+    """Label array length, missing / null -> 0."""
+    return stg.parse_issues(fx.issues_raw(spark, d)).select(
+        "ingestion_date", "repo_full_name", "issue_number", "updated_at", "labels_count")
+
+
+@register("labels_csv")
+def q_labels_csv(spark, d):
+    """Named labels joined by ',' in order; '' when none."""
+    return stg.parse_issues(fx.issues_raw(spark, d)).select(
+        "ingestion_date", "repo_full_name", "issue_number", "updated_at", "labels_csv")
+
+
+@register("review_pr_number")
+def q_review_pr_number(spark, d):
+    """PR number from the column, else from the review's PR URL."""
+    return stg.parse_reviews(fx.reviews_raw(spark, d)).select(
+        "ingestion_date", "repo_full_name", "review_id", "pr_number", "updated_at")
+
+
+@register("pr_left_join_reviews")
+def q_pr_left_join_reviews(spark, d):
+    """Every PR with its review aggregate, if any."""
+    p = pulls(spark, d).select("repo_full_name", "pr_number", "created_at")
+    r = lc.reviews_agg(reviews(spark, d)).select(
+        "repo_full_name", "pr_number", "first_review_at", "review_count", "unique_reviewer_count")
+    return p.join(r, ["repo_full_name", "pr_number"], "left")
+
+
+# ---------------------------------------------------------------- cursors, gate, freshness
+
+def _lookup(spark, d, entity, feed):
+    return cur.cursor_lookup(fx.cursors(spark, d), entity, feed, fx.CURSOR_NOW)
+
+
+def _changed_prs(spark, d, entity):
+    feed = _pull_feed(spark, d)
+    return cur.changed_since_cursor(feed, _lookup(spark, d, entity, feed))
+
+
+def _watermarks(spark, d):
+    pulls_wm = cur.watermark_max(_changed_prs(spark, d, "pulls"), "pulls")
+    ifeed = stg.parse_issues(fx.issues_raw(spark, d)).select("repo_full_name", "issue_number", "updated_at")
+    issues_wm = cur.watermark_max(cur.changed_since_cursor(ifeed, _lookup(spark, d, "issues", ifeed)), "issues")
+    reviews_wm = cur.watermark_max(_changed_prs(spark, d, "pr_reviews"), "pr_reviews")
+    return pulls_wm.unionByName(issues_wm).unionByName(reviews_wm)
+
+
+def _upserted(spark, d):
+    return cur.cursor_upsert(fx.cursors(spark, d), _watermarks(spark, d), fx.CURSOR_NOW)
+
+
+@register("cursor_lookup")
+def q_cursor_lookup(spark, d):
+    """Since-timestamp per entity and repo, with the 7-day fallback."""
+    feed = _pull_feed(spark, d)
+    out = None
+    for e in fx.ENTITIES:
+        part = _lookup(spark, d, e, feed)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("changed_since_cursor")
+def q_changed_since_cursor(spark, d):
+    """PR feed rows at or after their repo's cursor."""
+    return _changed_prs(spark, d, "pulls")
+
+
+@register("reviews_of_changed_prs")
+def q_reviews_of_changed_prs(spark, d):
+    """All reviews of the PRs changed since the reviews cursor."""
+    rv = stg.parse_reviews(fx.reviews_raw(spark, d)).select(
+        "repo_full_name", "pr_number", "review_id", "ingestion_date", "updated_at")
+    return cur.reviews_of_changed_prs(rv, _changed_prs(spark, d, "pr_reviews"))
+
+
+@register("watermark_max")
+def q_watermark_max(spark, d):
+    """New high-water mark per entity and repo."""
+    return _watermarks(spark, d)
+
+
+@register("cursor_upsert")
+def q_cursor_upsert(spark, d):
+    """Cursor table after the MERGE of non-NULL watermarks."""
+    return _upserted(spark, d)
+
+
+# Gate scenarios (an empty list means no repo filter).
+GATE_REPOS = {"none": None, "empty": [], "five": [f"org/NATION_{i}" for i in range(1, 6)]}
+
+
+@register("new_data_gate")
+def q_new_data_gate(spark, d):
+    """Cursors updated since the run started, per repo-list scenario."""
+    c = _upserted(spark, d)
+    out = None
+    for name, repos in GATE_REPOS.items():
+        part = cur.new_data_gate(c, fx.ENTITIES, fx.GATE_RUN_START, repos).select(
+            F.lit(name).alias("scenario"), "updated_cursor_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+FRESHNESS_OFFSETS_H = (23, 30, 50)
+
+
+@register("source_freshness")
+def q_source_freshness(spark, d):
+    """Freshness of the three raw sources at now = newest load + 23/30/50 h."""
+    sources = {"github_pulls_raw": fx.pulls_raw(spark, d), "github_issues_raw": fx.issues_raw(spark, d),
+               "github_pr_reviews_raw": fx.reviews_raw(spark, d)}
+    newest = None
+    for df in sources.values():
+        part = df.select(F.col("ingestion_date").cast("timestamp").alias("t"))
+        newest = part if newest is None else newest.unionByName(part)
+    newest_ts = newest.agg(F.max("t")).scalar()
+    out = None
+    for h in FRESHNESS_OFFSETS_H:
+        part = cur.source_freshness(sources, F.timestamp_add("HOUR", F.lit(h), newest_ts)).select(
+            F.lit(h).cast("bigint").alias("offset_hours"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("discounted_amount")
+def q_discounted_amount(spark, d):
+    """-1 * price * discount as NUMERIC over every line item."""
+    li = fx.table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount",
+                     discounted_amount(F.col("l_extendedprice"), F.col("l_discount")).alias("discounted_amount"))
+
+
+# ---------------------------------------------------------------- quality
+
+def model_tables(spark, d, as_of=AS_OF) -> dict[str, DataFrame]:
+    """All nine models, sharing one staging chain per entity."""
+    sp, si, sr = pulls(spark, d), issues(spark, d), reviews(spark, d)
+    agg = lc.reviews_agg(sr)
+    prl = lc.pr_lifecycle(sp, agg)
+    isl = lc.issue_lifecycle(si, as_of)
+    fp, fi = lc.fact_pr_cycle_time(prl), lc.fact_issue_aging(isl)
+    return {"stg_pulls": sp, "stg_issues": si, "stg_reviews": sr, "int_pr_reviews_agg": agg,
+            "int_pr_lifecycle": prl, "int_issue_lifecycle": isl, "fact_pr_cycle_time": fp,
+            "fact_issue_aging": fi, "mart_repo_health_daily": mart.mart_repo_health_daily(fp, fi, as_of)}
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, d):
+    return dq.not_null_all(model_tables(spark, d))
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, d):
+    return dq.accepted_values_all(model_tables(spark, d))
+
+
+@register("dq_unique_combination")
+def q_dq_unique(spark, d):
+    return dq.unique_all(model_tables(spark, d))
+
+
+@register("dq_expression")
+def q_dq_expression(spark, d):
+    return dq.expressions_all(model_tables(spark, d))
+
+
+@register("dq_issue_age")
+def q_dq_issue_age(spark, d):
+    return dq.issue_age_negative(fact_issue(spark, d))
+
+
+@register("dq_cycle_time")
+def q_dq_cycle_time(spark, d):
+    return dq.cycle_time_negative(fact_pr(spark, d))
+
+
+@register("dq_pr_dates")
+def q_dq_pr_dates(spark, d):
+    return dq.pr_dates_invalid(fact_pr(spark, d), AS_OF)
+
+
+@register("dq_review_before_creation")
+def q_dq_review_before_creation(spark, d):
+    return dq.reviews_before_creation(reviews(spark, d), pulls(spark, d))
+
+
+@register("dq_report")
+def q_dq_report(spark, d):
+    return dq.report(model_tables(spark, d), AS_OF)
+
+
+# ---------------------------------------------------------------- dashboard
+
+def _mart(spark, d):
+    return mart.mart_repo_health_daily(fact_pr(spark, d), fact_issue(spark, d), AS_OF)
+
+
+@register("dash_pr_series")
+def q_dash_pr_series(spark, d):
+    return dash.pr_series(_mart(spark, d))
+
+
+@register("dash_issue_series")
+def q_dash_issue_series(spark, d):
+    return dash.issue_series(_mart(spark, d))
+
+
+@register("dash_scorecards")
+def q_dash_scorecards(spark, d):
+    return dash.scorecards(_mart(spark, d))
+
+
+@register("top_stale_repos")
+def q_top_stale_repos(spark, d):
+    return dash.top_stale_repos(_mart(spark, d))
+
+
+DASH_START, DASH_END = dt.date(2024, 1, 1), dt.date(2024, 2, 29)
+
+
+@register("dash_filtered")
+def q_dash_filtered(spark, d):
+    return dash.filtered(_mart(spark, d), DASH_START, DASH_END, GATE_REPOS["five"])
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

@@ -301,5 +301,237 @@ ORACLE: dict[str, str] = {
 }
 
 
+ISSUES_KEPT = """
+issues_kept AS (
+  SELECT * EXCLUDE (src_event_type, src_event_id) FROM issues_typed
+  WHERE NOT (src_event_type = 'error' OR (src_event_type = 'view' AND src_event_id % 50 = 0))
+)"""
+
+CURSORS = """
+cursors AS (
+  SELECT e.entity, concat('org/', n.n_name) AS repo_full_name,
+         CASE WHEN n.n_nationkey % 5 <> 1 THEN TIMESTAMP '1998-01-01' + to_days(n.n_nationkey) END AS last_updated_at,
+         TIMESTAMP '2001-09-10' + to_hours(CAST(n.n_nationkey AS BIGINT)) AS last_success_run,
+         TIMESTAMP '2001-09-10' + to_hours(CAST(n.n_nationkey AS BIGINT)) AS updated_at
+  FROM nation n, (VALUES ('pulls'), ('issues'), ('pr_reviews')) e(entity)
+  WHERE n.n_nationkey % 5 <> 0
+),
+lookup_p AS (
+  SELECT e.entity, r.repo_full_name,
+         coalesce(c.last_updated_at, TIMESTAMP '2001-09-15' - INTERVAL 7 DAY) AS since_ts
+  FROM (SELECT DISTINCT repo_full_name FROM pulls_typed) r
+  CROSS JOIN (VALUES ('pulls'), ('issues'), ('pr_reviews')) e(entity)
+  LEFT JOIN cursors c ON c.entity = e.entity AND c.repo_full_name = r.repo_full_name
+),
+lookup_i AS (
+  SELECT r.repo_full_name,
+         coalesce(c.last_updated_at, TIMESTAMP '2001-09-15' - INTERVAL 7 DAY) AS since_ts
+  FROM (SELECT DISTINCT repo_full_name FROM issues_kept) r
+  LEFT JOIN cursors c ON c.entity = 'issues' AND c.repo_full_name = r.repo_full_name
+),
+changed_pulls AS (
+  SELECT f.repo_full_name, f.pr_number, f.updated_at, f.ingestion_date
+  FROM pulls_typed f JOIN lookup_p l ON l.entity = 'pulls' AND l.repo_full_name = f.repo_full_name
+  WHERE f.updated_at >= l.since_ts
+),
+changed_for_reviews AS (
+  SELECT f.repo_full_name, f.pr_number, f.updated_at
+  FROM pulls_typed f JOIN lookup_p l ON l.entity = 'pr_reviews' AND l.repo_full_name = f.repo_full_name
+  WHERE f.updated_at >= l.since_ts
+),
+changed_issues AS (
+  SELECT f.repo_full_name, f.updated_at
+  FROM issues_kept f JOIN lookup_i l ON l.repo_full_name = f.repo_full_name
+  WHERE f.updated_at >= l.since_ts
+),
+watermarks AS (
+  SELECT 'pulls' AS entity, repo_full_name, max(updated_at) AS max_updated_at FROM changed_pulls GROUP BY 2
+  UNION ALL
+  SELECT 'issues', repo_full_name, max(updated_at) FROM changed_issues GROUP BY 2
+  UNION ALL
+  SELECT 'pr_reviews', repo_full_name, max(updated_at) FROM changed_for_reviews GROUP BY 2
+),
+new_cursors AS (
+  SELECT entity, repo_full_name, max_updated_at AS last_updated_at,
+         TIMESTAMP '2001-09-15' AS last_success_run, TIMESTAMP '2001-09-15' AS updated_at
+  FROM watermarks WHERE max_updated_at IS NOT NULL
+),
+upserted AS (
+  SELECT * FROM cursors c
+  WHERE NOT EXISTS (SELECT 1 FROM new_cursors n WHERE n.entity = c.entity AND n.repo_full_name = c.repo_full_name)
+  UNION ALL
+  SELECT * FROM new_cursors
+)"""
+
+RAW_DATES = """
+raw_dates AS (
+  SELECT 'github_pulls_raw' AS source_name, max(CAST(ingestion_date AS TIMESTAMP)) AS max_loaded_at FROM pulls_typed
+  UNION ALL
+  SELECT 'github_issues_raw', max(CAST(CAST(ts AS DATE) AS TIMESTAMP)) FROM events
+  UNION ALL
+  SELECT 'github_pr_reviews_raw', max(CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP)) FROM lineitem
+),
+fresh AS (
+  SELECT o.h AS offset_hours, r.source_name, r.max_loaded_at,
+         date_sub('second', r.max_loaded_at, (SELECT max(max_loaded_at) FROM raw_dates) + to_hours(o.h)) AS age_s
+  FROM raw_dates r, (VALUES (23), (30), (50)) o(h)
+)"""
+
+
+def _not_null_sql() -> str:
+    from repo_pulse.operators.quality import NOT_NULL
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS failing_rows FROM {t}"
+        for t, cols in NOT_NULL.items() for c in cols)
+
+
+def _accepted_sql() -> str:
+    from repo_pulse.operators.quality import ACCEPTED_VALUES
+    parts = []
+    for (t, c), vals in ACCEPTED_VALUES.items():
+        lst = ", ".join(f"'{v}'" for v in vals)
+        parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                     f"CAST(count_if({c} IS NOT NULL AND {c} NOT IN ({lst})) AS BIGINT) AS failing_rows FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _unique_sql() -> str:
+    from repo_pulse.operators.quality import UNIQUE_KEYS
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM "
+        f"(SELECT {', '.join(k)} FROM {t} GROUP BY ALL HAVING count(*) > 1)) AS failing_rows"
+        for t, k in UNIQUE_KEYS.items())
+
+
+def _expr_sql() -> str:
+    from repo_pulse.operators.quality import EXPRESSIONS
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{e}' AS expression, CAST(count_if(NOT ({e})) AS BIGINT) AS failing_rows FROM {t}"
+        for t, es in EXPRESSIONS.items() for e in es)
+
+
+ISSUE_AGE_BAD = "SELECT * FROM fact_issue_aging WHERE (issue_age_days IS NOT NULL AND issue_age_days < 0) " \
+                "OR (time_to_close_hours IS NOT NULL AND time_to_close_hours < 0)"
+CYCLE_BAD = ("SELECT * FROM fact_pr_cycle_time WHERE (time_to_first_review_hours IS NOT NULL AND "
+             "time_to_first_review_hours < 0) OR (time_to_merge_hours IS NOT NULL AND time_to_merge_hours < 0) "
+             "OR (time_open_hours IS NOT NULL AND time_open_hours < 0)")
+DATES_BAD = ("SELECT * FROM fact_pr_cycle_time WHERE created_at IS NULL OR created_at > CAST({as_of} AS TIMESTAMP) "
+             "OR (updated_at IS NOT NULL AND updated_at < created_at) "
+             "OR (closed_at IS NOT NULL AND closed_at < created_at) "
+             "OR (merged_at IS NOT NULL AND merged_at < created_at)").format(as_of=AS_OF)
+REVIEW_BAD = ("SELECT r.repo_full_name, r.pr_number, r.review_id, r.submitted_at, p.created_at "
+              "FROM stg_reviews r JOIN stg_pulls p ON r.repo_full_name = p.repo_full_name "
+              "AND r.pr_number = p.pr_number WHERE r.submitted_at IS NOT NULL AND p.created_at IS NOT NULL "
+              "AND r.submitted_at < p.created_at")
+
+
+def _report_sql() -> str:
+    return f"""
+SELECT concat('not_null:', column_name) AS check_name, table_name, failing_rows FROM ({_not_null_sql()})
+UNION ALL
+SELECT concat('accepted_values:', column_name), table_name, failing_rows FROM ({_accepted_sql()})
+UNION ALL
+SELECT 'unique_combination', table_name, failing_rows FROM ({_unique_sql()})
+UNION ALL
+SELECT concat('expression_is_true:', expression), table_name, failing_rows FROM ({_expr_sql()})
+UNION ALL
+SELECT 'issue_age_non_negative', 'fact_issue_aging', CAST(count(*) AS BIGINT) FROM ({ISSUE_AGE_BAD})
+UNION ALL
+SELECT 'pr_cycle_time_non_negative', 'fact_pr_cycle_time', CAST(count(*) AS BIGINT) FROM ({CYCLE_BAD})
+UNION ALL
+SELECT 'pr_dates_valid', 'fact_pr_cycle_time', CAST(count(*) AS BIGINT) FROM ({DATES_BAD})
+UNION ALL
+SELECT 'review_after_pr_creation', 'stg_reviews', CAST(count(*) AS BIGINT) FROM ({REVIEW_BAD})
+"""
+
+
+LANDED_DATE = "CASE WHEN v = 0 THEN DATE '2024-02-29' ELSE DATE '2024-03-01' END"
+DASH_REPOS = "('org/NATION_1', 'org/NATION_2', 'org/NATION_3', 'org/NATION_4', 'org/NATION_5')"
+
+ORACLE.update({
+    "scan_landing": _q((PULL_VERSIONS,), f"SELECT {LANDED_DATE} AS ingestion_date, repo_full_name, "
+                       "'pull' AS event_type, pr_number, updated_at FROM pull_versions"),
+    "envelope_build": _q((PULL_VERSIONS,), f"SELECT {AS_OF} AS ingestion_date, repo_full_name, 'pull' AS event_type, "
+                         "pr_number, updated_at FROM pulls_typed"),
+    "landing_roundtrip": _q((PULL_VERSIONS,), f"SELECT {LANDED_DATE} AS ingestion_date, repo_full_name, "
+                            f"'pull' AS event_type, CAST({LANDED_DATE} AS VARCHAR) AS dt, "
+                            "replace(repo_full_name, '/', '__') AS repo, "
+                            "CASE WHEN v = 0 THEN 'run-1' ELSE 'run-2' END AS run_id, pr_number, updated_at "
+                            "FROM pull_versions"),
+    "raw_append": _q((PULL_VERSIONS,), "SELECT ingestion_date, repo_full_name, 'pull' AS event_type, pr_number, "
+                     "updated_at FROM pulls_typed"),
+    "json_scalar_paths": _q((PULL_VERSIONS,), "SELECT ingestion_date, repo_full_name, pr_number, pull_request_node_id, "
+                            "pull_request_title, pull_request_url, base_branch, head_branch, author_login FROM pulls_typed"),
+    "safe_casts": _q((PULL_VERSIONS,), "SELECT ingestion_date, repo_full_name, pr_number, pull_request_id, is_draft, "
+                     "author_id, additions_count, commits_count, created_at, updated_at, closed_at, merged_at "
+                     "FROM pulls_typed"),
+    "parse_iso_ts": _q((ISSUE_VERSIONS,), "SELECT ingestion_date, repo_full_name, issue_number, updated_at "
+                       "FROM issues_typed"),
+    "latest_version": _q((REVIEW_VERSIONS,), "SELECT repo_full_name, review_id, ingestion_date, updated_at, "
+                         "review_state, pr_number FROM stg_reviews"),
+    "full_load": _q((PULL_VERSIONS,), "SELECT repo_full_name, pr_number, updated_at, ingestion_date FROM pulls_typed"),
+    "split_issue_feed": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT ingestion_date, repo_full_name, issue_number, "
+                           "updated_at FROM issues_kept"),
+    "json_array_length": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT ingestion_date, repo_full_name, issue_number, "
+                            "updated_at, labels_count FROM issues_kept"),
+    "labels_csv": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT ingestion_date, repo_full_name, issue_number, updated_at, "
+                     "labels_csv FROM issues_kept"),
+    "review_pr_number": _q((REVIEW_VERSIONS,), "SELECT ingestion_date, repo_full_name, review_id, pr_number, "
+                           "updated_at FROM reviews_typed"),
+    "pr_left_join_reviews": _q((PULL_VERSIONS, REVIEW_VERSIONS, REVIEWS_AGG),
+                               "SELECT p.repo_full_name, p.pr_number, p.created_at, r.first_review_at, r.review_count, "
+                               "r.unique_reviewer_count FROM stg_pulls p LEFT JOIN int_pr_reviews_agg r "
+                               "ON p.repo_full_name = r.repo_full_name AND p.pr_number = r.pr_number"),
+    "cursor_lookup": _q((PULL_VERSIONS, ISSUE_VERSIONS, ISSUES_KEPT, CURSORS), "SELECT * FROM lookup_p"),
+    "changed_since_cursor": _q((PULL_VERSIONS, ISSUE_VERSIONS, ISSUES_KEPT, CURSORS), "SELECT * FROM changed_pulls"),
+    "reviews_of_changed_prs": _q((PULL_VERSIONS, REVIEW_VERSIONS, ISSUE_VERSIONS, ISSUES_KEPT, CURSORS),
+                                 "SELECT r.repo_full_name, r.pr_number, r.review_id, r.ingestion_date, r.updated_at "
+                                 "FROM reviews_typed r WHERE EXISTS (SELECT 1 FROM changed_for_reviews c "
+                                 "WHERE c.repo_full_name = r.repo_full_name AND c.pr_number = r.pr_number)"),
+    "watermark_max": _q((PULL_VERSIONS, ISSUE_VERSIONS, ISSUES_KEPT, CURSORS), "SELECT * FROM watermarks"),
+    "cursor_upsert": _q((PULL_VERSIONS, ISSUE_VERSIONS, ISSUES_KEPT, CURSORS), "SELECT * FROM upserted"),
+    "new_data_gate": _q((PULL_VERSIONS, ISSUE_VERSIONS, ISSUES_KEPT, CURSORS), f"""
+SELECT s.scenario, CAST(count(u.entity) AS BIGINT) AS updated_cursor_count
+FROM (VALUES ('none', FALSE), ('empty', FALSE), ('five', TRUE)) s(scenario, use_list)
+LEFT JOIN upserted u
+  ON u.entity IN ('pulls', 'issues', 'pr_reviews') AND u.updated_at >= TIMESTAMP '2001-09-10 12:00:00'
+ AND (NOT s.use_list OR u.repo_full_name IN {DASH_REPOS})
+GROUP BY s.scenario"""),
+    "source_freshness": _q((PULL_VERSIONS, RAW_DATES), """
+SELECT CAST(offset_hours AS BIGINT) AS offset_hours, source_name, max_loaded_at, age_s / 3600.0 AS age_hours,
+       CASE WHEN age_s > 48 * 3600 THEN 'error' WHEN age_s > 24 * 3600 THEN 'warn' ELSE 'pass' END AS status
+FROM fresh"""),
+    "discounted_amount": """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice, l_discount,
+       CAST(-1 * CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(15,2)) AS DECIMAL(38,9))
+         AS discounted_amount
+FROM lineitem""",
+    "dq_not_null": _q(MART, _not_null_sql()),
+    "dq_accepted_values": _q(MART, _accepted_sql()),
+    "dq_unique_combination": _q(MART, _unique_sql()),
+    "dq_expression": _q(MART, _expr_sql()),
+    "dq_issue_age": _q((*ISSUE_CHAIN, FACT_ISSUE), ISSUE_AGE_BAD),
+    "dq_cycle_time": _q((*PR_CHAIN, FACT_PR), CYCLE_BAD),
+    "dq_pr_dates": _q((*PR_CHAIN, FACT_PR), DATES_BAD),
+    "dq_review_before_creation": _q((PULL_VERSIONS, REVIEW_VERSIONS), REVIEW_BAD),
+    "dq_report": _q(MART, _report_sql()),
+    "dash_pr_series": _q(MART, "SELECT metric_date, CAST(sum(prs_created_count) AS BIGINT) AS prs_created_count, "
+                         "CAST(sum(prs_merged_count) AS BIGINT) AS prs_merged_count "
+                         "FROM mart_repo_health_daily GROUP BY 1"),
+    "dash_issue_series": _q(MART, "SELECT metric_date, CAST(sum(open_issues_count) AS BIGINT) AS open_issues_count, "
+                            "CAST(sum(stale_issues_count) AS BIGINT) AS stale_issues_count "
+                            "FROM mart_repo_health_daily GROUP BY 1"),
+    "dash_scorecards": _q(MART, "SELECT round(avg(avg_time_to_first_review_hours), 4) AS avg_time_to_first_review_hours, "
+                          "round(avg(avg_time_to_merge_hours), 4) AS avg_time_to_merge_hours "
+                          "FROM mart_repo_health_daily"),
+    "top_stale_repos": _q(MART, "SELECT repo_full_name, metric_date, stale_issues_count, open_issues_count "
+                          "FROM mart_repo_health_daily "
+                          "WHERE metric_date = (SELECT max(metric_date) FROM mart_repo_health_daily) "
+                          "ORDER BY stale_issues_count DESC, repo_full_name ASC LIMIT 10"),
+    "dash_filtered": _q(MART, "SELECT * FROM mart_repo_health_daily WHERE metric_date BETWEEN DATE '2024-01-01' "
+                        f"AND DATE '2024-02-29' AND repo_full_name IN {DASH_REPOS}"),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

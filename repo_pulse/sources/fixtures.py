@@ -126,10 +126,9 @@ def issues_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, "issues", build_issues_raw, sf_dir)
 
 
-def build_pulls_raw(spark: SparkSession, sf_dir: str, versions=(0, 1), drop_mod10: bool = False) -> DataFrame:
-    """Raw pulls envelope: ingestion_date, repo_full_name, event_type, payload."""
-    p = pull_versions(spark, sf_dir, versions, drop_mod10)
-    payload = F.struct(
+def pull_payload_cols() -> list:
+    """API-shaped PR record fields over ``pull_versions`` columns."""
+    return [
         "number", "id", "node_id", "state", "title", "draft", "html_url",
         F.struct(F.col("base_ref").alias("ref")).alias("base"),
         F.struct(F.col("head_ref").alias("ref")).alias("head"),
@@ -139,7 +138,13 @@ def build_pulls_raw(spark: SparkSession, sf_dir: str, versions=(0, 1), drop_mod1
         iso_z(F.col("updated_at")).alias("updated_at"),
         iso_z(F.col("closed_at")).alias("closed_at"),
         iso_z(F.col("merged_at")).alias("merged_at"),
-    )
+    ]
+
+
+def build_pulls_raw(spark: SparkSession, sf_dir: str, versions=(0, 1), drop_mod10: bool = False) -> DataFrame:
+    """Raw pulls envelope: ingestion_date, repo_full_name, event_type, payload."""
+    p = pull_versions(spark, sf_dir, versions, drop_mod10)
+    payload = F.struct(*pull_payload_cols())
     return p.select(
         F.to_date("updated_at").alias("ingestion_date"),
         "repo_full_name",
