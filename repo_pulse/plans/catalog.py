@@ -19,6 +19,8 @@ from repo_pulse.session import ensure_session_settings
 from repo_pulse.sources import fixtures as fx
 from repo_pulse.functions import discounted_amount, parse_iso_ts, parse_payload, safe_bigint, safe_timestamp
 from repo_pulse.operators import dashboard as dash
+from repo_pulse.operators import history as hist
+from repo_pulse.operators import upsert as up
 from repo_pulse.operators import lifecycle as lc
 from repo_pulse.operators import mart
 from repo_pulse.operators import quality as dq
@@ -27,6 +29,7 @@ from repo_pulse.operators.dedup import latest_version, version_order
 from repo_pulse.session import new_work_dir
 from repo_pulse.sources import cursors as cur
 from repo_pulse.sources import landing
+from repo_pulse.streaming import streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -526,5 +529,199 @@ def q_dash_filtered(spark, d):
     return dash.filtered(_mart(spark, d), DASH_START, DASH_END, GATE_REPOS["five"])
 
 
+# ---------------------------------------------------------------- incremental, upsert
+
+def _split(raw: DataFrame):
+    """Two arrivals: loads before SPLIT_DATE, then the rest."""
+    first = F.coalesce(F.col("ingestion_date") < F.lit(fx.SPLIT_DATE), F.lit(False))
+    return raw.filter(first), raw.filter(~first)
+
+
+def _incremental(spark, d) -> dict[str, DataFrame]:
+    """Load batch 1 in full, then apply batch 2 incrementally; every step committed."""
+    pb1, pb2 = _split(fx.pulls_raw(spark, d))
+    rb1, rb2 = _split(fx.reviews_raw(spark, d))
+    s = {}
+    s["stg_pulls_1"] = up.commit_version(latest_version(
+        stg.parse_pulls(pb1).filter(F.col("pr_number").isNotNull()), up.PULL_KEY, version_order()), "stg_pulls")
+    s["stg_reviews_1"] = up.commit_version(latest_version(
+        stg.parse_reviews(rb1).filter(F.col("review_id").isNotNull()), up.REVIEW_KEY, version_order()),
+        "stg_reviews")
+    s["agg_1"] = up.commit_version(lc.reviews_agg(
+        s["stg_reviews_1"].filter(F.col("pr_number").isNotNull())), "int_pr_reviews_agg")
+    s["life_1"] = up.commit_version(lc.pr_lifecycle(s["stg_pulls_1"], s["agg_1"]), "int_pr_lifecycle")
+    sr2, changed_by_reviews = up.review_versions_update(s["stg_reviews_1"], rb2)
+    s["changed_by_reviews"] = up.commit_version(changed_by_reviews, "changed_prs")
+    s["stg_reviews_2"] = up.commit_version(sr2, "stg_reviews")
+    sp2, changed_pulls = up.pull_versions_update(s["stg_pulls_1"], pb2)
+    s["changed_pulls"] = up.commit_version(changed_pulls, "changed_pulls")
+    s["stg_pulls_2"] = up.commit_version(sp2, "stg_pulls")
+    s["agg_2"] = up.commit_version(up.reviews_agg_incremental(
+        s["agg_1"], s["stg_reviews_2"], s["changed_by_reviews"]), "int_pr_reviews_agg")
+    s["life_2"] = up.pr_lifecycle_incremental(s["life_1"], s["stg_pulls_2"], s["agg_2"],
+                                              s["changed_pulls"], s["changed_by_reviews"])
+    return s
+
+
+@register("lookback_filter")
+def q_lookback_filter(spark, d):
+    """I1 + R1: rows at or after max(target.updated_at) - 1 day, cut-off applied before the dedup."""
+    pb1, _ = _split(fx.pulls_raw(spark, d))
+    target = up.commit_version(stg.stg_pulls(pb1), "stg_pulls")
+    recent = up.lookback_filter(stg.parse_pulls(fx.pulls_raw(spark, d)), target)
+    return latest_version(recent.filter(F.col("pr_number").isNotNull()), up.PULL_KEY, version_order()).select(
+        "repo_full_name", "pr_number", "updated_at", "ingestion_date", "pull_request_state")
+
+
+@register("upsert_by_key")
+def q_upsert_by_key(spark, d):
+    """Staging table after merging the second arrival by (repo, pr_number)."""
+    return _incremental_pulls(spark, d).drop("_tie")
+
+
+def _incremental_pulls(spark, d):
+    pb1, pb2 = _split(fx.pulls_raw(spark, d))
+    t1 = up.commit_version(latest_version(
+        stg.parse_pulls(pb1).filter(F.col("pr_number").isNotNull()), up.PULL_KEY, version_order()), "stg_pulls")
+    return up.pull_versions_update(t1, pb2)[0]
+
+
+@register("upsert_duplicate_keys")
+def q_upsert_duplicate_keys(spark, d):
+    """Keys a merge would refuse: raw PR versions sharing (repo, pr_number)."""
+    return up.duplicate_keys(stg.parse_pulls(fx.pulls_raw(spark, d)), up.PULL_KEY)
+
+
+@register("reviews_agg_incremental")
+def q_reviews_agg_incremental(spark, d):
+    """I4: incremental review aggregate; equals the full rebuild."""
+    return _incremental(spark, d)["agg_2"]
+
+
+@register("pr_lifecycle_incremental")
+def q_pr_lifecycle_incremental(spark, d):
+    """Incremental PR lifecycle (PR or review changes); equals the full rebuild."""
+    return _incremental(spark, d)["life_2"]
+
+
+@register("schema_sync_upsert")
+def q_schema_sync_upsert(spark, d):
+    """I8: target with a legacy column and without ``head_branch``; result has the source columns."""
+    pb1, pb2 = _split(fx.pulls_raw(spark, d))
+    t1 = up.commit_version(latest_version(
+        stg.parse_pulls(pb1).filter(F.col("pr_number").isNotNull()), up.PULL_KEY, version_order())
+        .drop("head_branch").withColumn("legacy_flag", F.lit(True)), "stg_pulls_old_schema")
+    arrived = stg.parse_pulls(pb2).filter(F.col("pr_number").isNotNull())
+    old = t1.join(arrived.select(*up.PULL_KEY).distinct(), up.PULL_KEY, "left_semi")
+    merged = latest_version(old.unionByName(arrived, allowMissingColumns=True), up.PULL_KEY, version_order())
+    source = merged.select(*arrived.columns)
+    return up.upsert_by_key(t1, source, up.PULL_KEY, sync_schema=True).drop("_tie")
+
+
+@register("partitioned_roundtrip")
+def q_partitioned_roundtrip(spark, d):
+    """Fact table partitioned by created_date, clustered by repo and state;
+    the second arrival rewrites only the partitions it touches."""
+    s = _incremental(spark, d)
+    path = new_work_dir(spark, "fact_pr_cycle_time")
+    first = lc.fact_pr_cycle_time(s["life_1"])
+    (first.sortWithinPartitions("created_date", "repo_full_name", "pull_request_state")
+          .write.mode("overwrite").partitionBy("created_date").parquet(path))
+    keys = s["changed_pulls"].select(*up.PULL_KEY).union(s["changed_by_reviews"].select(*up.PULL_KEY)).distinct()
+    fresh = lc.fact_pr_cycle_time(s["life_2"].join(keys, up.PULL_KEY, "left_semi"))
+    current = spark.read.parquet(path)
+    touched = fresh.select("created_date").union(
+        current.join(keys, up.PULL_KEY, "left_semi").select("created_date")).distinct()
+    rewritten = (current.join(touched, "created_date", "left_semi").join(keys, up.PULL_KEY, "left_anti")
+                 .unionByName(fresh))
+    staged = up.commit_version(rewritten, "fact_pr_partitions")
+    up.overwrite_partitions(staged.select(*first.columns)
+                            .sortWithinPartitions("created_date", "repo_full_name", "pull_request_state"),
+                            path, ["created_date"])
+    return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- history (SCD2)
+
+SNAPSHOT_NOW = dt.datetime(2024, 3, 1, 0, 0, 0)
+HISTORY_AS_OF = dt.datetime(1999, 1, 1, 0, 0, 0)
+
+
+def _history_cols(df: DataFrame) -> DataFrame:
+    return df.select(*hist.HISTORY_COLS)
+
+
+@register("scd2_merge")
+def q_scd2_merge(spark, d):
+    """H1: snapshot of version 0, then of versions 0+1: newer rows close and reopen."""
+    h1 = up.commit_version(hist.scd2_merge(None, pulls(spark, d, versions=(0,)), SNAPSHOT_NOW), "pr_history")
+    return hist.scd2_merge(h1, pulls(spark, d), SNAPSHOT_NOW)
+
+
+@register("scd2_hard_delete")
+def q_scd2_hard_delete(spark, d):
+    """H1: keys missing from the second snapshot are closed at the snapshot time."""
+    h1 = up.commit_version(hist.scd2_merge(None, pulls(spark, d), SNAPSHOT_NOW), "pr_history")
+    return hist.scd2_merge(h1, pulls(spark, d, drop_mod10=True), SNAPSHOT_NOW)
+
+
+@register("scd2_from_history")
+def q_scd2_from_history(spark, d):
+    """H2: validity ranges from every raw version."""
+    return hist.scd2_from_history(stg.parse_pulls(fx.pulls_raw(spark, d)))
+
+
+@register("scd2_as_of")
+def q_scd2_as_of(spark, d):
+    """H3: PR state as it was at 1999-01-01."""
+    return hist.scd2_as_of(hist.scd2_from_history(stg.parse_pulls(fx.pulls_raw(spark, d))), HISTORY_AS_OF)
+
+
+# ---------------------------------------------------------------- streaming
+
+# The issue feed lands as one run per day (dt = that day), in time order.
+FEED_FIRST_DAY, FEED_DAYS = dt.date(2024, 1, 1), 30
+
+
+def _land_issue_days(spark, d, redeliver: bool = False) -> str:
+    """Land the issue feed day by day; with ``redeliver`` every run repeats part of the previous day."""
+    root = new_work_dir(spark, "landing-issues")
+    raw = fx.issues_raw(spark, d)
+    day = F.col("ingestion_date")
+    for i in range(FEED_DAYS):
+        lo = FEED_FIRST_DAY + dt.timedelta(days=i)
+        hi = lo + dt.timedelta(days=1)
+        cond = F.lit(True)
+        if i > 0:
+            cond = cond & (day >= F.lit(lo))
+        if i < FEED_DAYS - 1:
+            cond = cond & (day < F.lit(hi))
+        run = raw.filter(cond)
+        if redeliver and i > 0:
+            prev = lo - dt.timedelta(days=1)
+            ids = F.xxhash64("payload") % 3 == 0
+            run = run.unionByName(raw.filter((day == F.lit(prev)) & ids))
+        landing.write_landing(run, root, run_id=f"run-{i + 1:02d}", load_date=lo)
+    return root
+
+
+@register("stream_latest_version")
+def q_stream_latest_version(spark, d):
+    """ST1: landed issue feed -> staging via foreachBatch merges; equals the batch stg_issues."""
+    return streams.stream_latest_version(spark, _land_issue_days(spark, d))
+
+
+@register("stream_daily_counts")
+def q_stream_daily_counts(spark, d):
+    """ST2: daily issue events per repo, one-day watermark, update mode."""
+    return streams.stream_daily_counts(spark, _land_issue_days(spark, d))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, d):
+    """ST3: re-delivered issue versions dropped within the watermark."""
+    return streams.stream_dedup(spark, _land_issue_days(spark, d, redeliver=True))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

@@ -533,5 +533,53 @@ FROM lineitem""",
 })
 
 
+HIST_COLS = ("concat(repo_full_name, '-', CAST(pr_number AS VARCHAR)) AS snapshot_key, repo_full_name, pr_number, "
+             "pull_request_id, pull_request_state, pull_request_title, author_login, is_draft, created_at, "
+             "updated_at, closed_at, merged_at, "
+             "md5(concat(repo_full_name, '-', CAST(pr_number AS VARCHAR), '|', CAST(updated_at AS VARCHAR))) "
+             "AS version_id, updated_at AS valid_from")
+FROM_HISTORY = f"""
+hist_versions AS (
+  SELECT * FROM pulls_typed
+  WHERE pr_number IS NOT NULL AND updated_at IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY repo_full_name, pr_number, updated_at
+                             ORDER BY ingestion_date DESC NULLS LAST) = 1
+),
+from_history AS (
+  SELECT {HIST_COLS},
+         lead(updated_at) OVER (PARTITION BY repo_full_name, pr_number ORDER BY updated_at) AS valid_to
+  FROM hist_versions
+)"""
+BATCH2_TOUCHED = ("EXISTS (SELECT 1 FROM pulls_typed b WHERE b.ingestion_date >= DATE '2000-01-01' "
+                  "AND b.repo_full_name = s.repo_full_name AND b.pr_number = s.pr_number)")
+
+ORACLE.update({
+    "lookback_filter": _q((PULL_VERSIONS,), "SELECT repo_full_name, pr_number, updated_at, ingestion_date, "
+                          "pull_request_state FROM stg_pulls WHERE updated_at >= (SELECT max(updated_at) "
+                          "FROM pulls_typed WHERE ingestion_date < DATE '2000-01-01') - INTERVAL 1 DAY"),
+    "upsert_by_key": _q((PULL_VERSIONS,), "SELECT * FROM stg_pulls"),
+    "upsert_duplicate_keys": _q((PULL_VERSIONS,), "SELECT repo_full_name, pr_number, CAST(count(*) AS BIGINT) "
+                                "AS n_rows FROM pulls_typed GROUP BY ALL HAVING count(*) > 1"),
+    "reviews_agg_incremental": _q((REVIEW_VERSIONS, REVIEWS_AGG), "SELECT * FROM int_pr_reviews_agg"),
+    "pr_lifecycle_incremental": _q(PR_CHAIN, "SELECT * FROM int_pr_lifecycle"),
+    "schema_sync_upsert": _q((PULL_VERSIONS,), "SELECT s.* REPLACE (CASE WHEN " + BATCH2_TOUCHED +
+                             " THEN s.head_branch END AS head_branch) FROM stg_pulls s"),
+    "partitioned_roundtrip": _q((*PR_CHAIN, FACT_PR), "SELECT * FROM fact_pr_cycle_time"),
+    "scd2_merge": _q((PULL_VERSIONS,), f"SELECT {HIST_COLS}, CASE WHEN v = 0 THEN lead(updated_at) OVER "
+                     "(PARTITION BY repo_full_name, pr_number ORDER BY v) END AS valid_to FROM pull_versions"),
+    "scd2_hard_delete": _q((PULL_VERSIONS,), f"SELECT {HIST_COLS}, CASE WHEN pr_number % 10 = 0 THEN "
+                           "TIMESTAMP '2024-03-01 00:00:00' END AS valid_to FROM stg_pulls"),
+    "scd2_from_history": _q((PULL_VERSIONS, FROM_HISTORY), "SELECT * FROM from_history"),
+    "scd2_as_of": _q((PULL_VERSIONS, FROM_HISTORY), "SELECT * FROM from_history WHERE valid_from <= "
+                     "TIMESTAMP '1999-01-01' AND (valid_to IS NULL OR valid_to > TIMESTAMP '1999-01-01')"),
+    "stream_latest_version": _q((ISSUE_VERSIONS,), "SELECT * FROM stg_issues"),
+    "stream_daily_counts": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT CAST(updated_at AS DATE) AS metric_date, "
+                              "repo_full_name, CAST(count(*) AS BIGINT) AS issue_events_count FROM issues_kept "
+                              "WHERE updated_at IS NOT NULL GROUP BY ALL"),
+    "stream_dedup": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT DISTINCT repo_full_name, issue_number, updated_at, "
+                       "ingestion_date FROM issues_kept WHERE updated_at IS NOT NULL"),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

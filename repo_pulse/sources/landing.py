@@ -40,26 +40,31 @@ def envelope(records: DataFrame, event_type: str, as_of: dt.date,
     return records.select(*cols)
 
 
-def landing_lines(raw: DataFrame) -> DataFrame:
-    """One NDJSON line per raw row, the payload nested as an object."""
+def landing_lines(raw: DataFrame, load_date: dt.date | None = None) -> DataFrame:
+    """One NDJSON line per raw row, the payload nested as an object.
+
+    ``dt`` is the run's load date when given, else the row's ingestion date.
+    """
     fields = [F.col("ingestion_date").cast("string").alias("ingestion_date"), "repo_full_name"]
     if "pr_number" in raw.columns:
         fields.append("pr_number")
     fields += ["event_type", F.parse_json("payload").alias("payload")]
+    day = F.lit(load_date) if load_date else F.col("ingestion_date")
     return raw.select(
-        F.col("ingestion_date").cast("string").alias("dt"),
+        day.cast("string").alias("dt"),
         F.replace(F.col("repo_full_name"), F.lit("/"), F.lit("__")).alias("repo"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_landing(raw: DataFrame, root: str, run_id: str, max_records: int = CHUNK_RECORDS) -> None:
+def write_landing(raw: DataFrame, root: str, run_id: str, max_records: int = CHUNK_RECORDS,
+                  load_date: dt.date | None = None) -> None:
     """Append to ``root/dt=../repo=../run_id=..`` in files of <= max_records lines.
 
     No repartition by (dt, repo): a repo holding a third of the rows would
     land in one task. Each task sorts its rows by partition and writes one
     file at a time; a new run id never touches files of an earlier run.
     """
-    lines = landing_lines(raw).withColumn("run_id", F.lit(run_id))
+    lines = landing_lines(raw, load_date).withColumn("run_id", F.lit(run_id))
     (lines.write.mode("append")
           .option("maxRecordsPerFile", max_records)
           .partitionBy(*PARTITION_COLS)
