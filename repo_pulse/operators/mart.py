@@ -40,6 +40,7 @@ def date_bounds(fact_pr: DataFrame, fact_issue: DataFrame, as_of: dt.date) -> Da
 
 
 def _days(bounds: DataFrame) -> tuple[Column, Column]:
+    """(first day, last day) as scalar subqueries; identical ones are reused by the planner."""
     return bounds.select("min_date").scalar(), bounds.select("max_date").scalar()
 
 

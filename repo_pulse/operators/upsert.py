@@ -77,7 +77,7 @@ def commit_version(df: DataFrame, table: str, partition_by: Sequence[str] | None
     """
     spark = df.sparkSession
     path = new_work_dir(spark, f"table-{table}")
-    out = df
+    out = rebalanced(df, partition_by)
     if cluster_by:
         out = out.sortWithinPartitions(*(list(partition_by or []) + list(cluster_by)))
     w = out.write.mode("overwrite")
@@ -87,9 +87,19 @@ def commit_version(df: DataFrame, table: str, partition_by: Sequence[str] | None
     return spark.read.parquet(path)
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
+    """Group rows of a directory partition into few tasks before a partitioned write.
+
+    The REBALANCE hint lets AQE split a skewed partition value (a day holding
+    a third of the rows) over several tasks and merge small ones, so the
+    write makes few files per directory without one giant task.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 

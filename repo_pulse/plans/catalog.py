@@ -63,80 +63,99 @@ def boundary(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- shared chains
+#
+# Models are tables, as in the warehouse: a query over a model reads the
+# stored upstream model (written once per session into the shared work
+# folder) instead of re-deriving the whole chain in every branch of its plan.
+# The query named after a model computes that model from its inputs.
 
-def pulls(spark, d, **kw):
-    return stg.stg_pulls(fx.pulls_raw(spark, d, **kw))
+def _build_stg_pulls(spark, d):
+    return stg.stg_pulls(fx.pulls_raw(spark, d))
 
 
-def issues(spark, d):
+def _build_stg_issues(spark, d):
     return stg.stg_issues(fx.issues_raw(spark, d))
 
 
-def reviews(spark, d):
+def _build_stg_reviews(spark, d):
     return stg.stg_reviews(fx.reviews_raw(spark, d))
 
 
-def pr_lifecycle(spark, d):
-    return lc.pr_lifecycle(pulls(spark, d), lc.reviews_agg(reviews(spark, d)))
+def _build_agg(spark, d):
+    return lc.reviews_agg(model(spark, d, "stg_reviews"))
 
 
-def issue_lifecycle(spark, d, as_of=AS_OF):
-    return lc.issue_lifecycle(issues(spark, d), as_of)
+def _build_pr_life(spark, d):
+    return lc.pr_lifecycle(model(spark, d, "stg_pulls"), model(spark, d, "int_pr_reviews_agg"))
 
 
-def fact_pr(spark, d):
-    return lc.fact_pr_cycle_time(pr_lifecycle(spark, d))
+def _build_issue_life(spark, d):
+    return lc.issue_lifecycle(model(spark, d, "stg_issues"), AS_OF)
 
 
-def fact_issue(spark, d, as_of=AS_OF):
-    return lc.fact_issue_aging(issue_lifecycle(spark, d, as_of))
+def _build_fact_pr(spark, d):
+    return lc.fact_pr_cycle_time(model(spark, d, "int_pr_lifecycle"))
 
 
-# ---------------------------------------------------------------- staging
+def _build_fact_issue(spark, d):
+    return lc.fact_issue_aging(model(spark, d, "int_issue_lifecycle"))
 
-@register("stg_pulls")
-def q_stg_pulls(spark, d):
-    """M1: latest typed version of every pull request."""
-    return pulls(spark, d)
 
+def _build_mart(spark, d):
+    return mart.mart_repo_health_daily(model(spark, d, "fact_pr_cycle_time"),
+                                       model(spark, d, "fact_issue_aging"), AS_OF)
 
-@register("stg_issues")
-def q_stg_issues(spark, d):
-    """M2: latest typed version of every issue (PRs dropped from the feed)."""
-    return issues(spark, d)
 
+MODEL_BUILDERS = {
+    "stg_pulls": _build_stg_pulls,
+    "stg_issues": _build_stg_issues,
+    "stg_reviews": _build_stg_reviews,
+    "int_pr_reviews_agg": _build_agg,
+    "int_pr_lifecycle": _build_pr_life,
+    "int_issue_lifecycle": _build_issue_life,
+    "fact_pr_cycle_time": _build_fact_pr,
+    "fact_issue_aging": _build_fact_issue,
+    "mart_repo_health_daily": _build_mart,
+}
 
-@register("stg_reviews")
-def q_stg_reviews(spark, d):
-    """M3: latest typed version of every review."""
-    return reviews(spark, d)
 
+def model(spark, d, name) -> DataFrame:
+    """Stored model table (built from stored upstream models on first use)."""
+    return fx.stored(spark, f"model-{name}", MODEL_BUILDERS[name], d)
 
-# ---------------------------------------------------------------- intermediate, facts
 
-@register("int_pr_reviews_agg")
-def q_reviews_agg(spark, d):
-    return lc.reviews_agg(reviews(spark, d))
+def pulls(spark, d, **kw):
+    return stg.stg_pulls(fx.pulls_raw(spark, d, **kw))
+
 
+def fact_pr(spark, d):
+    return model(spark, d, "fact_pr_cycle_time")
 
-@register("int_pr_lifecycle")
-def q_pr_lifecycle(spark, d):
-    return pr_lifecycle(spark, d)
 
+def fact_issue(spark, d):
+    return model(spark, d, "fact_issue_aging")
 
-@register("int_issue_lifecycle")
-def q_issue_lifecycle(spark, d):
-    return issue_lifecycle(spark, d)
 
+# ---------------------------------------------------------------- staging, intermediate, facts
 
-@register("fact_pr_cycle_time")
-def q_fact_pr(spark, d):
-    return fact_pr(spark, d)
+def _model_query(name: str, doc: str) -> None:
+    def q(spark, d):
+        return MODEL_BUILDERS[name](spark, d)
+    q.__doc__ = doc
+    register(name)(q)
 
 
-@register("fact_issue_aging")
-def q_fact_issue(spark, d):
-    return fact_issue(spark, d)
+for _name, _doc in [
+    ("stg_pulls", "M1: latest typed version of every pull request."),
+    ("stg_issues", "M2: latest typed version of every issue (PRs dropped from the feed)."),
+    ("stg_reviews", "M3: latest typed version of every review."),
+    ("int_pr_reviews_agg", "A1: per-PR review counts."),
+    ("int_pr_lifecycle", "M4: PR lifecycle metrics joined with review aggregates."),
+    ("int_issue_lifecycle", "M5: issue close latency, age and stale flag."),
+    ("fact_pr_cycle_time", "M6: PR fact table."),
+    ("fact_issue_aging", "M6b: issue fact table."),
+]:
+    _model_query(_name, _doc)
 
 
 # ---------------------------------------------------------------- mart parts
@@ -186,8 +205,8 @@ def q_stale_issues_daily(spark, d):
 
 @register("mart_repo_health_daily")
 def q_mart(spark, d):
-    """M8: the flagship query."""
-    return mart.mart_repo_health_daily(fact_pr(spark, d), fact_issue(spark, d), AS_OF)
+    """M8: the flagship query, over the stored fact tables."""
+    return _build_mart(spark, d)
 
 
 # ---------------------------------------------------------------- landing, raw, JSON
@@ -325,8 +344,8 @@ def q_review_pr_number(spark, d):
 @register("pr_left_join_reviews")
 def q_pr_left_join_reviews(spark, d):
     """Every PR with its review aggregate, if any."""
-    p = pulls(spark, d).select("repo_full_name", "pr_number", "created_at")
-    r = lc.reviews_agg(reviews(spark, d)).select(
+    p = model(spark, d, "stg_pulls").select("repo_full_name", "pr_number", "created_at")
+    r = model(spark, d, "int_pr_reviews_agg").select(
         "repo_full_name", "pr_number", "first_review_at", "review_count", "unique_reviewer_count")
     return p.join(r, ["repo_full_name", "pr_number"], "left")
 
@@ -438,16 +457,9 @@ def q_discounted_amount(spark, d):
 
 # ---------------------------------------------------------------- quality
 
-def model_tables(spark, d, as_of=AS_OF) -> dict[str, DataFrame]:
-    """All nine models, sharing one staging chain per entity."""
-    sp, si, sr = pulls(spark, d), issues(spark, d), reviews(spark, d)
-    agg = lc.reviews_agg(sr)
-    prl = lc.pr_lifecycle(sp, agg)
-    isl = lc.issue_lifecycle(si, as_of)
-    fp, fi = lc.fact_pr_cycle_time(prl), lc.fact_issue_aging(isl)
-    return {"stg_pulls": sp, "stg_issues": si, "stg_reviews": sr, "int_pr_reviews_agg": agg,
-            "int_pr_lifecycle": prl, "int_issue_lifecycle": isl, "fact_pr_cycle_time": fp,
-            "fact_issue_aging": fi, "mart_repo_health_daily": mart.mart_repo_health_daily(fp, fi, as_of)}
+def model_tables(spark, d) -> dict[str, DataFrame]:
+    """All nine stored models."""
+    return {name: model(spark, d, name) for name in MODEL_BUILDERS}
 
 
 @register("dq_not_null")
@@ -487,7 +499,7 @@ def q_dq_pr_dates(spark, d):
 
 @register("dq_review_before_creation")
 def q_dq_review_before_creation(spark, d):
-    return dq.reviews_before_creation(reviews(spark, d), pulls(spark, d))
+    return dq.reviews_before_creation(model(spark, d, "stg_reviews"), model(spark, d, "stg_pulls"))
 
 
 @register("dq_report")
@@ -498,7 +510,7 @@ def q_dq_report(spark, d):
 # ---------------------------------------------------------------- dashboard
 
 def _mart(spark, d):
-    return mart.mart_repo_health_daily(fact_pr(spark, d), fact_issue(spark, d), AS_OF)
+    return model(spark, d, "mart_repo_health_daily")
 
 
 @register("dash_pr_series")
@@ -625,8 +637,9 @@ def q_partitioned_roundtrip(spark, d):
     s = _incremental(spark, d)
     path = new_work_dir(spark, "fact_pr_cycle_time")
     first = lc.fact_pr_cycle_time(s["life_1"])
-    (first.sortWithinPartitions("created_date", "repo_full_name", "pull_request_state")
-          .write.mode("overwrite").partitionBy("created_date").parquet(path))
+    (up.rebalanced(first, ["created_date"])
+       .sortWithinPartitions("created_date", "repo_full_name", "pull_request_state")
+       .write.mode("overwrite").partitionBy("created_date").parquet(path))
     keys = s["changed_pulls"].select(*up.PULL_KEY).union(s["changed_by_reviews"].select(*up.PULL_KEY)).distinct()
     fresh = lc.fact_pr_cycle_time(s["life_2"].join(keys, up.PULL_KEY, "left_semi"))
     current = spark.read.parquet(path)

@@ -60,12 +60,13 @@ def write_landing(raw: DataFrame, root: str, run_id: str, max_records: int = CHU
                   load_date: dt.date | None = None) -> None:
     """Append to ``root/dt=../repo=../run_id=..`` in files of <= max_records lines.
 
-    No repartition by (dt, repo): a repo holding a third of the rows would
-    land in one task. Each task sorts its rows by partition and writes one
-    file at a time; a new run id never touches files of an earlier run.
+    A plain repartition by (dt, repo) would put a repo holding a third of
+    the rows into one task; the REBALANCE hint lets AQE split such a
+    partition over several tasks and merge small ones. A new run id never
+    touches files of an earlier run.
     """
     lines = landing_lines(raw, load_date).withColumn("run_id", F.lit(run_id))
-    (lines.write.mode("append")
+    (lines.hint("rebalance", "dt", "repo").write.mode("append")
           .option("maxRecordsPerFile", max_records)
           .partitionBy(*PARTITION_COLS)
           .text(root))
