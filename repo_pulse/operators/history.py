@@ -1,7 +1,8 @@
 """H1-H4: slowly-changing (type 2) history of pull request state.
 
-Each version row carries ``version_id = md5(key || '|' || updated_at)``,
-``valid_from = updated_at`` and ``valid_to`` (NULL while current). Ranges
+Each version row carries ``version_id = md5(key || '|' || valid_from)``,
+``valid_from`` (= ``updated_at``, or the reappearance time after a hard
+delete) and ``valid_to`` (NULL while current). Ranges
 of one key never overlap and at most one row per key is open.
 """
 
@@ -47,6 +48,8 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, now: dt.datetime,
     * newer ``updated_at`` -> open version closed at the new ``updated_at``, new one opened;
     * same or older ``updated_at`` -> nothing changes;
     * open key missing from the snapshot -> closed at ``now`` (hard delete).
+    A key that reappears after a hard delete opens at the later of its
+    ``updated_at`` and its last close, so ranges of a key never overlap.
     One full outer join of open versions with the snapshot on the key.
     """
     snap = as_versions(snapshot)
@@ -64,6 +67,12 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, now: dt.datetime,
     old_rows = j.filter(has_o).select(*[F.col("o." + c).alias(c) for c in HISTORY_COLS[:-1]],
                                       old_valid_to.alias("valid_to"))
     new_rows = j.filter(has_s & (~has_o | newer)).select(*[F.col("s." + c).alias(c) for c in HISTORY_COLS])
+    last_close = closed.groupBy("snapshot_key").agg(F.max("valid_to").alias("_last_close"))
+    start = F.greatest(F.col("valid_from"), F.coalesce(F.col("_last_close"), F.col("valid_from")))
+    new_rows = (new_rows.join(last_close, "snapshot_key", "left")
+                .withColumn("valid_from", start)
+                .withColumn("version_id", _version_id(F.col("snapshot_key"), F.col("valid_from")))
+                .select(*HISTORY_COLS))
     return closed.select(*HISTORY_COLS).unionByName(old_rows).unionByName(new_rows)
 
 
