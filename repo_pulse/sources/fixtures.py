@@ -106,11 +106,26 @@ def stored(spark: SparkSession, name: str, build, sf_dir: str, **kw) -> DataFram
     path = _STORED.get(key)
     if path is None:
         path = new_work_dir(spark, f"raw-{name}")
-        build(spark, sf_dir, **kw).write.mode("overwrite").parquet(path)
+        write_table(build(spark, sf_dir, **kw), path)
         _STORED[key] = path
     return spark.read.parquet(path)
 
 
+# Fixed value: rows per stored file cap (keeps files around 1 GB at scale).
+MAX_ROWS_PER_FILE = 1_000_000
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Store a table as one file per core at least, so reads run on every core.
+
+    Round-robin spreading cannot skew on any key; the row cap bounds file size
+    when a table is far larger than the cluster's core count.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    (df.repartition(n).write.mode("overwrite")
+       .option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path))
+
+
 def pulls_raw(spark: SparkSession, sf_dir: str, versions=(0, 1), drop_mod10: bool = False) -> DataFrame:
     """Stored raw pulls table (see ``build_pulls_raw``)."""
     return stored(spark, "pulls", build_pulls_raw, sf_dir, versions=tuple(versions), drop_mod10=drop_mod10)
