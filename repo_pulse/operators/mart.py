@@ -40,16 +40,17 @@ def date_bounds(fact_pr: DataFrame, fact_issue: DataFrame, as_of: dt.date) -> Da
 
 
 def _days(bounds: DataFrame) -> tuple[Column, Column]:
-    """(first day, last day) as scalar subqueries; identical ones are reused by the planner."""
+    """(first day, last day) of a bounds row, as scalar subqueries."""
     return bounds.select("min_date").scalar(), bounds.select("max_date").scalar()
 
 
 def calendar(repos: DataFrame, bounds: DataFrame) -> DataFrame:
-    """J3 + J4: (metric_date, repo) for every repo and every day in bounds.
+    """J3 + J4: (metric_date, repo) for every repo and every day in bounds."""
+    return _calendar(repos, *_days(bounds))
 
-    An empty range (min > max) yields no days instead of a descending one.
-    """
-    lo, hi = _days(bounds)
+
+def _calendar(repos: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """Each repo row expands its own days; an empty range (lo > hi) yields none."""
     days = F.when(lo <= hi, F.sequence(lo, hi))
     return repos.select(F.explode(days).alias("metric_date"), "repo_full_name")
 
@@ -125,14 +126,13 @@ def _issue_rows(fact_issue: DataFrame, stale_days: int) -> DataFrame:
     return e.select(*_row(F.col("repo_full_name"), F.col("day"), d_open=F.col("o"), d_stale=F.col("s")))
 
 
-def _rollup(cal: DataFrame, bounds: DataFrame, parts: list[DataFrame]) -> DataFrame:
+def _rollup(cal: DataFrame, lo: Column, hi: Column, parts: list[DataFrame]) -> DataFrame:
     """One grouped shuffle over calendar + contributions, then running backlog sums.
 
     Contributions with a NULL repo never match a calendar row (equi-join
     semantics), and days outside the calendar fall away, so both are
     filtered before the shuffle.
     """
-    lo, hi = _days(bounds)
     contrib = parts[0]
     for p in parts[1:]:
         contrib = contrib.unionByName(p)
@@ -155,7 +155,7 @@ def _avg(s: str, n: str) -> Column:
 def issue_backlog_daily(fact_issue: DataFrame, cal: DataFrame, bounds: DataFrame,
                         stale_days: int = DEFAULT_STALE_DAYS) -> DataFrame:
     """M7: open and stale issues per (day, repo) over the calendar."""
-    out = _rollup(cal, bounds, [_issue_rows(fact_issue, stale_days)])
+    out = _rollup(cal, *_days(bounds), [_issue_rows(fact_issue, stale_days)])
     return out.select("metric_date", "repo_full_name",
                       F.col("open_issues_count").cast("bigint").alias("open_issues_count"),
                       F.col("stale_issues_count").cast("bigint").alias("stale_issues_count"))
@@ -164,9 +164,12 @@ def issue_backlog_daily(fact_issue: DataFrame, cal: DataFrame, bounds: DataFrame
 def mart_repo_health_daily(fact_pr: DataFrame, fact_issue: DataFrame, as_of: dt.date,
                            stale_days: int = DEFAULT_STALE_DAYS) -> DataFrame:
     """M8: calendar with PR throughput, latency and issue backlog; counts 0 when absent."""
-    bounds = date_bounds(fact_pr, fact_issue, as_of)
-    cal = calendar(repo_list(fact_pr, fact_issue), bounds)
-    out = _rollup(cal, bounds, [_pr_rows(fact_pr), _issue_rows(fact_issue, stale_days)])
+    # The first day is one scalar subquery (a scan of two date columns), used
+    # by both the calendar and the contribution filter; the last day is as_of.
+    lo = date_bounds(fact_pr, fact_issue, as_of).select("min_date").scalar()
+    hi = F.lit(as_of)
+    cal = _calendar(repo_list(fact_pr, fact_issue), lo, hi)
+    out = _rollup(cal, lo, hi, [_pr_rows(fact_pr), _issue_rows(fact_issue, stale_days)])
     return out.select(
         "metric_date", "repo_full_name",
         F.col("n_created").alias("prs_created_count"),
