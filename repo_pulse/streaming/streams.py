@@ -1,11 +1,11 @@
 """ST1-ST3: the batch operators over a file stream of landed NDJSON.
 
-* ST1 ``stream_latest_version``: each micro-batch is merged into the staging
-  table (latest version per key, keyed upsert); the stream checkpoint takes
-  the place of the ingestion cursor.
+* ST1 ``stream_latest_version``: each micro-batch appends its latest version
+  per key; readers take the latest per key (merge on read). The stream
+  checkpoint takes the place of the ingestion cursor.
 * ST2 ``stream_daily_counts``: daily event counts per repo with a one-day
-  watermark (the reference's one-day look-back), update mode, upserted by
-  (day, repo) so the last open day is never withheld.
+  watermark (the reference's one-day look-back), update mode, newest update
+  per (day, repo) wins, so the last open day is never withheld.
 * ST3 ``stream_dedup``: re-delivered rows dropped with
   ``dropDuplicatesWithinWatermark``.
 
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators.dedup import latest_version, version_order
-from repo_pulse.operators.upsert import upsert_by_key
 from repo_pulse.session import new_work_dir
 from repo_pulse.sources.landing import LANDING_SCHEMA
 
@@ -45,51 +44,40 @@ def _run(query, timeout_s: int = STREAM_TIMEOUT_S) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-class _VersionedTable:
-    """Driver-side pointer to the current version of a table written by micro-batches."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.name, self.path = spark, name, None
-
-    def read(self) -> DataFrame | None:
-        return None if self.path is None else self.spark.read.parquet(self.path)
-
-    def commit(self, df: DataFrame) -> None:
-        path = new_work_dir(self.spark, f"stream-{self.name}")
-        df.write.mode("overwrite").parquet(path)
-        self.path = path
-
-
 def stream_latest_version(spark: SparkSession, landing_root: str, keys: Sequence[str] = ("repo_full_name", "issue_number"),
                           max_files_per_trigger: int | None = 50) -> DataFrame:
-    """ST1: landed issue feed -> latest version per key, merged micro-batch by micro-batch."""
-    table = _VersionedTable(spark, "stg-issues")
+    """ST1: landed issue feed -> latest version per key (merge on read).
+
+    Each micro-batch appends only its own latest version per key to an
+    append-only versions table (work proportional to the batch, never to the
+    table); the staging view is the latest version per key over that table,
+    which is the batch operator applied to the same rows.
+    """
     keys = list(keys)
+    versions = new_work_dir(spark, "stream-issue-versions")
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
+    def append(batch: DataFrame, batch_id: int) -> None:
         arrived = stg.parse_issues(batch).filter(F.col("issue_number").isNotNull())
-        cur = table.read()
-        if cur is None:
-            table.commit(latest_version(arrived, keys, version_order()))
-            return
-        old = cur.join(arrived.select(*keys).distinct(), keys, "left_semi")
-        merged = latest_version(old.unionByName(arrived), keys, version_order())
-        table.commit(upsert_by_key(cur, merged, keys, sync_schema=False))
+        (latest_version(arrived, keys, version_order()).withColumn("_batch", F.lit(batch_id))
+         .write.mode("append").parquet(versions))
 
     ckpt = new_work_dir(spark, "ckpt-st1")
     q = (landing_stream(spark, landing_root, max_files_per_trigger).writeStream
-         .foreachBatch(merge).option("checkpointLocation", ckpt)
+         .foreachBatch(append).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).queryName("stream_latest_version").start())
     _run(q)
-    out = table.read()
-    return out.drop("_tie") if out is not None else None
+    return latest_version(spark.read.parquet(versions).drop("_batch"), keys, version_order()).drop("_tie")
 
 
 def stream_daily_counts(spark: SparkSession, landing_root: str, lateness: str = "1 day",
                         max_files_per_trigger: int | None = 50) -> DataFrame:
-    """ST2: issue events per (UTC day of updated_at, repo), watermark ``lateness``."""
-    table = _VersionedTable(spark, "daily-counts")
-    keys = ["window_start", "repo_full_name"]
+    """ST2: issue events per (UTC day of updated_at, repo), watermark ``lateness``.
+
+    Update mode emits the running count of every window a micro-batch
+    touched; those rows are appended with the batch id and the newest row per
+    (window, repo) is the count (merge on read, no table rewrite per batch).
+    """
+    updates = new_work_dir(spark, "stream-daily-counts")
     events = (stg.parse_issues(landing_stream(spark, landing_root, max_files_per_trigger))
               .filter(F.col("updated_at").isNotNull())
               .withWatermark("updated_at", lateness)
@@ -97,17 +85,18 @@ def stream_daily_counts(spark: SparkSession, landing_root: str, lateness: str =
               .agg(F.count(F.lit(1)).alias("issue_events_count"))
               .select(F.col("w.start").alias("window_start"), "repo_full_name", "issue_events_count"))
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        cur = table.read()
-        table.commit(batch if cur is None else upsert_by_key(cur, batch, keys))
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(updates)
 
     ckpt = new_work_dir(spark, "ckpt-st2")
-    q = (events.writeStream.outputMode("update").foreachBatch(merge)
+    q = (events.writeStream.outputMode("update").foreachBatch(append)
          .option("checkpointLocation", ckpt).trigger(availableNow=True)
          .queryName("stream_daily_counts").start())
     _run(q)
-    return table.read().select(F.to_date("window_start").alias("metric_date"), "repo_full_name",
-                               "issue_events_count")
+    newest = latest_version(spark.read.parquet(updates), ["window_start", "repo_full_name"],
+                            [F.col("_batch").desc()])
+    return newest.select(F.to_date("window_start").alias("metric_date"), "repo_full_name",
+                         "issue_events_count")
 
 
 def stream_dedup(spark: SparkSession, landing_root: str, lateness: str = "1 day",
