@@ -660,10 +660,6 @@ SNAPSHOT_NOW = dt.datetime(2024, 3, 1, 0, 0, 0)
 HISTORY_AS_OF = dt.datetime(1999, 1, 1, 0, 0, 0)
 
 
-def _history_cols(df: DataFrame) -> DataFrame:
-    return df.select(*hist.HISTORY_COLS)
-
-
 @register("scd2_merge")
 def q_scd2_merge(spark, d):
     """H1: snapshot of version 0, then of versions 0+1: newer rows close and reopen."""

@@ -4,8 +4,6 @@ import datetime as dt
 import json
 import random
 
-from pyspark.sql import functions as F
-
 from repo_pulse.operators import lifecycle as lc
 from repo_pulse.operators import mart
 from repo_pulse.operators import quality as dq
