@@ -101,7 +101,7 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.n
     b = float(np.log((weight * y).sum() / (weight * (1 - y)).sum()))
     for t in range(1, STEPS + 1):
         z = b + np.bincount(rows, values * w[cols], len(y))
-        g = weight * (1 / (1 + np.exp(-z)) - y)
+        g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         grad = np.append(np.bincount(cols, values * g[rows], width) + L2 * w, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         step = RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
