@@ -1,6 +1,7 @@
 """Driver contract and oracle agreement on the smallest scale."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -25,7 +26,7 @@ def test_every_query_has_a_known_oracle_status():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 60
-    assert set(q) - set(o) == set()
+    assert all(re.match(r"op\d+_|pipeline$", k) for k in set(q) - set(o))
 
 
 def _norm(rows):
