@@ -60,14 +60,14 @@ def high_entropy(run: str, window: int, bits: float) -> list[tuple[int, int]]:
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     for i, c in enumerate(run):
-        n = counts.get(c, 0)
-        total += part[n + 1] - part[n]
-        counts[c] = n + 1
         if i >= window:
             old = run[i - window]
             n = counts[old]
             total += part[n - 1] - part[n]
             counts[old] = n - 1
+        n = counts.get(c, 0)
+        total += part[n + 1] - part[n]
+        counts[c] = n + 1
         if i >= window - 1 and total <= limit:
             start = i - window + 1
             if spans and start <= spans[-1][1]:
