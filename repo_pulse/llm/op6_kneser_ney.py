@@ -43,7 +43,9 @@ QUANTILE = 0.99
 MARGIN = 0.35  # added to the quantile of the log-perplexity
 FOLDS = 10  # one fold of the trusted documents calibrates
 BIN = 1000  # quantiles are read from a histogram of 1/1000 nat
-FLUSH = 1 << 21  # n-grams a task holds before it counts them
+FLUSH = 1 << 19  # n-grams a task holds before it counts them
+TABLE = 1 << 21  # distinct n-grams a task holds before it passes them on
+TRUSTED = 1_000_000  # trusted ids up to this number are broadcast (8 MB); more are joined by a shuffle
 START, END = 0xFFFF, 0xFFFE  # no characters
 
 
@@ -63,25 +65,46 @@ def mask(order: int) -> int:
     return (1 << (16 * order)) - 1 if order < ORDER else -1
 
 
+def _merge(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes with their summed counts."""
+    at = np.argsort(code, kind="stable")
+    code, n = code[at], n[at]
+    first = np.nonzero(np.concatenate(([True], code[1:] != code[:-1])))[0] if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each task: raw n-grams up to FLUSH are merged into at most TABLE distinct ones a language."""
     held: dict[str, list[np.ndarray]] = {}
-    size: dict[str, int] = {}
+    size = 0
+    tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def merge():
+        nonlocal size
+        for lang, parts in held.items():
+            code, n = np.unique(np.concatenate(parts), return_counts=True)
+            if lang in tables:
+                code, n = np.concatenate((tables[lang][0], code)), np.concatenate((tables[lang][1], n))
+            tables[lang] = _merge(code, n)
+        held.clear()
+        size = 0
 
     def out(lang):
-        code, n = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-        size.pop(lang)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(code), pa.string()), pa.array(code), pa.array(n)], names=["lang", "code", "n"])
+        code, n = tables.pop(lang)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(code), pa.string()), pa.array(code), pa.array(n, pa.int64())], names=["lang", "code", "n"])
 
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-            held.setdefault(lang, []).append(codes(text.as_py()))
-            size[lang] = size.get(lang, 0) + len(held[lang][-1])
-            if size[lang] > FLUSH:
-                yield out(lang)
-        if sum(size.values()) > 2 * FLUSH:
-            for lang in list(held):
-                yield out(lang)
-    for lang in list(held):
+            found = codes(text.as_py())
+            held.setdefault(lang, []).append(found)
+            size += len(found)
+            if size > FLUSH:
+                merge()
+                if sum(len(c) for c, _ in tables.values()) > TABLE:
+                    for each in list(tables):
+                        yield out(each)
+    merge()
+    for lang in list(tables):
         yield out(lang)
 
 
@@ -218,13 +241,14 @@ def with_log_perplexity(docs: DataFrame, probs: DataFrame, backs: DataFrame, nam
     shared = docs.sparkSession.sparkContext.broadcast(known)
     text, lang = F.col("text").cast("string"), F.col("lang").cast("string")
     if known.complete:
-        @F.pandas_udf("double")
-        def mean(text: pd.Series, lang: pd.Series) -> pd.Series:
+        @F.arrow_udf("double")
+        def mean(text: pa.Array, lang: pa.Array) -> pa.Array:
             out = []
-            for t, l in zip(text, lang):
+            for t, l in zip(text, lang.to_pylist()):
+                t = t.as_py()
                 total, n, _ = shared.value.score(l, t) if t and l else (math.nan, 1, None)
                 out.append(None if math.isnan(total) else -total / n)
-            return pd.Series(out, dtype="float64")
+            return pa.array(out, pa.float64())
 
         return docs.withColumn(name, mean(text, lang))
 
@@ -270,6 +294,9 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, ma
 
     trusted(doc_id) names the trusted documents.
     """
+    trusted = store(trusted, "trusted")
+    if trusted.count() <= TRUSTED:
+        trusted = F.broadcast(trusted)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     probs, backs = train(base.where(fold != 0).join(trusted, "doc_id", "left_semi"))
