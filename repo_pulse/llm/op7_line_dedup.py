@@ -12,7 +12,7 @@ Lines of fewer than ``MIN_TOKENS`` tokens are left alone.
 
 Scale: a document gives one narrow (leaf, line hash) row per distinct line;
 documents per line and per leaf are pre-aggregated counts. Line texts are
-shuffled only for the leaves that can have a template of several lines, once
+only taken from the leaves that can have a template of several lines, once
 per distinct line, and the tokens of those are counted by (leaf, position,
 token). Nothing is gathered by leaf or line; a line in a third of all
 documents is one pre-aggregated count and an AQE-split join.
@@ -29,7 +29,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -41,6 +40,7 @@ DEPTH = 3
 SIMILAR = 0.7
 MIN_DOCS = 2
 MIN_TOKENS = 5
+LEAVES = 2_000_000  # leaves up to this number are broadcast (16 MB); more are joined by a shuffle
 FIELD = "<*>"
 DIGIT = re.compile(r"[0-9]")
 
@@ -71,10 +71,11 @@ def line_hashes(text: str, depth: int, least: int) -> list[tuple[int, int, str]
     return out
 
 
-def _lines(docs: DataFrame, depth: int, least: int, texts: bool) -> DataFrame:
-    """Distinct lines of each document: (id, key, leaf, line[, masked])."""
+def _lines(docs: DataFrame, depth: int, least: int, texts: bool, leaves=None) -> DataFrame:
+    """Distinct lines of each document: (id, key, leaf, line[, masked]); leaves: broadcast of the only leaves wanted, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = leaves.value if leaves else None
         for b in batches:
             ids, keys, leaf, line, form = [], [], [], [], []
 
@@ -83,7 +84,12 @@ def _lines(docs: DataFrame, depth: int, least: int, texts: bool) -> DataFrame:
                 return pa.RecordBatch.from_arrays(cols + ([pa.array(form, pa.string())] if texts else []), names=["id", "key", "leaf", "line", "masked"][:4 + texts])
 
             for i, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                for at, h, joined in set(filter(None, line_hashes(text.as_py() or "", depth, least))):
+                lines = set(filter(None, line_hashes(text.as_py() or "", depth, least)))
+                if wanted is not None and lines:
+                    lines = list(lines)
+                    paths = np.array([x[0] for x in lines])
+                    lines = [x for x, w in zip(lines, wanted[np.minimum(np.searchsorted(wanted, paths), len(wanted) - 1)] == paths) if w]
+                for at, h, joined in lines:
                     ids.append(i), keys.append(key), leaf.append(at), line.append(h)
                     if texts:
                         form.append(joined)
@@ -109,7 +115,13 @@ def templates(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min
     # leaves where lines of different text together reach min_docs documents
     leaves = per_line.groupBy("leaf").agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs")).where((F.col("kinds") > 1) & (F.col("docs") >= min_docs)).select("leaf")
     leaves = store(leaves, "leaves")
-    texts = _lines(docs, depth, least, True).join(leaves, "leaf", "left_semi").groupBy("leaf", "line").agg(F.first("masked").alias("masked"))
+    n_leaves = leaves.count()
+    if 0 < n_leaves <= LEAVES:  # a proven bound: other lines then never leave their task
+        known = docs.sparkSession.sparkContext.broadcast(np.sort(leaves.toArrow()["leaf"].to_numpy()))
+        texts = _lines(docs, depth, least, True, known)
+    else:
+        texts = _lines(docs, depth, least, True).join(leaves, "leaf", "left_semi")
+    texts = texts.groupBy("leaf", "line").agg(F.first("masked").alias("masked"))
     texts = store(texts.join(per_line.select("leaf", "line", "docs"), ["leaf", "line"]), "texts")
     token = texts.select("leaf", "line", "docs", F.size(F.split("masked", " ")).alias("size"), F.posexplode(F.transform(F.split("masked", " "), lambda t: F.xxhash64(t))).alias("at", "token"))
     token = store(token, "tokens")
@@ -136,15 +148,16 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, depth: int = DEPTH, least: i
     i, k, gone = fresh(docs, "_id"), fresh(docs, "_key"), fresh(docs, "_gone")
     per_doc = per_doc.select(F.coalesce("id", F.lit(-1)).alias(i), F.col("key").alias(k), F.col("gone").alias(gone))
 
-    @F.pandas_udf("string")
-    def without(text: pd.Series, gone: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def without(text: pa.Array, gone: pa.Array) -> pa.Array:
         out = []
         for t, g in zip(text, gone):
-            if t is not None and g is not None:
-                g = set(g.tolist() if isinstance(g, np.ndarray) else g)
-                t = "\n".join(line for line, h in zip(t.split("\n"), line_hashes(t, depth, least)) if h is None or h[1] not in g)
+            t = t.as_py()
+            if t is not None and g.is_valid:
+                drop = set(g.as_py())
+                t = "\n".join(line for line, h in zip(t.split("\n"), line_hashes(t, depth, least)) if h is None or h[1] not in drop)
             out.append(t)
-        return pd.Series(out, dtype="object")
+        return pa.array(out, pa.string())
 
     d = docs.withColumn(i, F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn(k, row_key(docs)).join(per_doc, [i, k], "left")
     if count:
