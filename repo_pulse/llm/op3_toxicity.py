@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,9 +163,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, selected:
     """doc_id, held_out, score, predicted for every document."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample, selected))
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in text], dtype="float64")
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        return pa.array([shared.value.score(t.as_py()) for t in text], pa.float64())
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder(FOLDS) == HELD, F.lit(False)).alias("held_out"), score(F.col("text").cast("string")).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
