@@ -8,10 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: scorecards are shown rounded to this many decimals.
-SCORE_DECIMALS = 4
-
-
 def pr_series(mart: DataFrame) -> DataFrame:
     """PRs created and merged per day over all repos."""
     return mart.groupBy("metric_date").agg(
@@ -29,16 +25,16 @@ def issue_series(mart: DataFrame) -> DataFrame:
 def scorecards(mart: DataFrame) -> DataFrame:
     """D3: unweighted mean over repo-days of the two daily averages (NULL skipped)."""
     return mart.agg(
-        F.round(F.avg("avg_time_to_first_review_hours"), SCORE_DECIMALS).alias("avg_time_to_first_review_hours"),
-        F.round(F.avg("avg_time_to_merge_hours"), SCORE_DECIMALS).alias("avg_time_to_merge_hours"))
+        F.avg("avg_time_to_first_review_hours").alias("avg_time_to_first_review_hours"),
+        F.avg("avg_time_to_merge_hours").alias("avg_time_to_merge_hours"))
 
 
-def top_stale_repos(mart: DataFrame, k: int = 10) -> DataFrame:
-    """Repos by stale issue count on the last day; name breaks ties (top-k)."""
+def top_stale_repos(mart: DataFrame, k: int | None = None) -> DataFrame:
+    """All repos (or the first ``k``) by stale issue count on the last day; name breaks ties."""
     last = mart.agg(F.max("metric_date")).scalar()
-    return (mart.filter(F.col("metric_date") == last)
-            .orderBy(F.col("stale_issues_count").desc(), F.col("repo_full_name").asc())
-            .limit(k)
+    ranked = (mart.filter(F.col("metric_date") == last)
+              .orderBy(F.col("stale_issues_count").desc(), F.col("repo_full_name").asc()))
+    return ((ranked if k is None else ranked.limit(k))
             .select("repo_full_name", "metric_date", "stale_issues_count", "open_issues_count"))
 
 

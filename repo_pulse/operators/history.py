@@ -48,9 +48,12 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, now: dt.datetime,
     * newer ``updated_at`` -> open version closed at the new ``updated_at``, new one opened;
     * same or older ``updated_at`` -> nothing changes;
     * open key missing from the snapshot -> closed at ``now`` (hard delete).
-    A key that reappears after a hard delete opens at the later of its
-    ``updated_at`` and its last close, so ranges of a key never overlap.
-    One full outer join of open versions with the snapshot on the key.
+    A version opens at the latest of its ``updated_at``, the open version's
+    start and the key's last close, and the old one closes there, so ranges of
+    a key never overlap and ``valid_from < valid_to``. A version that would
+    end where it began was never current and leaves the history, so
+    ``version_id`` stays unique. One full outer join of open versions with the
+    snapshot; closed versions are only looked up for keys that have no open one.
     """
     snap = as_versions(snapshot)
     if history is None:
@@ -62,13 +65,18 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, now: dt.datetime,
     has_o, has_s = F.col("o.version_id").isNotNull(), F.col("s.version_id").isNotNull()
     newer = has_o & has_s & (F.col("s.updated_at") > F.col("o.updated_at"))
     ts_now = F.lit(now).cast("timestamp")
-    old_valid_to = (F.when(newer, F.col("s.updated_at"))
-                     .when(has_o & ~has_s & F.lit(invalidate_hard_deletes), ts_now))
+    start = F.greatest(F.col("s.updated_at"), F.col("o.valid_from"))  # NULL open version: the new one's own time
+    old_valid_to = (F.when(newer, start)
+                     .when(has_o & ~has_s & F.lit(invalidate_hard_deletes), F.greatest(ts_now, F.col("o.valid_from"))))
     old_rows = j.filter(has_o).select(*[F.col("o." + c).alias(c) for c in HISTORY_COLS[:-1]],
                                       old_valid_to.alias("valid_to"))
-    new_rows = j.filter(has_s & (~has_o | newer)).select(*[F.col("s." + c).alias(c) for c in HISTORY_COLS])
-    last_close = closed.groupBy("snapshot_key").agg(F.max("valid_to").alias("_last_close"))
-    start = F.greatest(F.col("valid_from"), F.coalesce(F.col("_last_close"), F.col("valid_from")))
+    old_rows = old_rows.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
+    new_rows = j.filter(has_s & (~has_o | newer)).select(
+        *[F.col("s." + c).alias(c) for c in HISTORY_COLS if c != "valid_from"], start.alias("valid_from"), has_o.alias("_open"))
+    unseen = new_rows.filter(~F.col("_open")).select("snapshot_key")
+    last_close = (closed.join(unseen, "snapshot_key", "left_semi")
+                  .groupBy("snapshot_key").agg(F.max("valid_to").alias("_last_close")))
+    start = F.greatest(F.col("valid_from"), F.col("_last_close"))
     new_rows = (new_rows.join(last_close, "snapshot_key", "left")
                 .withColumn("valid_from", start)
                 .withColumn("version_id", _version_id(F.col("snapshot_key"), F.col("valid_from")))

@@ -106,7 +106,7 @@ def parse_issues(raw: DataFrame) -> DataFrame:
         _s("$.user.login").alias("author_login"),
         safe_bigint(j("user.id")).alias("author_id"),
         safe_bigint(j("comments")).alias("comments_count"),
-        F.coalesce(F.size(j("labels")), F.lit(0)).cast("bigint").alias("labels_count"),
+        F.coalesce(F.array_size(j("labels")), F.lit(0)).cast("bigint").alias("labels_count"),
         label_names_csv(j("labels")).alias("labels_csv"),
         safe_timestamp(j("created_at")).alias("created_at"),
         safe_timestamp(j("updated_at")).alias("updated_at"),

@@ -55,12 +55,17 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                  sync_schema: bool = True) -> DataFrame:
-    """I2 + I8: update-or-insert every source row; other target rows kept.
+                  sync_schema: bool = True, check_keys: bool = True) -> DataFrame:
+    """I2 + I3 + I8: update-or-insert every source row; other target rows kept.
+
+    A source that holds a key twice is refused (one aggregate over its keys)
+    unless ``check_keys`` is off because the source is unique by construction.
 
     With ``sync_schema`` the result has exactly the source columns: columns
     new in the source appear (NULL for old rows), vanished ones are dropped.
     """
+    if check_keys:
+        assert_unique_keys(source, keys)
     kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
     if sync_schema:
         return kept.unionByName(source, allowMissingColumns=True).select(*source.columns)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, ShortType, ByteType, TimestampType
 
@@ -263,8 +263,8 @@ def q_raw_append(spark, d):
     """Two loads appended to one raw table."""
     path = new_work_dir(spark, "raw-append")
     raw = fx.pulls_raw(spark, d)
-    landing.append_raw(raw.filter(F.col("ingestion_date") < F.lit(fx.SPLIT_DATE)), path)
-    landing.append_raw(raw.filter(F.col("ingestion_date") >= F.lit(fx.SPLIT_DATE)), path)
+    for part in _split(raw):
+        landing.append_raw(part, path)
     return _typed_number_updated(spark.read.parquet(path))
 
 
@@ -310,7 +310,7 @@ def _pull_feed(spark, d):
 @register("full_load")
 def q_full_load(spark, d):
     """No cursor, every feed row (NULL updated_at kept)."""
-    return cur.full_load(_pull_feed(spark, d))
+    return cur.changed_feed(_pull_feed(spark, d), fx.cursors(spark, d).limit(0), "issues", fx.CURSOR_NOW)
 
 
 @register("split_issue_feed")
@@ -357,14 +357,13 @@ def _lookup(spark, d, entity, feed):
 
 
 def _changed_prs(spark, d, entity):
-    feed = _pull_feed(spark, d)
-    return cur.changed_since_cursor(feed, _lookup(spark, d, entity, feed))
+    return cur.changed_feed(_pull_feed(spark, d), fx.cursors(spark, d), entity, fx.CURSOR_NOW, "lookback")
 
 
 def _watermarks(spark, d):
     pulls_wm = cur.watermark_max(_changed_prs(spark, d, "pulls"), "pulls")
     ifeed = stg.parse_issues(fx.issues_raw(spark, d)).select("repo_full_name", "issue_number", "updated_at")
-    issues_wm = cur.watermark_max(cur.changed_since_cursor(ifeed, _lookup(spark, d, "issues", ifeed)), "issues")
+    issues_wm = cur.watermark_max(cur.changed_feed(ifeed, fx.cursors(spark, d), "issues", fx.CURSOR_NOW, "lookback"), "issues")
     reviews_wm = cur.watermark_max(_changed_prs(spark, d, "pr_reviews"), "pr_reviews")
     return pulls_wm.unionByName(issues_wm).unionByName(reviews_wm)
 
@@ -417,7 +416,7 @@ GATE_REPOS = {"none": None, "empty": [], "five": [f"org/NATION_{i}" for i in ran
 @register("new_data_gate")
 def q_new_data_gate(spark, d):
     """Cursors updated since the run started, per repo-list scenario."""
-    c = _upserted(spark, d)
+    c = up.commit_version(_upserted(spark, d), "ingestion_cursors")  # the scenarios read the small table
     out = None
     for name, repos in GATE_REPOS.items():
         part = cur.new_data_gate(c, fx.ENTITIES, fx.GATE_RUN_START, repos).select(
@@ -434,17 +433,11 @@ def q_source_freshness(spark, d):
     """Freshness of the three raw sources at now = newest load + 23/30/50 h."""
     sources = {"github_pulls_raw": fx.pulls_raw(spark, d), "github_issues_raw": fx.issues_raw(spark, d),
                "github_pr_reviews_raw": fx.reviews_raw(spark, d)}
-    newest = None
-    for df in sources.values():
-        part = df.select(F.col("ingestion_date").cast("timestamp").alias("t"))
-        newest = part if newest is None else newest.unionByName(part)
-    newest_ts = newest.agg(F.max("t")).scalar()
-    out = None
-    for h in FRESHNESS_OFFSETS_H:
-        part = cur.source_freshness(sources, F.timestamp_add("HOUR", F.lit(h), newest_ts)).select(
-            F.lit(h).cast("bigint").alias("offset_hours"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    loads = cur.newest_loads(sources)  # one row per source
+    newest = F.max("max_loaded_at").over(Window.partitionBy(F.lit(1)))
+    loads = loads.withColumn("newest", newest).withColumn(
+        "offset_hours", F.explode(F.array(*[F.lit(h).cast("bigint") for h in FRESHNESS_OFFSETS_H])))
+    return cur.freshness(loads, F.timestamp_add("HOUR", F.col("offset_hours"), F.col("newest")), "offset_hours")
 
 
 @register("discounted_amount")
@@ -525,7 +518,8 @@ def q_dash_issue_series(spark, d):
 
 @register("dash_scorecards")
 def q_dash_scorecards(spark, d):
-    return dash.scorecards(_mart(spark, d))
+    s = dash.scorecards(_mart(spark, d))
+    return s.select(*[F.round(c, 4).alias(c) for c in s.columns])  # compared to 4 places
 
 
 @register("top_stale_repos")
@@ -696,7 +690,7 @@ def _land_issue_days(spark, d, redeliver: bool = False) -> str:
     """Land the issue feed day by day; with ``redeliver`` every run repeats part of the previous day."""
     root = new_work_dir(spark, "landing-issues")
     raw = fx.issues_raw(spark, d)
-    day = F.col("ingestion_date")
+    day = F.coalesce(F.col("ingestion_date"), F.lit(FEED_FIRST_DAY))  # no date: with the first run
     for i in range(FEED_DAYS):
         lo = FEED_FIRST_DAY + dt.timedelta(days=i)
         hi = lo + dt.timedelta(days=1)
@@ -722,13 +716,13 @@ def q_stream_latest_version(spark, d):
 
 @register("stream_daily_counts")
 def q_stream_daily_counts(spark, d):
-    """ST2: daily issue events per repo, one-day watermark, update mode."""
+    """ST2: daily issue events per repo, summed over the micro-batches."""
     return streams.stream_daily_counts(spark, _land_issue_days(spark, d))
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, d):
-    """ST3: re-delivered issue versions dropped within the watermark."""
+    """ST3: re-delivered issue versions once."""
     return streams.stream_dedup(spark, _land_issue_days(spark, d, redeliver=True))
 
 

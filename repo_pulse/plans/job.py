@@ -45,16 +45,24 @@ def _feed(land: DataFrame, key: str, drop_pull_requests: bool = False) -> DataFr
 
 
 def ingest(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Mapping[str, str],
-           cursors: DataFrame, now: dt.datetime) -> DataFrame:
-    """Step 1: landing -> raw (changed rows only); returns the advanced cursor table."""
-    pulls = _feed(landing.read_landing(spark, landing_roots["pulls"]), "pr_number")
-    issues = _feed(landing.read_landing(spark, landing_roots["issues"]), "issue_number", drop_pull_requests=True)
-    reviews = landing.read_landing(spark, landing_roots["pr_reviews"], with_pr_number=True)
+           cursors: DataFrame, now: dt.datetime, first_run: str = "full", runs: Sequence[str] | None = None) -> DataFrame:
+    """Step 1: landing -> raw (changed rows only); returns the advanced cursor table.
+
+    ``first_run`` says what a repo without a cursor loads ("full", or
+    "lookback" for the last days only); ``runs`` reads only those run folders.
+    """
+    def landed(entity: str, with_pr_number: bool = False) -> DataFrame:
+        df = landing.read_landing(spark, landing_roots[entity], with_pr_number)
+        return df.filter(F.col("run_id").isin(list(runs))) if runs else df
+
+    pulls = _feed(landed("pulls"), "pr_number")
+    issues = _feed(landed("issues"), "issue_number", drop_pull_requests=True)
+    reviews = landed("pr_reviews", with_pr_number=True)
     env = ["ingestion_date", "repo_full_name", "event_type", "payload"]
 
-    p_changed = cur.changed_since_cursor(pulls, cur.cursor_lookup(cursors, "pulls", pulls, now))
-    i_changed = cur.changed_since_cursor(issues, cur.cursor_lookup(cursors, "issues", issues, now))
-    prs_for_reviews = cur.changed_since_cursor(pulls, cur.cursor_lookup(cursors, "pr_reviews", pulls, now))
+    p_changed = cur.changed_feed(pulls, cursors, "pulls", now, first_run)
+    i_changed = cur.changed_feed(issues, cursors, "issues", now, first_run)
+    prs_for_reviews = cur.changed_feed(pulls, cursors, "pr_reviews", now, first_run)
     r_changed = cur.reviews_of_changed_prs(reviews, prs_for_reviews)
 
     landing.append_raw(p_changed.select(*env), raw_paths["pulls"])
@@ -93,9 +101,10 @@ def transform(spark: SparkSession, raw_paths: Mapping[str, str], as_of: dt.date,
 
 def run_batch(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Mapping[str, str],
               cursors: DataFrame, as_of: dt.date, now: dt.datetime, run_start: dt.datetime,
-              repos: Sequence[str] | None = None) -> dict[str, DataFrame]:
+              repos: Sequence[str] | None = None, first_run: str = "full",
+              runs: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Steps 1-4. Without new data (gate count 0) the transform is skipped."""
-    new_cursors = ingest(spark, landing_roots, raw_paths, cursors, now)
+    new_cursors = ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs)
     gate = cur.new_data_gate(new_cursors, ENTITIES, run_start, repos).first()["updated_cursor_count"]
     out: dict[str, DataFrame] = {"ingestion_cursors": new_cursors}
     if gate == 0:

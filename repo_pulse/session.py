@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,13 +26,22 @@ BASE_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "repo_pulse") -> SparkSession:
-    """Local session for tests and the bench; on a cluster use the given session."""
+    """The session with the settings above.
+
+    Under spark-submit master, memory and shuffle partitions are the submit's;
+    started as plain Python (tests, bench) it is a local session with one
+    shuffle partition per core.
+    """
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app_name).master(master or f"local[{cpus}]")
+    builder = SparkSession.builder.appName(app_name)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-    builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+    if master or "PYSPARK_GATEWAY_PORT" not in os.environ:
+        builder = builder.master(master or f"local[{cpus}]")
+        builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+        shuffle_partitions = shuffle_partitions or int(cpus)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_session_settings(spark)
@@ -47,8 +57,9 @@ def ensure_session_settings(spark: SparkSession) -> None:
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's checkpoint dir.
 
-    Read from the session; only when nothing is configured (local tests) a
-    folder under the system temp dir is created and registered.
+    Read from the session. A local session without one gets a folder under the
+    system temp dir; on a cluster that folder would differ on every machine,
+    so a missing setting is an error there.
     """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
@@ -56,6 +67,8 @@ def work_root(spark: SparkSession) -> str:
         if d:
             spark.sparkContext.setCheckpointDir(d)
             d = spark.sparkContext.getCheckpointDir() or d
+    if not d and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="repo_pulse-ckpt-")
         spark.sparkContext.setCheckpointDir(d)

@@ -38,9 +38,25 @@ def changed_since_cursor(feed: DataFrame, since: DataFrame) -> DataFrame:
             .drop("since_ts"))
 
 
-def full_load(feed: DataFrame) -> DataFrame:
-    """No cursor -> every row, NULL ``updated_at`` included."""
-    return feed
+def changed_feed(feed: DataFrame, cursors: DataFrame, entity: str, now: dt.datetime, first_run: str = "full",
+                 fallback_days: int = FALLBACK_DAYS) -> DataFrame:
+    """S7 + S8 + S12 in one scan of the feed: rows at or after their repo's cursor.
+
+    The cursor table (one row per entity and repo) is the small side of a left
+    join, so Spark can broadcast it by its own size and the feed is not
+    shuffled. Repos without a cursor: ``first_run="full"`` keeps every row,
+    NULL ``updated_at`` included; ``"lookback"`` keeps the last ``fallback_days``.
+    """
+    if first_run not in ("full", "lookback"):
+        raise ValueError(f"first_run must be 'full' or 'lookback', not {first_run!r}")
+    c = (cursors.filter(F.col("entity") == entity)
+         .select(F.col("repo_full_name").alias("_repo"), F.col("last_updated_at").alias("_since")))
+    joined = feed.join(c, F.col("repo_full_name") == F.col("_repo"), "left")
+    if first_run == "full":
+        keep = F.col("_since").isNull() | (F.col("updated_at") >= F.col("_since"))
+    else:
+        keep = (F.col("updated_at") >= F.coalesce("_since", F.lit(now - dt.timedelta(days=fallback_days)).cast("timestamp"))) & F.col("repo_full_name").isNotNull()
+    return joined.filter(keep).drop("_repo", "_since")
 
 
 def reviews_of_changed_prs(reviews: DataFrame, changed_prs: DataFrame) -> DataFrame:
@@ -87,16 +103,26 @@ def freshness_status(age_seconds: Column, warn_hours: int = WARN_AFTER_HOURS,
              .otherwise(F.lit("pass")))
 
 
-def source_freshness(sources: dict[str, DataFrame], now: Column | dt.datetime) -> DataFrame:
-    """Age of the newest load (DATE -> midnight) per source, and its status."""
-    now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
+def newest_loads(sources: dict[str, DataFrame]) -> DataFrame:
+    """(source_name, max_loaded_at): one aggregate per source; DATE counts as midnight."""
     parts = [df.agg(F.max(F.col("ingestion_date").cast("timestamp")).alias("max_loaded_at"))
                .select(F.lit(name).alias("source_name"), "max_loaded_at")
              for name, df in sources.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    return out
+
+
+def freshness(loads: DataFrame, now: Column | dt.datetime, *keep: str) -> DataFrame:
+    """Age of each newest load at ``now`` and its status; ``keep`` names further columns to carry."""
+    now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now_c)
-    return out.select("source_name", "max_loaded_at",
+    return loads.select(*keep, "source_name", "max_loaded_at",
                       (age / F.lit(3600.0)).alias("age_hours"),
                       freshness_status(age).alias("status"))
+
+
+def source_freshness(sources: dict[str, DataFrame], now: Column | dt.datetime) -> DataFrame:
+    """S17 for raw sources: one scan of one column each."""
+    return freshness(newest_loads(sources), now)

@@ -1,24 +1,24 @@
 """ST1-ST3: the batch operators over a file stream of landed NDJSON.
 
-* ST1 ``stream_latest_version``: each micro-batch appends its latest version
-  per key; readers take the latest per key (merge on read). The stream
-  checkpoint takes the place of the ingestion cursor.
-* ST2 ``stream_daily_counts``: daily event counts per repo with a one-day
-  watermark (the reference's one-day look-back), update mode, newest update
-  per (day, repo) wins, so the last open day is never withheld.
-* ST3 ``stream_dedup``: re-delivered rows dropped with
-  ``dropDuplicatesWithinWatermark``.
-
-All run with ``trigger(availableNow=True)``: every file present at start is
-processed, in order, and the query stops by itself. Files are taken in
-arrival order, so when runs land in event-time order no new row falls behind
-the watermark whatever the micro-batch size; only re-delivered copies may be
-dropped as late, which leaves the result unchanged.
+Each micro-batch writes its own part, computed from the batch alone, and
+readers combine the parts (merge on read), so the result never depends on how
+files are dealt to micro-batches and no row can come too late:
+
+* ST1 ``stream_latest_version``: the batch's latest version per key; readers
+  take the latest per key over all parts.
+* ST2 ``stream_daily_counts``: the batch's counts per (day, repo); readers add
+  them up.
+* ST3 ``stream_dedup``: the batch's distinct rows; readers keep one of each.
+
+A part is a folder named by the batch id and is written over, so a retried
+batch counts once. All run with ``trigger(availableNow=True)`` and stop when
+every file present at the start is processed; a time limit is the caller's
+choice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,94 +26,77 @@ from pyspark.sql import functions as F
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators.dedup import latest_version, version_order
 from repo_pulse.session import new_work_dir
-from repo_pulse.sources.landing import LANDING_SCHEMA
+from repo_pulse.sources.landing import LANDING_SCHEMA, REVIEW_LANDING_SCHEMA
 
-STREAM_TIMEOUT_S = 900
+# entity: (payload parser, key columns)
+ENTITIES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str]]] = {
+    "issues": (stg.parse_issues, ["repo_full_name", "issue_number"]),
+    "pulls": (stg.parse_pulls, ["repo_full_name", "pr_number"]),
+    "pr_reviews": (stg.parse_reviews, ["repo_full_name", "review_id"]),
+}
 
 
-def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LANDING_SCHEMA + ", dt string, repo string, run_id string")
+def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
+                   with_pr_number: bool = False) -> DataFrame:
+    """Landed envelopes as a stream; ``max_files_per_trigger`` bounds a micro-batch, never the result."""
+    schema = REVIEW_LANDING_SCHEMA if with_pr_number else LANDING_SCHEMA
+    reader = spark.readStream.schema(schema + ", dt string, repo string, run_id string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(root).select("ingestion_date", "repo_full_name", "event_type", "payload")
-
-
-def _run(query, timeout_s: int = STREAM_TIMEOUT_S) -> None:
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"stream {query.name} did not finish in {timeout_s}s")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-
-
-def stream_latest_version(spark: SparkSession, landing_root: str, keys: Sequence[str] = ("repo_full_name", "issue_number"),
-                          max_files_per_trigger: int | None = 200) -> DataFrame:
-    """ST1: landed issue feed -> latest version per key (merge on read).
-
-    Each micro-batch appends only its own latest version per key to an
-    append-only versions table (work proportional to the batch, never to the
-    table); the staging view is the latest version per key over that table,
-    which is the batch operator applied to the same rows.
-    """
-    keys = list(keys)
-    versions = new_work_dir(spark, "stream-issue-versions")
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        arrived = stg.parse_issues(batch).filter(F.col("issue_number").isNotNull())
-        (latest_version(arrived, keys, version_order()).withColumn("_batch", F.lit(batch_id))
-         .write.mode("append").parquet(versions))
-
-    ckpt = new_work_dir(spark, "ckpt-st1")
-    q = (landing_stream(spark, landing_root, max_files_per_trigger).writeStream
-         .foreachBatch(append).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).queryName("stream_latest_version").start())
-    _run(q)
-    return latest_version(spark.read.parquet(versions).drop("_batch"), keys, version_order()).drop("_tie")
-
-
-def stream_daily_counts(spark: SparkSession, landing_root: str, lateness: str = "1 day",
-                        max_files_per_trigger: int | None = 200) -> DataFrame:
-    """ST2: issue events per (UTC day of updated_at, repo), watermark ``lateness``.
-
-    Update mode emits the running count of every window a micro-batch
-    touched; those rows are appended with the batch id and the newest row per
-    (window, repo) is the count (merge on read, no table rewrite per batch).
-    """
-    updates = new_work_dir(spark, "stream-daily-counts")
-    events = (stg.parse_issues(landing_stream(spark, landing_root, max_files_per_trigger))
-              .filter(F.col("updated_at").isNotNull())
-              .withWatermark("updated_at", lateness)
-              .groupBy(F.window("updated_at", "1 day").alias("w"), "repo_full_name")
-              .agg(F.count(F.lit(1)).alias("issue_events_count"))
-              .select(F.col("w.start").alias("window_start"), "repo_full_name", "issue_events_count"))
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(updates)
-
-    ckpt = new_work_dir(spark, "ckpt-st2")
-    q = (events.writeStream.outputMode("update").foreachBatch(append)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True)
-         .queryName("stream_daily_counts").start())
-    _run(q)
-    newest = latest_version(spark.read.parquet(updates), ["window_start", "repo_full_name"],
-                            [F.col("_batch").desc()])
-    return newest.select(F.to_date("window_start").alias("metric_date"), "repo_full_name",
-                         "issue_events_count")
-
-
-def stream_dedup(spark: SparkSession, landing_root: str, lateness: str = "1 day",
-                 max_files_per_trigger: int | None = 200) -> DataFrame:
-    """ST3: drop re-delivered issue versions (same repo, number, updated_at) within the watermark."""
-    rows = (stg.parse_issues(landing_stream(spark, landing_root, max_files_per_trigger))
-            .filter(F.col("updated_at").isNotNull())
-            .select("repo_full_name", "issue_number", "updated_at", "ingestion_date")
-            .withWatermark("updated_at", lateness)
-            .dropDuplicatesWithinWatermark(["repo_full_name", "issue_number", "updated_at"]))
-    out = new_work_dir(spark, "stream-dedup")
-    ckpt = new_work_dir(spark, "ckpt-st3")
-    q = (rows.writeStream.format("parquet").outputMode("append").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True)
-         .queryName("stream_dedup").start())
-    _run(q)
-    return spark.read.parquet(out)
+    return reader.json(root).select(*[c.split()[0] for c in schema.split(", ")])
+
+
+def _parts(feed: DataFrame, name: str, part: Callable[[DataFrame], DataFrame], timeout_s: int | None) -> DataFrame:
+    """Run the stream; every micro-batch leaves ``part(batch)`` in a folder of its own."""
+    spark = feed.sparkSession
+    out = new_work_dir(spark, f"stream-{name}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = (feed.writeStream.foreachBatch(write).option("checkpointLocation", new_work_dir(spark, f"ckpt-{name}"))
+         .trigger(availableNow=True).queryName(f"stream_{name}").start())
+    done = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination(), True)[1]
+    if not done:
+        q.stop()
+        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    schema = part(spark.createDataFrame([], feed.schema)).schema
+    return spark.read.schema(schema).parquet(out).select(schema.fieldNames())
+
+
+def stream_latest_version(spark: SparkSession, landing_root: str, entity: str = "issues",
+                          max_files_per_trigger: int | None = None, timeout_s: int | None = None) -> DataFrame:
+    """ST1: landed feed of an entity -> latest version per key; equals the batch staging table."""
+    parse, keys = ENTITIES[entity]
+
+    def part(batch: DataFrame) -> DataFrame:
+        return latest_version(parse(batch).filter(F.col(keys[-1]).isNotNull()), keys, version_order())
+
+    feed = landing_stream(spark, landing_root, max_files_per_trigger, entity == "pr_reviews")
+    found = latest_version(_parts(feed, f"versions-{entity}", part, timeout_s), keys, version_order())
+    return found.drop("_tie")
+
+
+def stream_daily_counts(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None,
+                        timeout_s: int | None = None) -> DataFrame:
+    """ST2: issue events per (UTC day of updated_at, repo), however late they arrive."""
+    def part(batch: DataFrame) -> DataFrame:
+        return (stg.parse_issues(batch).filter(F.col("updated_at").isNotNull())
+                .groupBy(F.to_date("updated_at").alias("metric_date"), "repo_full_name")
+                .agg(F.count(F.lit(1)).alias("issue_events_count")))
+
+    parts = _parts(landing_stream(spark, landing_root, max_files_per_trigger), "daily-counts", part, timeout_s)
+    return parts.groupBy("metric_date", "repo_full_name").agg(F.sum("issue_events_count").alias("issue_events_count"))
+
+
+def stream_dedup(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None,
+                 timeout_s: int | None = None) -> DataFrame:
+    """ST3: re-delivered issue versions (same repo, number, updated_at) once, with their first load date."""
+    keys = ["repo_full_name", "issue_number", "updated_at"]
+
+    def part(batch: DataFrame) -> DataFrame:
+        return (stg.parse_issues(batch).filter(F.col("updated_at").isNotNull())
+                .groupBy(*keys).agg(F.min("ingestion_date").alias("ingestion_date")))
+
+    parts = _parts(landing_stream(spark, landing_root, max_files_per_trigger), "dedup", part, timeout_s)
+    return parts.groupBy(*keys).agg(F.min("ingestion_date").alias("ingestion_date"))
