@@ -47,7 +47,7 @@ LEAF_ROWS = 4096  # rows of a leaf aimed at
 MOST_LEAVES = 4096
 BLOCK_ROWS = 4096
 QUERY_BLOCK = 4096
-TREE_LEAF = 64
+TREE_LEAF = 256
 SEED = 8
 
 
