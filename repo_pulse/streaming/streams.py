@@ -51,6 +51,9 @@ def _parts(feed: DataFrame, name: str, part: Callable[[DataFrame], DataFrame], t
     spark = feed.sparkSession
     out = new_work_dir(spark, f"stream-{name}")
 
+    empty = part(spark.createDataFrame([], feed.schema))
+    empty.write.parquet(f"{out}/batch_id=-1")  # a stream without files has an empty result
+
     def write(batch: DataFrame, batch_id: int) -> None:
         part(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
@@ -60,8 +63,7 @@ def _parts(feed: DataFrame, name: str, part: Callable[[DataFrame], DataFrame], t
     if not done:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-    schema = part(spark.createDataFrame([], feed.schema)).schema
-    return spark.read.schema(schema).parquet(out).select(schema.fieldNames())
+    return spark.read.schema(empty.schema).parquet(out).select(empty.schema.fieldNames())
 
 
 def stream_latest_version(spark: SparkSession, landing_root: str, entity: str = "issues",

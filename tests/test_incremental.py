@@ -52,6 +52,8 @@ def test_upsert_twice_equals_once_and_duplicates_refused(spark):
     assert sorted(tuple(r) for r in once.collect()) == [(1, "a"), (2, "B"), (3, "c")]
     with pytest.raises(up.DuplicateKeyError):
         up.assert_unique_keys(s.unionByName(s), ["k"])
+    with pytest.raises(up.DuplicateKeyError):
+        up.upsert_by_key(t, s.unionByName(s), ["k"])
 
 
 def test_schema_sync_adds_and_drops_columns(spark):
@@ -71,7 +73,9 @@ def test_lookback_cutoff_commutes_with_dedup(spark):
 
 
 def _ranges_ok(h):
-    rows = h.select("snapshot_key", "valid_from", "valid_to").collect()
+    rows = h.select("snapshot_key", "valid_from", "valid_to", "version_id").collect()
+    assert all(r.valid_to is None or r.valid_from < r.valid_to for r in rows)
+    assert len({r.version_id for r in rows}) == len(rows)
     by = {}
     for r in rows:
         by.setdefault(r.snapshot_key, []).append((r.valid_from, r.valid_to))
@@ -98,3 +102,56 @@ def test_scd2_properties_and_reappearance(spark):
     back = h.filter((F.col("pr_number") % 10 == 0) & F.col("valid_to").isNull())
     assert back.count() == full.filter(F.col("pr_number") % 10 == 0).count()
     _ranges_ok(hist.scd2_from_history(stg.parse_pulls(fx.pulls_raw(spark, SF_SMALL))))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_scd2_delete_return_update_cycles(spark, seed):
+    """Random presence and update times per run: ranges stay ordered, disjoint and uniquely named."""
+    import random
+
+    r = random.Random(seed)
+    template = stg.stg_pulls(fx.pulls_raw(spark, SF_SMALL, versions=(0,))).limit(3).collect()
+    schema = stg.stg_pulls(fx.pulls_raw(spark, SF_SMALL, versions=(0,))).schema
+    h = None
+    for run in range(5):
+        now = dt.datetime(2024, 1, 10 + 3 * run)
+        rows = [{**t.asDict(), "updated_at": dt.datetime(2024, 1, r.randint(1, 25))} for t in template if r.random() < 0.6]
+        h = up.commit_version(hist.scd2_merge(h, spark.createDataFrame([tuple(x[f] for f in schema.fieldNames()) for x in rows], schema), now), "t_cycles")
+        _ranges_ok(h)
+
+
+def test_scd2_reappearance_of_the_review(spark):
+    """Updated day 10, deleted day 20, back on day 22 unchanged, then updated as of day 15."""
+    base = stg.stg_pulls(fx.pulls_raw(spark, SF_SMALL, versions=(0,))).limit(1)
+    on = lambda d: base.withColumn("updated_at", F.lit(dt.datetime(2024, 1, d)))
+    h = hist.scd2_merge(None, on(10), dt.datetime(2024, 1, 11))
+    h = up.commit_version(hist.scd2_merge(h, base.limit(0), dt.datetime(2024, 1, 20)), "t_back")
+    h = up.commit_version(hist.scd2_merge(h, on(10), dt.datetime(2024, 1, 22)), "t_back")
+    h = up.commit_version(hist.scd2_merge(h, on(15), dt.datetime(2024, 1, 23)), "t_back")
+    _ranges_ok(h)
+    spans = sorted((x.valid_from.day, x.valid_to.day if x.valid_to else None) for x in h.collect())
+    assert spans == [(10, 20), (20, None)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_labels_count_does_not_depend_on_ansi(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        raw = spark.createDataFrame([("r", '{"number": 1, "labels": [{"name": "a"}]}'), ("r", '{"number": 2}'), ("r", '{"number": 3, "labels": 5}')],
+                                    "repo_full_name string, payload string").selectExpr("DATE '2024-01-01' AS ingestion_date", "repo_full_name", "'issue' AS event_type", "payload")
+        got = {x.issue_number: x.labels_count for x in stg.parse_issues(raw).collect()}
+        assert got == {1: 1, 2: 0, 3: 0}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_first_run_is_full_or_lookback(spark):
+    from repo_pulse.sources import cursors as cur
+
+    now = dt.datetime(2024, 1, 20)
+    feed = spark.createDataFrame([("a", 1, dt.datetime(2023, 1, 1)), ("a", 2, dt.datetime(2024, 1, 19)), ("a", 3, None),
+                                  ("b", 4, dt.datetime(2024, 1, 1)), ("b", 5, dt.datetime(2024, 1, 5))], "repo_full_name string, n int, updated_at timestamp")
+    cursors = spark.createDataFrame([("pulls", "b", dt.datetime(2024, 1, 5))], "entity string, repo_full_name string, last_updated_at timestamp")
+    ids = lambda first: sorted(x.n for x in cur.changed_feed(feed, cursors, "pulls", now, first).collect())
+    assert ids("full") == [1, 2, 3, 5] and ids("lookback") == [2, 5]
