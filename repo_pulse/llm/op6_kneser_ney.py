@@ -137,7 +137,7 @@ def train(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         grams[k] = store(grams[k + 1].groupBy("lang", F.col("code").bitwiseAND(F.lit(mask(k)).cast("long")).alias("code")).agg(F.count("*").alias("a")), "grams")
     lower, backs, probs = None, [], []
     for k in range(1, ORDER + 1):
-        g = grams[k].join(_discounts(grams[k]), "lang")
+        g = grams[k].join(store(_discounts(grams[k]), "discounts"), "lang")  # stored: its size is known, so n-grams stay where they are
         g = g.withColumn("context", F.shiftrightunsigned("code", 16)).withColumn("d", _discount())
         total = g.groupBy("lang", "context").agg(F.sum("a").alias("total"), F.sum("d").alias("left"), F.count("*").alias("kinds"))
         # what discounting takes away is the weight of the lower order
