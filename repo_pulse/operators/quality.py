@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The checks declared on every model.
@@ -117,24 +117,34 @@ def expressions_all(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union([expression_is_true(tables[t], t, e) for t, e in EXPRESSIONS.items() if t in tables])
 
 
+def _issue_age_bad() -> Column:
+    return (F.col("issue_age_days") < 0) | (F.col("time_to_close_hours") < 0)
+
+
 def issue_age_negative(fact_issue: DataFrame) -> DataFrame:
     """Q5: issues with a negative age or close latency."""
-    return fact_issue.filter((F.col("issue_age_days") < 0) | (F.col("time_to_close_hours") < 0))
+    return fact_issue.filter(_issue_age_bad())
+
+
+def _cycle_time_bad() -> Column:
+    return (F.col("time_to_first_review_hours") < 0) | (F.col("time_to_merge_hours") < 0) | (F.col("time_open_hours") < 0)
 
 
 def cycle_time_negative(fact_pr: DataFrame) -> DataFrame:
     """Q6: PRs with a negative review, merge or open time."""
-    return fact_pr.filter((F.col("time_to_first_review_hours") < 0) | (F.col("time_to_merge_hours") < 0)
-                          | (F.col("time_open_hours") < 0))
+    return fact_pr.filter(_cycle_time_bad())
 
 
-def pr_dates_invalid(fact_pr: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Q7: created missing or in the future; updated/closed/merged before created."""
+def _pr_dates_bad(as_of: dt.datetime) -> Column:
     c = F.col("created_at")
     now = F.lit(as_of).cast("timestamp")
-    bad = (c.isNull() | (c > now) | (F.col("updated_at") < c) | (F.col("closed_at") < c)
-           | (F.col("merged_at") < c))
-    return fact_pr.filter(F.coalesce(bad, F.lit(False)))
+    return (c.isNull() | (c > now) | (F.col("updated_at") < c) | (F.col("closed_at") < c)
+            | (F.col("merged_at") < c))
+
+
+def pr_dates_invalid(fact_pr: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Q7: created missing or in the future; updated/closed/merged before created."""
+    return fact_pr.filter(F.coalesce(_pr_dates_bad(as_of), F.lit(False)))
 
 
 def reviews_before_creation(reviews: DataFrame, pulls: DataFrame) -> DataFrame:
@@ -146,12 +156,11 @@ def reviews_before_creation(reviews: DataFrame, pulls: DataFrame) -> DataFrame:
             .select("repo_full_name", "pr_number", "review_id", "submitted_at", "created_at"))
 
 
-def _table_checks(df: DataFrame, table: str) -> DataFrame:
-    """All declared checks of one table in one grouped pass.
+def _table_checks(df: DataFrame, table: str, more: Sequence[tuple[str, Column]] = ()) -> DataFrame:
+    """All declared checks of one table, and ``more`` (name, failing condition) pairs.
 
-    Rows are grouped by the table's unique key (the shuffle the uniqueness
-    check needs anyway); each group carries its row count and per-check
-    failure counts, and one global aggregate sums them. Output rows:
+    Row conditions are one global aggregate: a task sends one row. Only the
+    uniqueness check shuffles, and only the key columns. Output rows:
     (check_name, table_name, failing_rows).
     """
     checks: list[tuple[str, object]] = []
@@ -162,34 +171,26 @@ def _table_checks(df: DataFrame, table: str) -> DataFrame:
             checks.append((f"accepted_values:{c}", F.col(c).isNotNull() & ~F.col(c).isin(list(vals))))
     for e in EXPRESSIONS.get(table, []):
         checks.append((f"expression_is_true:{e}", ~F.expr(e)))
-    keys = UNIQUE_KEYS[table]
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    *[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
-    wide = per_key.agg(F.count_if(F.col("_n") > 1).alias("dup"),
-                       *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(checks))])
-    names = [("unique_combination", "dup")] + [(n, f"c{i}") for i, (n, _) in enumerate(checks)]
-    pairs = ", ".join("'" + n.replace("'", "''") + f"', CAST(`{c}` AS BIGINT)" for n, c in names)
-    return wide.selectExpr(f"stack({len(names)}, {pairs}) AS (check_name, failing_rows)",
-                           f"'{table}' AS table_name")
+    checks += more
+    wide = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
+    pairs = ", ".join("'" + n.replace("'", "''") + f"', `c{i}`" for i, (n, _) in enumerate(checks))
+    out = wide.selectExpr(f"stack({len(checks)}, {pairs}) AS (check_name, failing_rows)", f"'{table}' AS table_name")
+    unique = unique_combination(df, table, UNIQUE_KEYS[table]).withColumn("check_name", F.lit("unique_combination"))
+    return out.unionByName(unique)
 
 
 def report(tables: Mapping[str, DataFrame], as_of: dt.datetime) -> DataFrame:
     """Q9: every check as (check_name, table_name, failing_rows).
 
-    Declared checks cost one grouped pass per table; the four singular
-    tests are filters (and one join) over the facts and staging tables.
+    Each table costs one aggregate over its rows, which the singular tests of
+    the facts share, and one count of its keys; the fourth test is a join.
     """
-    def counted(df: DataFrame, check: str, table: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-            F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), "failing_rows")
-
-    parts = [_table_checks(df, t) for t, df in tables.items() if t in UNIQUE_KEYS]
-    parts += [
-        counted(issue_age_negative(tables["fact_issue_aging"]), "issue_age_non_negative", "fact_issue_aging"),
-        counted(cycle_time_negative(tables["fact_pr_cycle_time"]), "pr_cycle_time_non_negative",
-                "fact_pr_cycle_time"),
-        counted(pr_dates_invalid(tables["fact_pr_cycle_time"], as_of), "pr_dates_valid", "fact_pr_cycle_time"),
-        counted(reviews_before_creation(tables["stg_reviews"], tables["stg_pulls"]),
-                "review_after_pr_creation", "stg_reviews"),
-    ]
+    more = {
+        "fact_issue_aging": [("issue_age_non_negative", _issue_age_bad())],
+        "fact_pr_cycle_time": [("pr_cycle_time_non_negative", _cycle_time_bad()), ("pr_dates_valid", _pr_dates_bad(as_of))],
+    }
+    parts = [_table_checks(df, t, more.get(t, ())) for t, df in tables.items() if t in UNIQUE_KEYS]
+    late = reviews_before_creation(tables["stg_reviews"], tables["stg_pulls"])
+    parts.append(late.agg(F.count(F.lit(1)).alias("failing_rows")).select(
+        F.lit("review_after_pr_creation").alias("check_name"), F.lit("stg_reviews").alias("table_name"), "failing_rows"))
     return _union([p.select("check_name", "table_name", F.col("failing_rows").cast("bigint")) for p in parts])
