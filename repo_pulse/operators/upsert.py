@@ -54,6 +54,15 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"merge source has duplicate key {bad[0].asDict()}")
 
 
+def matching(df: DataFrame, keys_of: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose key is (``left_semi``) or is not (``left_anti``) in ``keys_of``; NULL equals NULL, as in a grouping."""
+    other = keys_of.select(*[F.col(k).alias(f"_match_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_match_{k}"))
+    return df.join(other, same, how)
+
+
 def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   sync_schema: bool = True, check_keys: bool = True) -> DataFrame:
     """I2 + I3 + I8: update-or-insert every source row; other target rows kept.
@@ -66,7 +75,7 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     if check_keys:
         assert_unique_keys(source, keys)
-    kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
+    kept = matching(target, source, keys, "left_anti")
     if sync_schema:
         return kept.unionByName(source, allowMissingColumns=True).select(*source.columns)
     return kept.unionByName(source)
@@ -89,7 +98,7 @@ def commit_version(df: DataFrame, table: str, partition_by: Sequence[str] | None
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # an empty partitioned table has no file to tell its schema
 
 
 def rebalanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
@@ -123,7 +132,7 @@ def review_versions_update(stg_target: DataFrame, new_raw: DataFrame) -> tuple[D
     """
     arrived = stg.parse_reviews(new_raw).filter(F.col("review_id").isNotNull())
     touched = arrived.select(*REVIEW_KEY).distinct()
-    old = stg_target.join(touched, REVIEW_KEY, "left_semi")
+    old = matching(stg_target, touched, REVIEW_KEY)
     merged = latest_version(old.unionByName(arrived), REVIEW_KEY, version_order())
     updated = upsert_by_key(stg_target, merged, REVIEW_KEY, sync_schema=False)
     changed_prs = (old.select("repo_full_name", "pr_number")
@@ -140,30 +149,65 @@ def reviews_agg_incremental(agg_target: DataFrame, stg_reviews_all: DataFrame,
     the recompute yields nothing), as in a full rebuild.
     """
     keys = ["repo_full_name", "pr_number"]
-    current = stg_reviews_all.filter(F.col("pr_number").isNotNull()).join(changed_prs, keys, "left_semi")
-    fresh = lc.reviews_agg(current)
-    kept = agg_target.join(changed_prs, keys, "left_anti")
+    current = stg_reviews_all.filter(F.col("pr_number").isNotNull())
+    fresh = lc.reviews_agg(matching(current, changed_prs, keys))
+    kept = matching(agg_target, changed_prs, keys, "left_anti")
     return kept.unionByName(fresh)
 
 
 PULL_KEY = ["repo_full_name", "pr_number"]
 
 
+ISSUE_KEY = ["repo_full_name", "issue_number"]
+
+
+def _versions_update(stg_target: DataFrame, arrived: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Latest-version table after the parsed rows ``arrived``, and the keys they touch."""
+    arrived = arrived.filter(F.col(keys[1]).isNotNull())
+    touched = arrived.select(*keys).distinct()
+    merged = latest_version(matching(stg_target, touched, keys).unionByName(arrived), keys, version_order())
+    return upsert_by_key(stg_target, merged, keys, sync_schema=False, check_keys=False), touched
+
+
 def pull_versions_update(stg_target: DataFrame, new_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Latest-version table of pulls after a new raw batch, and the arrived PR keys."""
-    arrived = stg.parse_pulls(new_raw).filter(F.col("pr_number").isNotNull())
-    touched = arrived.select(*PULL_KEY).distinct()
-    old = stg_target.join(touched, PULL_KEY, "left_semi")
-    merged = latest_version(old.unionByName(arrived), PULL_KEY, version_order())
-    return upsert_by_key(stg_target, merged, PULL_KEY, sync_schema=False), touched
+    return _versions_update(stg_target, stg.parse_pulls(new_raw), PULL_KEY)
+
+
+def issue_versions_update(stg_target: DataFrame, new_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Latest-version table of issues after a new raw batch, and the arrived issue keys."""
+    return _versions_update(stg_target, stg.parse_issues(new_raw), ISSUE_KEY)
 
 
 def pr_lifecycle_incremental(life_target: DataFrame, stg_pulls_all: DataFrame, agg_all: DataFrame,
                              changed_pulls: DataFrame, changed_prs_by_reviews: DataFrame) -> DataFrame:
     """Refresh PRs that changed themselves OR whose reviews changed."""
     keys = changed_pulls.select(*PULL_KEY).union(changed_prs_by_reviews.select(*PULL_KEY)).distinct()
-    pulls = stg_pulls_all.join(keys, PULL_KEY, "left_semi")
-    fresh = lc.pr_lifecycle(pulls, agg_all.join(keys, PULL_KEY, "left_semi"))
-    kept = life_target.join(keys, PULL_KEY, "left_anti")
-    return kept.unionByName(fresh)
+    fresh = lc.pr_lifecycle(matching(stg_pulls_all, keys, PULL_KEY), matching(agg_all, keys, PULL_KEY))
+    return matching(life_target, keys, PULL_KEY, "left_anti").unionByName(fresh)
+
+
+def fact_pr_incremental(fact_target: DataFrame, life_all: DataFrame, changed: DataFrame) -> DataFrame:
+    """The PR fact after its lifecycle rows of the keys ``changed`` were refreshed."""
+    fresh = lc.fact_pr_cycle_time(matching(life_all, changed, PULL_KEY))
+    return matching(fact_target, changed, PULL_KEY, "left_anti").unionByName(fresh)
+
+
+def issue_lifecycle_incremental(life_target: DataFrame, stg_issues_all: DataFrame, changed: DataFrame,
+                                as_of: dt.date, stale_days: int = lc.DEFAULT_STALE_DAYS) -> DataFrame:
+    """Refresh the issues that arrived; age and stale flag of all others follow ``as_of``.
+
+    The day-dependent columns are functions of the row's own columns, so the
+    rows that stay are re-aged by a projection, without a read of staging.
+    """
+    fresh = lc.issue_lifecycle(matching(stg_issues_all, changed, ISSUE_KEY), as_of, stale_days)
+    kept = matching(life_target, changed, ISSUE_KEY, "left_anti")
+    return lc.issue_lifecycle(kept, as_of, stale_days).unionByName(fresh)
+
 
+def fact_issue_incremental(fact_target: DataFrame, life_all: DataFrame, changed: DataFrame,
+                           as_of: dt.date, stale_days: int = lc.DEFAULT_STALE_DAYS) -> DataFrame:
+    """The issue fact after its lifecycle rows of the keys ``changed`` were refreshed; others are re-aged."""
+    fresh = lc.fact_issue_aging(matching(life_all, changed, ISSUE_KEY))
+    kept = matching(fact_target, changed, ISSUE_KEY, "left_anti")
+    return lc.fact_issue_aging(lc.issue_lifecycle(kept, as_of, stale_days)).unionByName(fresh)

@@ -26,6 +26,7 @@ from repo_pulse.operators import mart
 from repo_pulse.operators import quality as dq
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators.dedup import latest_version, version_order
+from repo_pulse.plans import job
 from repo_pulse.session import new_work_dir
 from repo_pulse.sources import cursors as cur
 from repo_pulse.sources import landing
@@ -610,6 +611,50 @@ def q_pr_lifecycle_incremental(spark, d):
     return _incremental(spark, d)["life_2"]
 
 
+@register("fact_pr_incremental")
+def q_fact_pr_incremental(spark, d):
+    """Incremental PR fact; equals the full rebuild."""
+    s = _incremental(spark, d)
+    keys = s["changed_pulls"].union(s["changed_by_reviews"])
+    return up.fact_pr_incremental(lc.fact_pr_cycle_time(s["life_1"]), up.commit_version(s["life_2"], "int_pr_lifecycle"), keys)
+
+
+FIRST_RUN_AS_OF = AS_OF - dt.timedelta(days=40)  # ages and stale flags of the first run are out of date in the second
+
+
+def _incremental_issues(spark, d) -> dict[str, DataFrame]:
+    b1, b2 = _split(fx.issues_raw(spark, d))
+    v1 = up.commit_version(up.issue_versions_update(stg.parse_issues(b1).limit(0), b1)[0], "issue_versions")
+    s = {"life_1": up.commit_version(lc.issue_lifecycle(v1, FIRST_RUN_AS_OF), "int_issue_lifecycle")}
+    v2, changed = up.issue_versions_update(v1, b2)
+    s["changed"] = up.commit_version(changed, "changed_issues")
+    s["life_2"] = up.issue_lifecycle_incremental(s["life_1"], up.commit_version(v2, "issue_versions"), s["changed"], AS_OF)
+    return s
+
+
+@register("issue_lifecycle_incremental")
+def q_issue_lifecycle_incremental(spark, d):
+    """Incremental issue lifecycle on a later day; equals the full rebuild of that day."""
+    return _incremental_issues(spark, d)["life_2"]
+
+
+@register("fact_issue_incremental")
+def q_fact_issue_incremental(spark, d):
+    """Incremental issue fact on a later day; equals the full rebuild of that day."""
+    s = _incremental_issues(spark, d)
+    return up.fact_issue_incremental(lc.fact_issue_aging(s["life_1"]), up.commit_version(s["life_2"], "int_issue_lifecycle"),
+                                     s["changed"], AS_OF)
+
+
+@register("job_two_runs")
+def q_job_two_runs(spark, d):
+    """The daily mart after two incremental runs of the job; equals the full rebuild."""
+    raws = {"pulls": fx.pulls_raw(spark, d), "issues": fx.issues_raw(spark, d), "pr_reviews": fx.reviews_raw(spark, d)}
+    parts = {k: _split(v) for k, v in raws.items()}
+    first = job.transform_incremental({k: p[0] for k, p in parts.items()}, FIRST_RUN_AS_OF, fact_partitions=None)
+    return job.transform_incremental({k: p[1] for k, p in parts.items()}, AS_OF, first, fact_partitions=None)["mart_repo_health_daily"]
+
+
 @register("schema_sync_upsert")
 def q_schema_sync_upsert(spark, d):
     """I8: target with a legacy column and without ``head_branch``; result has the source columns."""

@@ -8,6 +8,7 @@
 2. gate: count cursors advanced since the run started (one number);
 3. transform: every model written once, as a new table version, in
    dependency order (staging is persisted once and read by all consumers);
+   given the tables of the run before, only keys that arrived are recomputed;
 4. quality: the full check report, written next to the models.
 
 ``snapshot`` merges the current staging pulls into the SCD2 history.
@@ -27,6 +28,7 @@ from repo_pulse.operators import lifecycle as lc
 from repo_pulse.operators import mart
 from repo_pulse.operators import quality as dq
 from repo_pulse.operators import staging as stg
+from repo_pulse.operators import upsert as up
 from repo_pulse.operators.upsert import commit_version
 from repo_pulse.sources import cursors as cur
 from repo_pulse.sources import landing
@@ -51,6 +53,11 @@ def ingest(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Map
     ``first_run`` says what a repo without a cursor loads ("full", or
     "lookback" for the last days only); ``runs`` reads only those run folders.
     """
+    return _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs)[0]
+
+
+def _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The advanced cursors, and the rows that this run appended to each raw table (stored)."""
     def landed(entity: str, with_pr_number: bool = False) -> DataFrame:
         df = landing.read_landing(spark, landing_roots[entity], with_pr_number)
         return df.filter(F.col("run_id").isin(list(runs))) if runs else df
@@ -65,14 +72,18 @@ def ingest(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Map
     prs_for_reviews = cur.changed_feed(pulls, cursors, "pr_reviews", now, first_run)
     r_changed = cur.reviews_of_changed_prs(reviews, prs_for_reviews)
 
-    landing.append_raw(p_changed.select(*env), raw_paths["pulls"])
-    landing.append_raw(i_changed.select(*env), raw_paths["issues"])
-    landing.append_raw(r_changed.select("ingestion_date", "repo_full_name", "pr_number", "event_type", "payload"),
-                       raw_paths["pr_reviews"])
+    new_raw = {
+        "pulls": commit_version(p_changed.select(*env), "arrived_pulls"),
+        "issues": commit_version(i_changed.select(*env), "arrived_issues"),
+        "pr_reviews": commit_version(r_changed.select("ingestion_date", "repo_full_name", "pr_number", "event_type", "payload"),
+                                     "arrived_reviews"),
+    }
+    for entity, rows in new_raw.items():
+        landing.append_raw(rows, raw_paths[entity])
     marks = (cur.watermark_max(p_changed, "pulls")
              .unionByName(cur.watermark_max(i_changed, "issues"))
              .unionByName(cur.watermark_max(prs_for_reviews, "pr_reviews")))
-    return commit_version(cur.cursor_upsert(cursors, marks, now), "ingestion_cursors")
+    return commit_version(cur.cursor_upsert(cursors, marks, now), "ingestion_cursors"), new_raw
 
 
 def transform(spark: SparkSession, raw_paths: Mapping[str, str], as_of: dt.date,
@@ -99,17 +110,69 @@ def transform(spark: SparkSession, raw_paths: Mapping[str, str], as_of: dt.date,
     return t
 
 
+def transform_incremental(new_raw: Mapping[str, DataFrame], as_of: dt.date, state: Mapping[str, DataFrame] | None = None,
+                          stale_days: int = lc.DEFAULT_STALE_DAYS,
+                          fact_partitions: Sequence[str] | None = ("created_date",)) -> dict[str, DataFrame]:
+    """Step 3 from the rows that arrived and the tables of the run before (none: first run).
+
+    Only keys that arrived, and PRs whose reviews did, are recomputed; the
+    result equals ``transform`` over all raw rows. ``pull_versions``,
+    ``issue_versions`` and ``review_versions`` are the latest versions with
+    the hash that settles ties against later arrivals. ``fact_partitions``:
+    None writes the facts unpartitioned (small tables over many days).
+    """
+    def before(name: str, like: DataFrame) -> DataFrame:
+        return state[name] if state else like.limit(0)
+
+    t: dict[str, DataFrame] = {}
+    changed: dict[str, DataFrame] = {}
+    for name, parse, update, raw in (("pull_versions", stg.parse_pulls, up.pull_versions_update, "pulls"),
+                                     ("issue_versions", stg.parse_issues, up.issue_versions_update, "issues"),
+                                     ("review_versions", stg.parse_reviews, up.review_versions_update, "pr_reviews")):
+        table, keys = update(before(name, parse(new_raw[raw])), new_raw[raw])
+        t[name], changed[raw] = commit_version(table, name), commit_version(keys, f"changed_{raw}")
+    t["stg_pulls"], t["stg_issues"] = t["pull_versions"].drop("_tie"), t["issue_versions"].drop("_tie")
+    t["stg_reviews"] = t["review_versions"].filter(F.col("pr_number").isNotNull()).drop("_tie")
+    t["int_pr_reviews_agg"] = commit_version(up.reviews_agg_incremental(
+        before("int_pr_reviews_agg", lc.reviews_agg(t["stg_reviews"])), t["stg_reviews"], changed["pr_reviews"]),
+        "int_pr_reviews_agg", cluster_by=["repo_full_name"])
+    t["int_pr_lifecycle"] = commit_version(up.pr_lifecycle_incremental(
+        before("int_pr_lifecycle", lc.pr_lifecycle(t["stg_pulls"], t["int_pr_reviews_agg"])), t["stg_pulls"],
+        t["int_pr_reviews_agg"], changed["pulls"], changed["pr_reviews"]),
+        "int_pr_lifecycle", cluster_by=["repo_full_name", "pull_request_state"])
+    t["int_issue_lifecycle"] = commit_version(up.issue_lifecycle_incremental(
+        before("int_issue_lifecycle", lc.issue_lifecycle(t["stg_issues"], as_of, stale_days)), t["stg_issues"],
+        changed["issues"], as_of, stale_days), "int_issue_lifecycle", cluster_by=["repo_full_name", "issue_state"])
+    prs = changed["pulls"].union(changed["pr_reviews"])
+    t["fact_pr_cycle_time"] = commit_version(up.fact_pr_incremental(
+        before("fact_pr_cycle_time", lc.fact_pr_cycle_time(t["int_pr_lifecycle"])), t["int_pr_lifecycle"], prs),
+        "fact_pr_cycle_time", partition_by=fact_partitions, cluster_by=["repo_full_name", "pull_request_state"])
+    t["fact_issue_aging"] = commit_version(up.fact_issue_incremental(
+        before("fact_issue_aging", lc.fact_issue_aging(t["int_issue_lifecycle"])), t["int_issue_lifecycle"],
+        changed["issues"], as_of, stale_days),
+        "fact_issue_aging", partition_by=fact_partitions, cluster_by=["repo_full_name", "issue_state"])
+    t["mart_repo_health_daily"] = commit_version(
+        mart.mart_repo_health_daily(t["fact_pr_cycle_time"], t["fact_issue_aging"], as_of, stale_days),
+        "mart_repo_health_daily", cluster_by=["repo_full_name"])
+    return t
+
+
 def run_batch(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Mapping[str, str],
               cursors: DataFrame, as_of: dt.date, now: dt.datetime, run_start: dt.datetime,
               repos: Sequence[str] | None = None, first_run: str = "full",
-              runs: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Steps 1-4. Without new data (gate count 0) the transform is skipped."""
-    new_cursors = ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs)
+              runs: Sequence[str] | None = None, state: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Steps 1-4. Without new data (gate count 0) the transform is skipped.
+
+    ``state``: what the run before returned ({} for the first) makes the
+    transform incremental; without it every model is rebuilt from all raw rows.
+    """
+    new_cursors, new_raw = _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs)
     gate = cur.new_data_gate(new_cursors, ENTITIES, run_start, repos).first()["updated_cursor_count"]
-    out: dict[str, DataFrame] = {"ingestion_cursors": new_cursors}
+    out: dict[str, DataFrame] = {**(state or {}), "ingestion_cursors": new_cursors}
     if gate == 0:
         return out
-    out.update(transform(spark, raw_paths, as_of))
+    out.update(transform(spark, raw_paths, as_of) if state is None
+               else transform_incremental(new_raw, as_of, state if "pull_versions" in state else None))
     out["dq_report"] = commit_version(dq.report(out, dt.datetime.combine(as_of, dt.time())), "dq_report")
     return out
 

@@ -528,6 +528,10 @@ ORACLE.update({
                                 "AS n_rows FROM pulls_typed GROUP BY ALL HAVING count(*) > 1"),
     "reviews_agg_incremental": _q((REVIEW_VERSIONS, REVIEWS_AGG), "SELECT * FROM int_pr_reviews_agg"),
     "pr_lifecycle_incremental": _q(PR_CHAIN, "SELECT * FROM int_pr_lifecycle"),
+    "fact_pr_incremental": _q((*PR_CHAIN, FACT_PR), "SELECT * FROM fact_pr_cycle_time"),
+    "issue_lifecycle_incremental": _q(ISSUE_CHAIN, "SELECT * FROM int_issue_lifecycle"),
+    "fact_issue_incremental": _q((*ISSUE_CHAIN, FACT_ISSUE), "SELECT * FROM fact_issue_aging"),
+    "job_two_runs": _q(MART, "SELECT * FROM mart_repo_health_daily"),
     "schema_sync_upsert": _q((PULL_VERSIONS,), "SELECT s.* REPLACE (CASE WHEN " + BATCH2_TOUCHED +
                              " THEN s.head_branch END AS head_branch) FROM stg_pulls s"),
     "partitioned_roundtrip": _q((*PR_CHAIN, FACT_PR), "SELECT * FROM fact_pr_cycle_time"),

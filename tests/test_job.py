@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from repo_pulse.plans import job
@@ -12,7 +13,8 @@ from repo_pulse.sources import landing
 from conftest import SF_SMALL
 
 
-def test_run_batch_end_to_end(spark):
+@pytest.mark.parametrize("state", [None, {}], ids=["rebuild", "incremental"])
+def test_run_batch_end_to_end(spark, state):
     roots = {e: new_work_dir(spark, f"t-landing-{e}") for e in job.ENTITIES}
     raws = {e: new_work_dir(spark, f"t-raw-{e}") for e in job.ENTITIES}
     day = dt.date(2024, 3, 1)
@@ -23,7 +25,7 @@ def test_run_batch_end_to_end(spark):
     # so start from cursors at the epoch to take everything.
     cursors = fx.cursors(spark, SF_SMALL).withColumn("last_updated_at", F.lit(dt.datetime(1970, 1, 1)))
     now = dt.datetime(2024, 3, 2)
-    out = job.run_batch(spark, roots, raws, cursors, as_of=day, now=now, run_start=dt.datetime(2024, 3, 1, 12))
+    out = job.run_batch(spark, roots, raws, cursors, as_of=day, now=now, run_start=dt.datetime(2024, 3, 1, 12), state=state)
     assert out["mart_repo_health_daily"].count() > 0
     assert out["dq_report"].count() > 0
     advanced = out["ingestion_cursors"].filter(F.col("updated_at") == F.lit(now)).count()
