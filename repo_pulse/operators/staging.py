@@ -43,8 +43,9 @@ PR_URL_NUMBER = r"/pulls/(\d+)$"
 
 def _parsed(raw: DataFrame, event_type: str, schema: str, extra: list[str] | None = None) -> DataFrame:
     cols = ["ingestion_date", "repo_full_name", *(extra or []), "payload"]
+    # A generator's output is computed once: a filter on it is not pushed below, where it would parse again.
     return (raw.filter(F.col("event_type") == event_type)
-               .select(*cols, parse_payload(F.col("payload"), schema).alias("j")))
+               .select(*cols, F.explode(F.array(parse_payload(F.col("payload"), schema))).alias("j")))
 
 
 def _s(path: str) -> Column:

@@ -82,15 +82,18 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def commit_version(df: DataFrame, table: str, partition_by: Sequence[str] | None = None,
-                   cluster_by: Sequence[str] | None = None) -> DataFrame:
+                   cluster_by: Sequence[str] | None = None, at: str | None = None) -> DataFrame:
     """I9 + R4: write ``df`` as a new version of ``table`` and read it back.
 
+    The version is the folder ``at/table`` (``at``: a folder of the run), by
+    default a new one under the work folder.
+
     ``partition_by`` gives directory partitions (pruned on read);
     ``cluster_by`` sorts rows within each file so parquet min/max statistics
     skip row groups (the clustering of I7).
     """
     spark = df.sparkSession
-    path = new_work_dir(spark, f"table-{table}")
+    path = f"{at}/{table}" if at else new_work_dir(spark, f"table-{table}")
     out = rebalanced(df, partition_by)
     if cluster_by:
         out = out.sortWithinPartitions(*(list(partition_by or []) + list(cluster_by)))

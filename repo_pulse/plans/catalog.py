@@ -212,6 +212,15 @@ def q_mart(spark, d):
 
 # ---------------------------------------------------------------- landing, raw, JSON
 
+@register("mart_from_raw")
+def q_mart_from_raw(spark, d):
+    """The whole chain from the raw tables to the mart in one plan, no stored model."""
+    agg = lc.reviews_agg(_build_stg_reviews(spark, d))
+    pr = lc.fact_pr_cycle_time(lc.pr_lifecycle(_build_stg_pulls(spark, d), agg))
+    issue = lc.fact_issue_aging(lc.issue_lifecycle(_build_stg_issues(spark, d), AS_OF))
+    return mart.mart_repo_health_daily(pr, issue, AS_OF)
+
+
 def _typed_number_updated(df: DataFrame) -> DataFrame:
     j = parse_payload(F.col("payload"), "number string, updated_at string")
     return df.select("*", j.alias("_j")).select(
@@ -496,6 +505,26 @@ def q_dq_review_before_creation(spark, d):
     return dq.reviews_before_creation(model(spark, d, "stg_reviews"), model(spark, d, "stg_pulls"))
 
 
+@register("dq_violations")
+def q_dq_violations(spark, d):
+    """Q3, Q5, Q7 on tables with broken rows: negative latency, impossible dates, repeated keys."""
+    issue, pr, dup = fact_issue(spark, d), fact_pr(spark, d), model(spark, d, "stg_issues")
+    number = F.col("pr_number")
+    hours = issue.schema["time_to_close_hours"].dataType
+    issue = issue.withColumn("time_to_close_hours", F.when(F.col("issue_number") % 50 == 0, F.lit(-1).cast(hours))
+                             .otherwise(F.col("time_to_close_hours")))
+    pr = (pr.withColumn("updated_at", F.when(number % 50 == 0, F.timestamp_add("DAY", F.lit(-1), F.col("created_at"))).otherwise(F.col("updated_at")))
+            .withColumn("merged_at", F.when(number % 50 == 1, F.timestamp_add("HOUR", F.lit(-1), F.col("created_at"))).otherwise(F.col("merged_at")))
+            .withColumn("created_at", F.when(number % 50 != 2, F.col("created_at"))))
+    dup = dup.unionByName(dup.filter(F.col("issue_number") % 100 == 7))
+    found = [("issue_age", dq.issue_age_negative(issue), "issue_number", F.lit(1)),
+             ("pr_dates", dq.pr_dates_invalid(pr, AS_OF), "pr_number", F.lit(1)),
+             ("unique", up.duplicate_keys(dup, up.ISSUE_KEY), "issue_number", F.col("n_rows"))]
+    parts = [rows.select(F.lit(name).alias("check_name"), "repo_full_name", F.col(key).alias("number"), n.cast("bigint").alias("n_rows"))
+             for name, rows, key, n in found]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("dq_report")
 def q_dq_report(spark, d):
     return dq.report(model_tables(spark, d), AS_OF)
@@ -732,24 +761,17 @@ FEED_FIRST_DAY, FEED_DAYS = dt.date(2024, 1, 1), 30
 
 
 def _land_issue_days(spark, d, redeliver: bool = False) -> str:
-    """Land the issue feed day by day; with ``redeliver`` every run repeats part of the previous day."""
+    """Land the issue feed as daily runs in one pass; with ``redeliver`` every run repeats part of the previous day."""
     root = new_work_dir(spark, "landing-issues")
-    raw = fx.issues_raw(spark, d)
-    day = F.coalesce(F.col("ingestion_date"), F.lit(FEED_FIRST_DAY))  # no date: with the first run
-    for i in range(FEED_DAYS):
-        lo = FEED_FIRST_DAY + dt.timedelta(days=i)
-        hi = lo + dt.timedelta(days=1)
-        cond = F.lit(True)
-        if i > 0:
-            cond = cond & (day >= F.lit(lo))
-        if i < FEED_DAYS - 1:
-            cond = cond & (day < F.lit(hi))
-        run = raw.filter(cond)
-        if redeliver and i > 0:
-            prev = lo - dt.timedelta(days=1)
-            ids = F.xxhash64("payload") % 3 == 0
-            run = run.unionByName(raw.filter((day == F.lit(prev)) & ids))
-        landing.write_landing(run, root, run_id=f"run-{i + 1:02d}", load_date=lo)
+    first, last = F.lit(FEED_FIRST_DAY), F.lit(FEED_FIRST_DAY + dt.timedelta(days=FEED_DAYS - 1))
+    own = F.greatest(first, F.least(F.coalesce("ingestion_date", first), last))  # no date: with the first run
+    days = F.array(own)
+    if redeliver:
+        again = (F.xxhash64("payload") % 3 == 0) & (own < last)
+        days = F.when(again, F.array(own, F.date_add(own, 1))).otherwise(days)
+    runs = fx.issues_raw(spark, d).select("*", F.explode(days).alias("load_day"))
+    run_id = F.format_string("run-%02d", F.date_diff("load_day", first) + 1)
+    landing.write_landing(runs, root, run_id, load_date=F.col("load_day"))
     return root
 
 

@@ -11,16 +11,26 @@
    given the tables of the run before, only keys that arrived are recomputed;
 4. quality: the full check report, written next to the models.
 
+``run_daily`` does the same with tables that outlive the process: every run
+writes its tables to a folder of its own, then appends one row per table (run,
+path, schema) to a log in a single write; the newest rows of the log are the
+current tables. A run that dies before that write leaves no trace in them, and
+the next run takes its rows again, as the cursors did not move.
+
 ``snapshot`` merges the current staging pulls into the SCD2 history.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from repo_pulse.functions import safe_bigint, safe_timestamp
 from repo_pulse.operators import history as hist
@@ -34,6 +44,9 @@ from repo_pulse.sources import cursors as cur
 from repo_pulse.sources import landing
 
 ENTITIES = ("pulls", "issues", "pr_reviews")
+RUN_LOG_SCHEMA = "seq long, name string, path string, table_schema string"
+CURSOR_SCHEMA = ("entity string, repo_full_name string, last_updated_at timestamp, "
+                 "last_success_run timestamp, updated_at timestamp")
 
 
 def _feed(land: DataFrame, key: str, drop_pull_requests: bool = False) -> DataFrame:
@@ -56,7 +69,7 @@ def ingest(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Map
     return _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs)[0]
 
 
-def _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs) -> tuple[DataFrame, dict[str, DataFrame]]:
+def _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs, at=None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The advanced cursors, and the rows that this run appended to each raw table (stored)."""
     def landed(entity: str, with_pr_number: bool = False) -> DataFrame:
         df = landing.read_landing(spark, landing_roots[entity], with_pr_number)
@@ -83,7 +96,7 @@ def _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs) -> t
     marks = (cur.watermark_max(p_changed, "pulls")
              .unionByName(cur.watermark_max(i_changed, "issues"))
              .unionByName(cur.watermark_max(prs_for_reviews, "pr_reviews")))
-    return commit_version(cur.cursor_upsert(cursors, marks, now), "ingestion_cursors"), new_raw
+    return commit_version(cur.cursor_upsert(cursors, marks, now), "ingestion_cursors", at=at), new_raw
 
 
 def transform(spark: SparkSession, raw_paths: Mapping[str, str], as_of: dt.date,
@@ -112,46 +125,50 @@ def transform(spark: SparkSession, raw_paths: Mapping[str, str], as_of: dt.date,
 
 def transform_incremental(new_raw: Mapping[str, DataFrame], as_of: dt.date, state: Mapping[str, DataFrame] | None = None,
                           stale_days: int = lc.DEFAULT_STALE_DAYS,
-                          fact_partitions: Sequence[str] | None = ("created_date",)) -> dict[str, DataFrame]:
+                          fact_partitions: Sequence[str] | None = ("created_date",), at: str | None = None) -> dict[str, DataFrame]:
     """Step 3 from the rows that arrived and the tables of the run before (none: first run).
 
     Only keys that arrived, and PRs whose reviews did, are recomputed; the
     result equals ``transform`` over all raw rows. ``pull_versions``,
     ``issue_versions`` and ``review_versions`` are the latest versions with
     the hash that settles ties against later arrivals. ``fact_partitions``:
-    None writes the facts unpartitioned (small tables over many days).
+    None writes the facts unpartitioned (small tables over many days). ``at``:
+    the run's folder, see ``run_daily``.
     """
     def before(name: str, like: DataFrame) -> DataFrame:
         return state[name] if state else like.limit(0)
 
+    def commit(df: DataFrame, name: str, **layout) -> DataFrame:
+        return commit_version(df, name, at=at, **layout)
+
     t: dict[str, DataFrame] = {}
     changed: dict[str, DataFrame] = {}
     for name, parse, update, raw in (("pull_versions", stg.parse_pulls, up.pull_versions_update, "pulls"),
                                      ("issue_versions", stg.parse_issues, up.issue_versions_update, "issues"),
                                      ("review_versions", stg.parse_reviews, up.review_versions_update, "pr_reviews")):
         table, keys = update(before(name, parse(new_raw[raw])), new_raw[raw])
-        t[name], changed[raw] = commit_version(table, name), commit_version(keys, f"changed_{raw}")
+        t[name], changed[raw] = commit(table, name), commit_version(keys, f"changed_{raw}")
     t["stg_pulls"], t["stg_issues"] = t["pull_versions"].drop("_tie"), t["issue_versions"].drop("_tie")
     t["stg_reviews"] = t["review_versions"].filter(F.col("pr_number").isNotNull()).drop("_tie")
-    t["int_pr_reviews_agg"] = commit_version(up.reviews_agg_incremental(
+    t["int_pr_reviews_agg"] = commit(up.reviews_agg_incremental(
         before("int_pr_reviews_agg", lc.reviews_agg(t["stg_reviews"])), t["stg_reviews"], changed["pr_reviews"]),
         "int_pr_reviews_agg", cluster_by=["repo_full_name"])
-    t["int_pr_lifecycle"] = commit_version(up.pr_lifecycle_incremental(
+    t["int_pr_lifecycle"] = commit(up.pr_lifecycle_incremental(
         before("int_pr_lifecycle", lc.pr_lifecycle(t["stg_pulls"], t["int_pr_reviews_agg"])), t["stg_pulls"],
         t["int_pr_reviews_agg"], changed["pulls"], changed["pr_reviews"]),
         "int_pr_lifecycle", cluster_by=["repo_full_name", "pull_request_state"])
-    t["int_issue_lifecycle"] = commit_version(up.issue_lifecycle_incremental(
+    t["int_issue_lifecycle"] = commit(up.issue_lifecycle_incremental(
         before("int_issue_lifecycle", lc.issue_lifecycle(t["stg_issues"], as_of, stale_days)), t["stg_issues"],
         changed["issues"], as_of, stale_days), "int_issue_lifecycle", cluster_by=["repo_full_name", "issue_state"])
     prs = changed["pulls"].union(changed["pr_reviews"])
-    t["fact_pr_cycle_time"] = commit_version(up.fact_pr_incremental(
+    t["fact_pr_cycle_time"] = commit(up.fact_pr_incremental(
         before("fact_pr_cycle_time", lc.fact_pr_cycle_time(t["int_pr_lifecycle"])), t["int_pr_lifecycle"], prs),
         "fact_pr_cycle_time", partition_by=fact_partitions, cluster_by=["repo_full_name", "pull_request_state"])
-    t["fact_issue_aging"] = commit_version(up.fact_issue_incremental(
+    t["fact_issue_aging"] = commit(up.fact_issue_incremental(
         before("fact_issue_aging", lc.fact_issue_aging(t["int_issue_lifecycle"])), t["int_issue_lifecycle"],
         changed["issues"], as_of, stale_days),
         "fact_issue_aging", partition_by=fact_partitions, cluster_by=["repo_full_name", "issue_state"])
-    t["mart_repo_health_daily"] = commit_version(
+    t["mart_repo_health_daily"] = commit(
         mart.mart_repo_health_daily(t["fact_pr_cycle_time"], t["fact_issue_aging"], as_of, stale_days),
         "mart_repo_health_daily", cluster_by=["repo_full_name"])
     return t
@@ -160,20 +177,63 @@ def transform_incremental(new_raw: Mapping[str, DataFrame], as_of: dt.date, stat
 def run_batch(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Mapping[str, str],
               cursors: DataFrame, as_of: dt.date, now: dt.datetime, run_start: dt.datetime,
               repos: Sequence[str] | None = None, first_run: str = "full",
-              runs: Sequence[str] | None = None, state: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+              runs: Sequence[str] | None = None, state: Mapping[str, DataFrame] | None = None,
+              fact_partitions: Sequence[str] | None = ("created_date",), at: str | None = None) -> dict[str, DataFrame]:
     """Steps 1-4. Without new data (gate count 0) the transform is skipped.
 
     ``state``: what the run before returned ({} for the first) makes the
     transform incremental; without it every model is rebuilt from all raw rows.
     """
-    new_cursors, new_raw = _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs)
+    new_cursors, new_raw = _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs, at)
     gate = cur.new_data_gate(new_cursors, ENTITIES, run_start, repos).first()["updated_cursor_count"]
     out: dict[str, DataFrame] = {**(state or {}), "ingestion_cursors": new_cursors}
     if gate == 0:
         return out
     out.update(transform(spark, raw_paths, as_of) if state is None
-               else transform_incremental(new_raw, as_of, state if "pull_versions" in state else None))
-    out["dq_report"] = commit_version(dq.report(out, dt.datetime.combine(as_of, dt.time())), "dq_report")
+               else transform_incremental(new_raw, as_of, state if "pull_versions" in state else None,
+                                          fact_partitions=fact_partitions, at=at))
+    out["dq_report"] = commit_version(dq.report(out, dt.datetime.combine(as_of, dt.time())), "dq_report", at=at)
+    return out
+
+
+def load_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The current tables under ``root`` by name; none before the first run."""
+    tables = {n: spark.read.schema(StructType.fromJson(json.loads(r["table_schema"]))).parquet(r["path"])
+              for n, r in _log(spark, root).items()}
+    if "pull_versions" in tables:  # staging is a projection of the versions
+        tables["stg_pulls"], tables["stg_issues"] = tables["pull_versions"].drop("_tie"), tables["issue_versions"].drop("_tie")
+        tables["stg_reviews"] = tables["review_versions"].filter(F.col("pr_number").isNotNull()).drop("_tie")
+    return tables
+
+
+def _log(spark: SparkSession, root: str) -> dict:
+    """Newest log row of each table: about a dozen rows, however large the tables are."""
+    try:
+        log = spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/log")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    newest = log.groupBy("name").agg(F.max_by(F.struct("seq", "path", "table_schema"), "seq").alias("r"))
+    return {r["name"]: r["r"] for r in newest.collect()}
+
+
+def run_daily(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Mapping[str, str], root: str,
+              as_of: dt.date, now: dt.datetime, run_start: dt.datetime, **options) -> dict[str, DataFrame]:
+    """``run_batch`` on the tables under ``root``, incremental from the second run on; publishes its result there.
+
+    One run at a time. Folders of earlier runs stay readable; remove those the
+    log no longer points at when no reader needs them.
+    """
+    before, log = load_state(spark, root), _log(spark, root)
+    cursors = before.get("ingestion_cursors")
+    at = f"{root}/run-{uuid.uuid4().hex[:12]}"
+    out = run_batch(spark, landing_roots, raw_paths, spark.createDataFrame([], CURSOR_SCHEMA) if cursors is None else cursors,
+                    as_of, now, run_start, state=before, at=at, **options)
+    seq = max((r["seq"] for r in log.values()), default=0) + 1
+    fresh = [(seq, n, f"{at}/{n}", df.schema.json()) for n, df in out.items()
+             if df is not before.get(n) and n not in ("stg_pulls", "stg_issues", "stg_reviews")]
+    spark.createDataFrame(fresh, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/log")
     return out
 
 

@@ -531,6 +531,15 @@ ORACLE.update({
     "fact_pr_incremental": _q((*PR_CHAIN, FACT_PR), "SELECT * FROM fact_pr_cycle_time"),
     "issue_lifecycle_incremental": _q(ISSUE_CHAIN, "SELECT * FROM int_issue_lifecycle"),
     "fact_issue_incremental": _q((*ISSUE_CHAIN, FACT_ISSUE), "SELECT * FROM fact_issue_aging"),
+    "mart_from_raw": _q(MART, "SELECT * FROM mart_repo_health_daily"),
+    "dq_violations": _q(MART, """
+SELECT 'issue_age' AS check_name, repo_full_name, issue_number AS number, CAST(1 AS BIGINT) AS n_rows
+FROM fact_issue_aging WHERE issue_number % 50 = 0 OR least(time_to_close_hours, issue_age_days) < 0
+UNION ALL
+SELECT 'pr_dates', repo_full_name, pr_number, 1 FROM fact_pr_cycle_time
+WHERE pr_number % 50 < 3 OR created_at IS NULL OR least(merged_at, closed_at, updated_at) < created_at
+UNION ALL
+SELECT 'unique', repo_full_name, issue_number, 2 FROM stg_issues WHERE issue_number % 100 = 7"""),
     "job_two_runs": _q(MART, "SELECT * FROM mart_repo_health_daily"),
     "schema_sync_upsert": _q((PULL_VERSIONS,), "SELECT s.* REPLACE (CASE WHEN " + BATCH2_TOUCHED +
                              " THEN s.head_branch END AS head_branch) FROM stg_pulls s"),

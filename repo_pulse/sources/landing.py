@@ -40,7 +40,7 @@ def envelope(records: DataFrame, event_type: str, as_of: dt.date,
     return records.select(*cols)
 
 
-def landing_lines(raw: DataFrame, load_date: dt.date | None = None) -> DataFrame:
+def landing_lines(raw: DataFrame, load_date: dt.date | Column | None = None, run_id: Column | None = None) -> DataFrame:
     """One NDJSON line per raw row, the payload nested as an object.
 
     ``dt`` is the run's load date when given, else the row's ingestion date.
@@ -49,23 +49,27 @@ def landing_lines(raw: DataFrame, load_date: dt.date | None = None) -> DataFrame
     if "pr_number" in raw.columns:
         fields.append("pr_number")
     fields += ["event_type", F.parse_json("payload").alias("payload")]
-    day = F.lit(load_date) if load_date else F.col("ingestion_date")
+    day = F.col("ingestion_date") if load_date is None else load_date if isinstance(load_date, Column) else F.lit(load_date)
     return raw.select(
         day.cast("string").alias("dt"),
         F.replace(F.col("repo_full_name"), F.lit("/"), F.lit("__")).alias("repo"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+        *([run_id.alias("run_id")] if run_id is not None else []))
 
 
-def write_landing(raw: DataFrame, root: str, run_id: str, max_records: int = CHUNK_RECORDS,
-                  load_date: dt.date | None = None) -> None:
+def write_landing(raw: DataFrame, root: str, run_id: str | Column, max_records: int = CHUNK_RECORDS,
+                  load_date: dt.date | Column | None = None) -> None:
     """Append to ``root/dt=../repo=../run_id=..`` in files of <= max_records lines.
 
+    ``run_id`` and ``load_date`` may be columns of ``raw``: many runs then land in one pass.
+
     A plain repartition by (dt, repo) would put a repo holding a third of
     the rows into one task; the REBALANCE hint lets AQE split such a
     partition over several tasks and merge small ones. A new run id never
     touches files of an earlier run.
     """
-    lines = landing_lines(raw, load_date).withColumn("run_id", F.lit(run_id))
+    run = run_id if isinstance(run_id, Column) else F.lit(run_id)
+    lines = landing_lines(raw, load_date, run)
     (lines.hint("rebalance", "dt", "repo").write.mode("append")
           .option("maxRecordsPerFile", max_records)
           .partitionBy(*PARTITION_COLS)
