@@ -114,9 +114,9 @@ def rebalanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are replaced."""
-    (rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rebalanced(df, partition_by).sortWithinPartitions(*partition_by, *cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 

@@ -716,9 +716,7 @@ def q_partitioned_roundtrip(spark, d):
     rewritten = (current.join(touched, "created_date", "left_semi").join(keys, up.PULL_KEY, "left_anti")
                  .unionByName(fresh))
     staged = up.commit_version(rewritten, "fact_pr_partitions")
-    up.overwrite_partitions(staged.select(*first.columns)
-                            .sortWithinPartitions("created_date", "repo_full_name", "pull_request_state"),
-                            path, ["created_date"])
+    up.overwrite_partitions(staged.select(*first.columns), path, ["created_date"], ["repo_full_name", "pull_request_state"])
     return spark.read.parquet(path)
 
 
