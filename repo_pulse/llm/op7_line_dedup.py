@@ -4,8 +4,10 @@ A line's tokens that hold a digit are variable fields (``<*>``). The tree's
 path is the token count and the first ``DEPTH`` tokens; a leaf's template
 keeps, position by position, the token that over half of the leaf's lines
 agree on, and generalises all other positions. A line belongs to its leaf's
-template if at least ``SIMILAR`` of its tokens equal the template's; any
-other line is a template of its own (its masked form). Templates found in
+template if at least ``SIMILAR`` of its tokens are words equal to the
+template's (a field is no agreement); any other line is a template of its own
+(its masked form). A line with fewer words than that share, such as a row of
+numbers, is not masked: only exact repeats of it recur. Templates found in
 ``MIN_DOCS`` documents or more recur: their lines are dropped from every
 document but the first (smallest doc_id), so no text is lost everywhere.
 Lines of fewer than ``MIN_TOKENS`` tokens are left alone.
@@ -56,18 +58,26 @@ def masked(line: str) -> list[str]:
     return [FIELD if DIGIT.search(t) else t for t in found] if DIGIT.search(line) else found
 
 
+def form(line: str) -> tuple[list[str], bool]:
+    """Masked tokens and True, or the tokens as they are and False where masking leaves too few words to tell lines apart."""
+    tokens = masked(line)
+    if tokens.count(FIELD) > (1 - SIMILAR) * len(tokens) + 1e-9:
+        return line.split(), False
+    return tokens, True
+
+
 def path(tokens: list[str], depth: int) -> int:
     """The tree's leaf: token count and leading tokens."""
     return _hash("\x00".join([str(len(tokens)), *tokens[:depth]]), 1)
 
 
 def line_hashes(text: str, depth: int, least: int) -> list[tuple[int, int, str] | None]:
-    """(leaf, masked line hash, masked line) of each line, None for short ones."""
+    """(leaf, line hash, line's form) of each line, None for short ones; a line that is not masked is a leaf of its own."""
     out = []
     for line in text.split("\n"):
-        tokens = masked(line)
+        tokens, is_masked = form(line)
         joined = " ".join(tokens)
-        out.append((path(tokens, depth), _hash(joined), joined) if len(tokens) >= least else None)
+        out.append((path(tokens, depth if is_masked else len(tokens)), _hash(joined), joined) if len(tokens) >= least else None)
     return out
 
 
@@ -123,7 +133,7 @@ def templates(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min
         texts = _lines(docs, depth, least, True).join(leaves, "leaf", "left_semi")
     texts = texts.groupBy("leaf", "line").agg(F.first("masked").alias("masked"))
     texts = store(texts.join(per_line.select("leaf", "line", "docs"), ["leaf", "line"]), "texts")
-    token = texts.select("leaf", "line", "docs", F.size(F.split("masked", " ")).alias("size"), F.posexplode(F.transform(F.split("masked", " "), lambda t: F.xxhash64(t))).alias("at", "token"))
+    token = texts.select("leaf", "line", "docs", F.size(F.split("masked", " ")).alias("size"), F.posexplode(F.transform(F.split("masked", " "), lambda t: F.when(t != FIELD, F.xxhash64(t)))).alias("at", "token")).where("token IS NOT NULL")
     token = store(token, "tokens")
     share = token.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n"))
     total = texts.groupBy("leaf").agg(F.sum("docs").alias("total"))

@@ -255,6 +255,13 @@ def test_op7_min_docs(spark):
     assert dict(rows_of(op7.line_dedup(docs, min_docs=3), "doc_id", "text"))[2] == line
 
 
+def test_op7_rows_of_numbers_recur_only_as_they_are(spark):
+    docs = table(spark, [(1, "12 40 3 7 9\nBerlin 4 5 6 7", "en", "a"), (2, "2019 1 5 8 33\nBerlin 8 8 8 9", "en", "a"), (3, "12 40 3  7 9", "en", "a"),
+                         (4, "2019 1 5 8 34", "en", "a")])
+    got = dict(rows_of(op7.line_dedup(docs), "doc_id", "text"))
+    assert got == {1: "12 40 3 7 9\nBerlin 4 5 6 7", 2: "2019 1 5 8 33\nBerlin 8 8 8 9", 3: "", 4: "2019 1 5 8 34"}
+
+
 # ---- 8
 
 
