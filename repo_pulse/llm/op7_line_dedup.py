@@ -10,7 +10,8 @@ template's (a field is no agreement); any other line is a template of its own
 numbers, is not masked: only exact repeats of it recur. Templates found in
 ``MIN_DOCS`` documents or more recur: their lines are dropped from every
 document but the first (smallest doc_id), so no text is lost everywhere.
-Lines of fewer than ``MIN_TOKENS`` tokens are left alone.
+Lines of fewer than ``MIN_TOKENS`` tokens say little, so they recur from
+``SHORT_DOCS`` documents on; lines without a token are left alone.
 
 Scale: a document gives one narrow (leaf, line hash) row per distinct line;
 documents per line and per leaf are pre-aggregated counts. Line texts are
@@ -41,7 +42,8 @@ from repo_pulse.llm.common import fresh, row_key, store
 DEPTH = 3
 SIMILAR = 0.7
 MIN_DOCS = 2
-MIN_TOKENS = 5
+MIN_TOKENS = 5  # shorter lines need more documents
+SHORT_DOCS = 3
 LEAVES = 2_000_000  # leaves up to this number are broadcast (16 MB); more are joined by a shuffle
 FIELD = "<*>"
 DIGIT = re.compile(r"[0-9]")
@@ -66,18 +68,18 @@ def form(line: str) -> tuple[list[str], bool]:
     return tokens, True
 
 
-def path(tokens: list[str], depth: int) -> int:
-    """The tree's leaf: token count and leading tokens."""
-    return _hash("\x00".join([str(len(tokens)), *tokens[:depth]]), 1)
+def path(tokens: list[str], depth: int, least: int) -> int:
+    """The tree's leaf: token count and leading tokens; odd for lines of fewer than ``least`` tokens."""
+    return _hash("\x00".join([str(len(tokens)), *tokens[:depth]]), 1) & ~1 | (len(tokens) < least)
 
 
 def line_hashes(text: str, depth: int, least: int) -> list[tuple[int, int, str] | None]:
-    """(leaf, line hash, line's form) of each line, None for short ones; a line that is not masked is a leaf of its own."""
+    """(leaf, line hash, line's form) of each line, None for those without a token; a line that is not masked is a leaf of its own."""
     out = []
     for line in text.split("\n"):
         tokens, is_masked = form(line)
         joined = " ".join(tokens)
-        out.append((path(tokens, depth if is_masked else len(tokens)), _hash(joined), joined) if len(tokens) >= least else None)
+        out.append((path(tokens, depth if is_masked else len(tokens), least), _hash(joined), joined) if tokens else None)
     return out
 
 
@@ -117,13 +119,15 @@ def first() -> Column:
     return F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "key"))
 
 
-def templates(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min_docs: int = MIN_DOCS, least: int = MIN_TOKENS) -> tuple[DataFrame, DataFrame]:
+def templates(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min_docs: int = MIN_DOCS, least: int = MIN_TOKENS, short_docs: int = SHORT_DOCS) -> tuple[DataFrame, DataFrame]:
     """The distinct lines of each document, and (line, template, first) of every line whose template recurs."""
+    short_docs = max(min_docs, short_docs)
+    need = F.when(F.col("leaf").bitwiseAND(F.lit(1).cast("long")) == 1, short_docs).otherwise(min_docs)
     rows = store(_lines(docs, depth, least, False), "lines")
     per_line = store(rows.groupBy("leaf", "line").agg(F.count("*").alias("docs"), first().alias("first"))
-                     .withColumn("several", F.col("docs") >= min_docs), "per_line")
-    # leaves where lines of different text together reach min_docs documents
-    leaves = per_line.groupBy("leaf").agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs")).where((F.col("kinds") > 1) & (F.col("docs") >= min_docs)).select("leaf")
+                     .withColumn("several", F.col("docs") >= need), "per_line")
+    # leaves where lines of different text together reach the documents they need
+    leaves = per_line.groupBy("leaf").agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs")).where((F.col("kinds") > 1) & (F.col("docs") >= need)).select("leaf")
     leaves = store(leaves, "leaves")
     n_leaves = leaves.count()
     if 0 < n_leaves <= LEAVES:  # a proven bound: other lines then never leave their task
@@ -143,12 +147,14 @@ def templates(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min
     of = per_line.join(member, "line", "left").withColumn("template", F.coalesce("template", "line"))
     of = store(of, "template_of")
     # A template's documents: one line found in several settles it, else the distinct documents of its lines are counted.
-    settled = of.groupBy("template").agg(F.max("several").alias("several"), F.min("first").alias("first"), F.count("*").alias("kinds"))
+    settled = of.groupBy("template").agg(F.max("several").alias("several"), F.min("first").alias("first"), F.count("*").alias("kinds"), F.first(need).alias("need"))
     settled = store(settled.where(F.col("several") | (F.col("kinds") > 1)), "settled")
-    open_ = of.join(settled.where("NOT several").select("template"), "template").select("line", "template")
-    spread = rows.join(open_, "line").groupBy("template").agg(F.min(F.struct("id", "key")).alias("a"), F.max(F.struct("id", "key")).alias("b"), F.count_distinct("id", "key").alias("n") if min_docs > 2 else F.lit(0).alias("n"))
-    enough = F.col("n") >= min_docs if min_docs > 2 else F.col("a") != F.col("b")
-    recurring = settled.where("several").select("template", "first").unionByName(settled.join(spread.where(enough).select("template"), "template").select("template", "first"))
+    open_ = settled.where("NOT several").select("template", "need")
+    lines = rows.select("id", "key", "line").join(of.select("line", "template").join(open_, "template"), "line")
+    two = lines.where("need <= 2").groupBy("template").agg(F.min(F.struct("id", "key")).alias("a"), F.max(F.struct("id", "key")).alias("b")).where("a != b")
+    more = lines.where("need > 2").groupBy("template").agg(F.count_distinct(F.struct("id", "key")).alias("n"), F.first("need").alias("need")).where("n >= need")
+    spread = two.select("template").unionByName(more.select("template"))
+    recurring = settled.where("several").select("template", "first").unionByName(settled.join(spread, "template").select("template", "first"))
     return rows, store(of.select("line", "template").join(recurring, "template"), "recurring")
 
 

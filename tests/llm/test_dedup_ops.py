@@ -262,6 +262,13 @@ def test_op7_rows_of_numbers_recur_only_as_they_are(spark):
     assert got == {1: "12 40 3 7 9\nBerlin 4 5 6 7", 2: "2019 1 5 8 33\nBerlin 8 8 8 9", 3: "", 4: "2019 1 5 8 34"}
 
 
+def test_op7_short_lines_recur_in_more_documents(spark):
+    docs = table(spark, [(i, f"{prose(i, 9)}\nAll rights reserved.\n\u7248\u6743\u6240\u6709\n{'two only' if i < 3 else prose(50 + i, 2)}", "en", "a") for i in range(1, 6)])
+    got = dict(rows_of(op7.line_dedup(docs), "doc_id", "text"))
+    assert got.pop(1) == f"{prose(1, 9)}\nAll rights reserved.\n\u7248\u6743\u6240\u6709\ntwo only"
+    assert got == {i: f"{prose(i, 9)}\n{'two only' if i < 3 else prose(50 + i, 2)}" for i in range(2, 6)}
+
+
 # ---- 8
 
 
