@@ -3,7 +3,9 @@
 A line's tokens that hold a digit are variable fields (``<*>``). The tree's
 path is the token count and the first ``DEPTH`` tokens; a leaf's template
 keeps, position by position, the token that over half of the leaf's lines
-agree on, and generalises all other positions. A line belongs to its leaf's
+agree on, and generalises all other positions. Its members are taken out and
+the rest has its next template; lines without a majority are split by a
+frequent token, so a leaf has as many templates as it needs. A line belongs to a
 template if at least ``SIMILAR`` of its tokens are words equal to the
 template's (a field is no agreement); any other line is a template of its own
 (its masked form). A line with fewer words than that share, such as a row of
@@ -17,7 +19,7 @@ Scale: a document gives one narrow (leaf, line hash) row per distinct line;
 documents per line and per leaf are pre-aggregated counts. Line texts are
 only taken from the leaves that can have a template of several lines, once
 per distinct line, and the tokens of those are counted by (leaf, position,
-token). Nothing is gathered by leaf or line; a line in a third of all
+token), in rounds over the lines without a template. Nothing is gathered by leaf or line; a line in a third of all
 documents is one pre-aggregated count and an AQE-split join.
 
 Rows: NULL text stays NULL; a document that loses all lines keeps its row
@@ -28,6 +30,7 @@ pass through. Documents without a dropped line keep their exact text.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -119,6 +122,42 @@ def first() -> Column:
     return F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "key"))
 
 
+def members(texts: DataFrame, similar: float) -> DataFrame:
+    """(line, template) of the lines that belong to a majority template, from texts(leaf, line, docs, masked).
+
+    A round takes the members of each node's majority template out; a node
+    without members is split at the position of the token that most of its
+    documents share but not all of its lines: the lines of each token found
+    in several lines are a node, all other lines are one. Ends when no node
+    has members or such a token.
+    """
+    word = F.transform(F.split("masked", " "), lambda t: F.when(t != FIELD, F.xxhash64(t)).otherwise(0))
+    token = store(texts.select(F.col("leaf").alias("node"), "line", "docs", F.size(F.split("masked", " ")).alias("size"), F.posexplode(word).alias("at", "token")), "tokens")
+    found = None
+    for turn in itertools.count():
+        share = store(token.groupBy("node", "at", "token").agg(F.sum("docs").alias("n"), F.count("*").alias("kinds")), "shares")
+        total = share.where("at = 0").groupBy("node").agg(F.sum("n").alias("total"), F.sum("kinds").alias("lines"))
+        share = share.join(total, "node")
+        same = token.join(share.where("2 * n > total AND token != 0").select("node", "at", "token"), ["node", "at", "token"])
+        same = same.groupBy("node", "line").agg(F.count("*").alias("same"), F.first("size").alias("size"))
+        out = store(same.where(F.col("same") >= similar * F.col("size")).select("node", "line"), "members")
+        took = out.select("node").distinct()
+        new = out.select("line", F.xxhash64("node", F.lit(turn)).alias("template"))
+        found = new if found is None else found.unionByName(new)
+        part = share.where("kinds > 1 AND kinds < lines").join(took, "node", "left_anti")
+        at = part.groupBy("node").agg(F.max(F.struct("n", (-F.col("at")).alias("back"), "token")).alias("best")).select("node", (-F.col("best.back")).alias("at"))
+        several = part.join(at, ["node", "at"]).select("node", "at", "token", F.lit(True).alias("several"))
+        child = F.when(F.col("several"), F.xxhash64("node", "at", "token")).otherwise(F.xxhash64("node", "at"))
+        child = token.join(at, ["node", "at"]).join(several, ["node", "at", "token"], "left").select("node", "line", child.alias("child"))
+        left = token.where("at = 0").join(took, "node", "left_semi").join(out, ["node", "line"], "left_anti").select("node", "line", F.col("node").alias("child"))
+        left = store(left.unionByName(child), "left")
+        some = left.groupBy("child").agg(F.count("*").alias("n")).where("n > 1").select("child")
+        left = store(left.join(some, "child", "left_semi"), "left")
+        if not left.head(1):
+            return found
+        token = store(token.join(left, ["node", "line"]).select(F.col("child").alias("node"), "line", "docs", "size", "at", "token"), "tokens")
+
+
 def templates(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min_docs: int = MIN_DOCS, least: int = MIN_TOKENS, short_docs: int = SHORT_DOCS) -> tuple[DataFrame, DataFrame]:
     """The distinct lines of each document, and (line, template, first) of every line whose template recurs."""
     short_docs = max(min_docs, short_docs)
@@ -137,13 +176,7 @@ def templates(docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min
         texts = _lines(docs, depth, least, True).join(leaves, "leaf", "left_semi")
     texts = texts.groupBy("leaf", "line").agg(F.first("masked").alias("masked"))
     texts = store(texts.join(per_line.select("leaf", "line", "docs"), ["leaf", "line"]), "texts")
-    token = texts.select("leaf", "line", "docs", F.size(F.split("masked", " ")).alias("size"), F.posexplode(F.transform(F.split("masked", " "), lambda t: F.when(t != FIELD, F.xxhash64(t)))).alias("at", "token")).where("token IS NOT NULL")
-    token = store(token, "tokens")
-    share = token.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n"))
-    total = texts.groupBy("leaf").agg(F.sum("docs").alias("total"))
-    fixed = share.join(total, "leaf").where("2 * n > total").select("leaf", "at", "token")
-    same = token.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "line").agg(F.count("*").alias("same"), F.first("size").alias("size"))
-    member = same.where(F.col("same") >= similar * F.col("size")).select("line", F.col("leaf").alias("template"))
+    member = members(texts, similar)
     of = per_line.join(member, "line", "left").withColumn("template", F.coalesce("template", "line"))
     of = store(of, "template_of")
     # A template's documents: one line found in several settles it, else the distinct documents of its lines are counted.

@@ -269,6 +269,17 @@ def test_op7_short_lines_recur_in_more_documents(spark):
     assert got == {i: f"{prose(i, 9)}\n{'two only' if i < 3 else prose(50 + i, 2)}" for i in range(2, 6)}
 
 
+def test_op7_several_templates_in_a_leaf(spark):
+    """Three templates with a common opening, none with a majority, and a hot line in the same leaf."""
+    ends = ["by {} for the quiet garden behind old walls", "after {} left our harbour on its last trip", "under {} when seven rivers froze over that winter"]
+    names = [["anna", "bert", "cora"], ["dora", "emil", "fritz"], ["gerd", "hanna", "ida"]]
+    rows = [(10 * i + j, "it was written " + e.format(n), "en", "a") for i, e in enumerate(ends, 1) for j, n in enumerate(names[i - 1])]
+    hot = "it was written somewhere that nobody ever reads such long lines again"
+    rows += [(100 + i, hot, "en", "a") for i in range(30)]
+    got = dict(rows_of(op7.line_dedup(table(spark, rows)), "doc_id", "text"))
+    assert {d for d, t in got.items() if t} == {10, 20, 30, 100}
+
+
 # ---- 8
 
 
