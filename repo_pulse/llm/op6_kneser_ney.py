@@ -1,9 +1,10 @@
 """Operator 6: quality classifier by interpolated modified Kneser-Ney perplexity.
 
 A character n-gram model (order 4, over UTF-16 units, one model a language) is
-trained on trusted text: documents whose label says quality 1. A tenth of
-them, chosen by crc32(doc_id), is left out of training and calibrates: the
-language's threshold is a quantile of their log-perplexity, plus a margin. A
+trained on trusted text: documents whose label says quality 1. All of them
+calibrate: crc32(doc_id) deals them into ``FOLDS``, and each is scored by a
+model whose counts leave out its fold. The language's threshold is a quantile
+of these log-perplexities. A
 document whose log-perplexity is above its language's threshold is rejected;
 one whose language has no model or threshold is kept.
 
@@ -40,8 +41,8 @@ from repo_pulse.llm.common import fresh, row_key, store
 ORDER = 4
 LOCAL_ROWS = 1_000_000
 QUANTILE = 0.99
-MARGIN = 0.35  # added to the quantile of the log-perplexity
-FOLDS = 10  # one fold of the trusted documents calibrates
+MARGIN = 0.0  # added to the quantile of the log-perplexity
+FOLDS = 10  # each fold of the trusted documents is scored by a model of the others
 BIN = 1000  # quantiles are read from a histogram of 1/1000 nat
 FLUSH = 1 << 19  # n-grams a task holds before it counts them
 TABLE = 1 << 21  # distinct n-grams a task holds before it passes them on
@@ -125,14 +126,24 @@ def _discount() -> Column:
     return F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3"))
 
 
+def counted(texts: DataFrame) -> DataFrame:
+    """texts(lang, text) -> full-order counts (lang, code, a), stored."""
+    texts = texts.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang IS NOT NULL AND text != ''")
+    return store(texts.mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("a")), "grams")
+
+
 def train(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """texts(lang, text) -> probabilities (lang, k, code, a, logp) and back-off weights (lang, k, code, bow), stored.
+    """texts(lang, text) -> the model of their counts."""
+    return model(counted(texts))
+
+
+def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored counts(lang, code, a) -> probabilities (lang, k, code, a, logp) and back-off weights (lang, k, code, bow), stored.
 
     ``code`` of the back-off rows is the context; k its length. The row of the
     unknown unit has k = 0 and code 0.
     """
-    texts = texts.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang IS NOT NULL AND text != ''")
-    grams = {ORDER: store(texts.mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("a")), "grams")}
+    grams = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):  # continuation counts
         grams[k] = store(grams[k + 1].groupBy("lang", F.col("code").bitwiseAND(F.lit(mask(k)).cast("long")).alias("code")).agg(F.count("*").alias("a")), "grams")
     lower, backs, probs = None, [], []
@@ -288,6 +299,33 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q"), F.max("quality").alias("m")).where("q = 1 AND m = 1").select("doc_id")
 
 
+def _of_fold(lang: Column | str, fold: Column) -> Column:
+    return F.concat(lang, F.lit("\x01"), fold.cast("string"))
+
+
+def cross_fit(texts: DataFrame, limit: int = LOCAL_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """texts(doc_id, lang, text) -> (lang, lp) of each by the counts of the other folds, and the model of all counts."""
+    fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS).cast("int")
+    texts = store(texts.where("lang IS NOT NULL AND text != ''").withColumn("fold", fold), "trusted_texts")
+    part = counted(texts.select(_of_fold("lang", F.col("fold")).alias("lang"), "text"))
+    part = part.select(F.expr("left(lang, length(lang) - 2)").alias("lang"), F.expr("cast(right(lang, 1) AS int)").alias("fold"), "code", "a")
+    both = part.groupBy("lang", "code").agg(F.sum("a").alias("a"), F.array(*[F.sum(F.when(F.col("fold") == i, F.col("a")).otherwise(0)) for i in range(FOLDS)]).alias("own"))
+    both = store(both, "grams")
+    probs, backs = model(both.drop("own"))
+    rest = both.select("lang", "code", "a", F.posexplode("own").alias("fold", "n")).where("a > n")
+    fold_probs, fold_backs = model(store(rest.select(_of_fold("lang", F.col("fold")).alias("lang"), "code", (F.col("a") - F.col("n")).alias("a")), "grams"))
+    held = texts.select("doc_id", "text", "fold", F.col("lang").alias("plain"), _of_fold("lang", F.col("fold")).alias("lang"))
+    if fold_probs.count() + fold_backs.count() <= limit:
+        scored = store(with_log_perplexity(held, fold_probs, fold_backs, "lp", limit).select(F.col("plain").alias("lang"), "lp"), "held_scores")
+    else:  # one fold's model at a time
+        scored = None
+        for i in range(FOLDS):
+            ours = F.col("lang").endswith(f"\x01{i}")
+            each = store(with_log_perplexity(held.where(F.col("fold") == i), fold_probs.where(ours), fold_backs.where(ours), "lp", limit).select(F.col("plain").alias("lang"), "lp"), "held_scores")
+            scored = each if scored is None else scored.unionByName(each)
+    return scored, probs, backs
+
+
 def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, limit: int = LOCAL_ROWS,
              score: str = "log_perplexity", threshold: str = "threshold", kept: str = "kept") -> DataFrame:
     """docs with three more columns: log-perplexity, the language's threshold, and whether to keep the row.
@@ -297,11 +335,9 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, ma
     trusted = store(trusted, "trusted")
     if trusted.count() <= TRUSTED:
         trusted = F.broadcast(trusted)
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    probs, backs = train(base.where(fold != 0).join(trusted, "doc_id", "left_semi"))
-    calibration = base.where(fold == 0).join(trusted, "doc_id", "left_semi")
-    limits = store(thresholds(with_log_perplexity(calibration, probs, backs, "lp", limit), "lp", quantile, margin), "thresholds")
+    held, probs, backs = cross_fit(base.join(trusted, "doc_id", "left_semi"), limit)
+    limits = store(thresholds(held, "lp", quantile, margin), "thresholds")
     lang = fresh(docs, "_lang")
     out = with_log_perplexity(docs, probs, backs, score, limit)
     out = out.join(limits.select(F.col("lang").alias(lang), F.col("threshold").alias(threshold)), out["lang"].cast("string") == F.col(lang), "left").drop(lang)

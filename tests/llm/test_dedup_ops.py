@@ -217,6 +217,19 @@ def test_op6_quantile_of_histogram(spark):
     assert got["a"] == pytest.approx(0.9, abs=0.0021) and got["b"] == pytest.approx(2.001)
 
 
+def test_op6_every_trusted_document_is_scored_by_the_other_folds(spark):
+    texts = [(i, prose(i, 12, "abcd")) for i in range(24)]
+    fold = {i: zlib.crc32(str(i).encode()) % op6.FOLDS for i, _ in texts}
+    want = []
+    for i, t in texts:
+        p = brute_model([x for j, x in texts if fold[j] != fold[i]])
+        u = [op6.START] * 3 + list(np.frombuffer(t.encode("utf-16-le"), "<u2")) + [op6.END]
+        want.append(-sum(math.log(p(tuple(int(x) for x in u[k:k + 4]))) for k in range(len(u) - 3)) / (len(u) - 3))
+    held = op6.cross_fit(spark.createDataFrame([(i, "en", t) for i, t in texts], "doc_id long, lang string, text string"))[0]
+    got = sorted(x for _, x in rows_of(held, "lang", "lp"))
+    assert got == pytest.approx(sorted(want), abs=1e-9)
+
+
 # ---- 7
 
 
