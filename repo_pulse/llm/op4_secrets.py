@@ -1,12 +1,15 @@
 """Operator 4: secret scan with sliding-window Shannon entropy.
 
 Fixed patterns find assignments, access keys and long hex runs. The entropy
-scan looks at every run of key-like characters: its character class (hex, or
-base64 when it mixes letters and digits) sets window and threshold. A
+scan looks at every run of key-like characters as a whole (base64), at its
+pieces between ``= / _ -``, and at each stretch of lower or upper case hex in
+it; the character class sets window and threshold. A
 window's entropy follows from incremental character counts: moving it by one
 character changes two counts, so a run of any length costs one step a
-character. Overlapping windows above the threshold merge into one span,
-unless an allow-list entry explains the run or a fixed pattern has found it.
+character. Overlapping windows above the threshold merge into one span. A
+window inside what an allow-list entry matches does not count, nor does a span
+that a fixed pattern has found; a path of words explains windows across its
+separators, not its single words.
 
 Scale: one scan without a shuffle; whole texts, any length; memory is one
 Arrow batch.
@@ -35,26 +38,22 @@ NAMES = ("passw", "secret", "token", "apikey", "api_key")  # every ASSIGN match
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 LONG = re.compile(r"\S{16,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
-#: class: (window, bits)
-CLASSES = {"hex": (20, 2.9), "base64": (20, 3.7)}
+PIECE = re.compile(r"[A-Za-z0-9+]+")
+#: class: (window, bits); the shortest secret is one window
+CLASSES = {"hex": (16, 2.5), "base64": (16, 3.5)}
+STRETCH = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 ALLOWED = (
-    re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),  # UUID
-    re.compile(r"[0-9]+"),  # plain number
-    re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}.*"),  # date
-    re.compile(r"(sha(256|384|512)-).*"),  # integrity digest
-    re.compile(r".*EXAMPLE(KEY)?"),  # documented sample key
-    re.compile(r"([A-Za-z]+[/_-])+[A-Za-z]+[0-9]{0,4}"),  # path or identifier of words
+    re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])"),  # UUID
+    re.compile(r"(?<![0-9A-Za-z+])[0-9]+(?![0-9A-Za-z+])"),  # plain number
+    re.compile(r"(?<![0-9A-Za-z])[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2,6}Z?)?(?![0-9A-Za-z])"),  # date
+    re.compile(r"sha256-[A-Za-z0-9+/]{43}=|sha384-[A-Za-z0-9+/]{64}(?![A-Za-z0-9+/])|sha512-[A-Za-z0-9+/]{86}=="),  # integrity digest
+    re.compile(r"AKIA[A-Z0-9]{9}EXAMPLE(?![A-Za-z0-9])|[A-Za-z0-9+/]{30}EXAMPLEKEY(?![A-Za-z0-9])"),  # documented sample key
 )
+PATH = re.compile(r"(?<![0-9A-Za-z+])([A-Za-z]+[/_-])+[A-Za-z]+[0-9]{0,4}(?![0-9A-Za-z+])")  # path or identifier of words
 
 
-def char_class(run: str) -> str | None:
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
-        return "hex"
-    return "base64" if re.search(r"[0-9]", run) and re.search(r"[A-Za-z]", run) else None
-
-
-def high_entropy(run: str, window: int, bits: float) -> list[tuple[int, int]]:
-    """Merged windows whose Shannon entropy is at least ``bits``, by incremental counts."""
+def high_entropy(run: str, window: int, bits: float, allowed: list[tuple[int, int]] = ()) -> list[tuple[int, int]]:
+    """Merged windows whose Shannon entropy is at least ``bits``, by incremental counts; windows inside ``allowed`` do not count."""
     part = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     limit = window * (math.log2(window) - bits) + 1e-9  # H >= bits  <=>  sum n log n <= limit
     counts: dict[str, int] = {}
@@ -70,6 +69,8 @@ def high_entropy(run: str, window: int, bits: float) -> list[tuple[int, int]]:
         counts[c] = n + 1
         if i >= window - 1 and total <= limit:
             start = i - window + 1
+            if any(a <= start and i < b for a, b in allowed):
+                continue
             if spans and start <= spans[-1][1]:
                 spans[-1] = spans[-1][0], i + 1
             else:
@@ -90,16 +91,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def run_spans(run: str) -> list[tuple[int, int]]:
+    """Merged spans of high entropy in a run, over the run, its pieces and its stretches of hex."""
+    if len(run) < 16:
+        return []
+    allowed = [m.span() for a in ALLOWED for m in a.finditer(run)]
+    paths = [m.span() for m in PATH.finditer(run)]
+    parts = [("base64", 0, run, allowed + paths)]
+    if paths:  # elsewhere the windows of the run hold those of its pieces
+        parts += [("base64", m.start(), m[0], allowed) for m in PIECE.finditer(run)]
+    parts += [("hex", m.start(), m[0], allowed) for m in STRETCH.finditer(run)]
+    spans = []
+    for kind, at, part, known in parts:
+        spans += [(at + a, at + b) for a, b in high_entropy(part, *CLASSES[kind], [(a - at, b - at) for a, b in known])]
+    out = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     spans = []
     for t in LONG.finditer(text):
         for m in RUN.finditer(t[0]):
-            run = m[0]
-            kind = char_class(run)
-            if kind is None or len(run) < CLASSES[kind][0] or any(a.fullmatch(run) for a in ALLOWED):
-                continue
             at = t.start() + m.start()
-            spans += [(at + a, at + b) for a, b in high_entropy(run, *CLASSES[kind])]
+            spans += [(at + a, at + b) for a, b in run_spans(m[0])]
     return spans
 
 
