@@ -9,8 +9,11 @@ count in a very long text too.
 
 Training reads a bounded sample: the ``SAMPLE`` labelled documents of each
 class with the smallest hash of doc_id, whole texts; weights restore the true
-share of the classes. The model is ``SELECTED`` weights. Its fit on the
-driver handles at most 2 x SAMPLE sparse rows over these features.
+share of the classes. A doc_id that repeats weighs as one document: its rows
+are merged by text, each text with its share. Should the distinct texts exceed
+the bound, every doc_id's first text (by hash) goes before further ones. The
+model is ``SELECTED`` weights. Its fit on the driver handles at most 2 x SAMPLE
+sparse rows over these features, which a count checks first.
 Scoring is one scan of all whole texts without a shuffle.
 
 Rows: NULL or empty text scores as a text without features (the intercept);
@@ -78,16 +81,16 @@ def training_ids(labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, di
 
 def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for y, text in zip(b.column(0).to_pylist(), b.column(1)):
+        for y, weight, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             found = np.unique(ngrams(text.as_py() or "")).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([found], pa.list_(pa.int32()))], names=["y", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([weight], pa.float64()), pa.array([found], pa.list_(pa.int32()))], names=["y", "weight", "grams"])
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, 1 << BITS), np.int64)
+    counts = np.zeros((2, 1 << BITS))
     for b in batches:
-        for y, grams in zip(b.column(0).to_pylist(), b.column(1)):
-            counts[y][grams.values.to_numpy()] += 1
+        for y, weight, grams in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            counts[y][grams.values.to_numpy()] += weight
     gram = np.nonzero(counts.sum(axis=0))[0]
     yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(counts[0][gram]), pa.array(counts[1][gram])], names=["gram", "clean", "toxic"])
 
@@ -123,18 +126,30 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def training_rows(docs: DataFrame, ids: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(y, weight, text), at most 2 x sample rows: one a distinct text of a sampled doc_id, weights of a doc_id add up to 1."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # at most 2 x sample ids are broadcast; repeats are merged before they move
+    once = store(texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y", F.xxhash64("text").alias("h")).agg(F.count("*").alias("times"), F.first("text").alias("text")), "toxic_texts")
+    firsts = once.groupBy("doc_id").agg(F.min("h").alias("least"))
+    if once.count() > 2 * sample:
+        ranked = once.join(firsts, "doc_id").withColumn("further", F.col("h") != F.col("least"))
+        pick = lambda y: ranked.where(F.col("y") == y).select("doc_id", "h", "further").orderBy("further", F.xxhash64("doc_id", "h"), "doc_id", "h").limit(sample)
+        once = store(once.join(F.broadcast(pick(0).unionByName(pick(1)).select("doc_id", "h")), ["doc_id", "h"]), "toxic_texts")
+    all_times = once.groupBy("doc_id").agg(F.sum("times").alias("all"))
+    return once.join(F.broadcast(all_times), "doc_id").select("y", (F.col("times") / F.col("all")).alias("weight"), "text")
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, selected: int = SELECTED) -> Model:
     ids, total = training_ids(labels, sample)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    picked = texts.join(F.broadcast(ids), "doc_id").select("y", "text")  # at most 2 x sample ids
-    rows = store(picked.mapInArrow(_present, "y int, grams array<int>"), "toxic_rows")
-    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    rows = store(training_rows(docs, ids, sample).mapInArrow(_present, "y int, weight double, grams array<int>"), "toxic_rows")
+    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.sum("weight").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return Model(None, 0.0)
-    counts = rows.mapInArrow(_document_counts, "gram long, clean long, toxic long").groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = rows.mapInArrow(_document_counts, "gram long, clean double, toxic double").groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     p, q = (F.col("toxic") + ALPHA) / (n[1] + 2 * ALPHA), (F.col("clean") + ALPHA) / (n[0] + 2 * ALPHA)
     counts = counts.withColumn("ratio", F.log(p) - F.log(q)).withColumn("gain", F.abs(F.col("ratio")) * F.abs(p - q))
-    best = counts.where("clean + toxic >= 3").orderBy(F.col("gain").desc(), "gram").limit(selected).select("gram", "ratio").toPandas()
+    best = counts.where("clean + toxic >= 3 - 1e-9").orderBy(F.col("gain").desc(), "gram").limit(selected).select("gram", "ratio").toPandas()
     if not len(best):
         return Model(None, 0.0)
     at = np.full(1 << BITS, -1, np.int32)
@@ -143,17 +158,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, selected: in
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shared.value[g.values.to_numpy()] for g in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[f >= 0] for f in found], pa.list_(pa.int32()))], names=["y", "at"])
+            found = [shared.value[g.values.to_numpy()] for g in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([f[f >= 0] for f in found], pa.list_(pa.int32()))], names=["y", "weight", "at"])
 
-    data = rows.mapInArrow(only, "y int, at array<int>").toArrow()  # at most 2 x sample rows of selected features
+    data = rows.mapInArrow(only, "y int, weight double, at array<int>").toArrow()  # at most 2 x sample rows of selected features
     y = data["y"].to_numpy().astype(float)
     lists = data["at"].combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
     cols = lists.flatten().to_numpy()
     ratio = best["ratio"].to_numpy()
     share = {c: total[c] / n[c] for c in (0, 1)}
-    w, b = fit_logistic(np.repeat(np.arange(len(y)), sizes), cols, ratio[cols], y, np.where(y == 1, share[1], share[0]), len(best))
+    w, b = fit_logistic(np.repeat(np.arange(len(y)), sizes), cols, ratio[cols], y, data["weight"].to_numpy() * np.where(y == 1, share[1], share[0]), len(best))
     weights = np.zeros(1 << BITS, np.float32)
     weights[best["gram"].to_numpy()] = w * ratio
     return Model(weights, b)

@@ -128,6 +128,15 @@ def test_op3_held_out_labels_change_nothing(spark):
     same(rows_of(op3.op3(docs, labels), "doc_id", "score"), rows_of(op3.op3(docs, flipped), "doc_id", "score"))
 
 
+def test_op3_repeated_ids_are_bounded_and_weigh_once(spark):
+    rows = [(i, prose(i, 20), "en", "a") for i in range(6)] + [(0, prose(0, 20), "en", "a")] * 50 + [(1, prose(100 + i, 20), "en", "a") for i in range(40)]
+    ids = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, y int")
+    got = op3.training_rows(table(spark, rows), ids, 100).collect()
+    assert len(got) == 46 and sum(r.weight for r in got) == pytest.approx(6)
+    got = op3.training_rows(table(spark, rows), ids, 5).collect()
+    assert len(got) == 3 + 5 and {prose(i, 20) for i in (0, 2, 3, 4, 5)} <= {r.text for r in got}
+
+
 def test_op3_without_labels_scores_zero(spark, edge):
     out = op3.op3(edge, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {tuple(r) for r in out.select("score", "predicted").collect()} == {(0.0, 0)}
