@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 FAST_KEYS = ["stg_pulls", "stg_issues", "int_pr_lifecycle", "fact_issue_aging", "mart_repo_health_daily",
              "labels_csv", "cursor_upsert", "new_data_gate", "dq_report", "top_stale_repos", "scd2_merge",

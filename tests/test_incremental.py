@@ -12,7 +12,7 @@ from repo_pulse.operators import upsert as up
 from repo_pulse.operators.dedup import latest_version, version_order
 from repo_pulse.sources import fixtures as fx
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 
 def _same(a, b):

@@ -10,7 +10,7 @@ from repo_pulse.session import new_work_dir
 from repo_pulse.sources import fixtures as fx
 from repo_pulse.sources import landing
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 
 @pytest.mark.parametrize("state", [None, {}], ids=["rebuild", "incremental"])

@@ -13,7 +13,7 @@ from repo_pulse.sources import fixtures as fx
 from repo_pulse.sources import landing
 from repo_pulse.streaming import streams
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 
 
 def _same(a, b):
