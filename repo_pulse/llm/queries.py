@@ -17,6 +17,9 @@ from repo_pulse.llm import (
     op8_neighbours,
     op9_packing,
     op10_language,
+    op11_metric_join,
+    op12_conversations,
+    op13_manifest,
 )
 from repo_pulse.llm.common import table
 
@@ -43,9 +46,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbours": _on(op8_neighbours.op8, "embeddings"),
         "op9_packing": _on(op9_packing.op9, "documents"),
         "op10_language": _on(op10_language.op10, "documents"),
+        "op11_metric_join": _on(op11_metric_join.op11, "embeddings"),
+        "op12_conversations": _on(op12_conversations.op12, "conversations"),
+        "op13_manifest": _on(op13_manifest.op13, "documents"),
         "pipeline": _pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": op2_mixing.ORACLE}
+    return {"op2_mixing": op2_mixing.ORACLE, "op11_metric_join": op11_metric_join.ORACLE, "op13_manifest": op13_manifest.ORACLE}
