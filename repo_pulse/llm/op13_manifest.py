@@ -301,13 +301,13 @@ WITH RECURSIVE d AS (
   UNION ALL
   SELECT level + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], ''))) FROM top WHERE len(nodes) > 1
 ), steps AS (
-  SELECT p.doc_id, p.source, p.pos, u.level, (p.pos // (3 ** u.level)::BIGINT)::BIGINT AS at, u.nodes
+  SELECT p.doc_id, p.source, p.pos, u.level, (p.pos // (3 ** u.level)::BIGINT)::BIGINT AS spot, u.nodes
   FROM placed p JOIN up u ON u.source IS NOT DISTINCT FROM p.source AND len(u.nodes) > 1
   UNION ALL
   SELECT p.doc_id, p.source, p.pos, 1000 + t.level, (s.pos // (3 ** t.level)::BIGINT)::BIGINT, t.nodes
   FROM placed p JOIN subs s ON s.source IS NOT DISTINCT FROM p.source JOIN top t ON len(t.nodes) > 1
 ), paths AS (
-  SELECT source, pos, list({'b': coalesce(array_to_string(nodes[at - at % 3 + 1:at], ''), ''), 'a': coalesce(array_to_string(nodes[at + 2:at - at % 3 + 3], ''), '')} ORDER BY level) AS path
+  SELECT source, pos, list({'b': coalesce(array_to_string(nodes[spot - spot % 3 + 1:spot], ''), ''), 'a': coalesce(array_to_string(nodes[spot + 2:spot - spot % 3 + 3], ''), '')} ORDER BY level) AS path
   FROM steps GROUP BY source, pos
 )
 SELECT p.doc_id, p.leaf, s.subroot, r.nodes[1] AS root,
