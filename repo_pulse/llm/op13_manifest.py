@@ -247,7 +247,7 @@ def manifest(docs: DataFrame, stride: int = STRIDE) -> DataFrame:
     """doc_id, group, digest, tampered, subroot, root, path of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     first = F.col("doc_id")
-    nodes = store(numbered(leaves(docs), "group", "doc_id", "digest").select("group", "pos", "width", "digest", first, "tampered"), "leaves")
+    nodes = store(numbered(store(leaves(docs), "digests"), "group", "doc_id", "digest").select("group", "pos", "width", "digest", first, "tampered"), "leaves")
     levels = checkpoints(nodes, stride)
     subroots = levels[-1].select(F.lit(ALL).alias("group"), F.col("group").alias("source_key"), "digest", F.lit(0).alias("uid"))
     tops = numbered(subroots, "group", "source_key").select("group", "pos", "width", "digest", "source_key")
