@@ -42,7 +42,17 @@ def as_versions(snapshot: DataFrame) -> DataFrame:
 
 def scd2_merge(history: DataFrame | None, snapshot: DataFrame, now: dt.datetime,
                invalidate_hard_deletes: bool = True) -> DataFrame:
-    """H1: merge one snapshot of the source into the history (timestamp strategy).
+    """H1: the whole history after a snapshot, see ``scd2_step``."""
+    if history is None:
+        return as_versions(snapshot)
+    closed = history.filter(F.col("valid_to").isNotNull())
+    step = scd2_step(history.filter(F.col("valid_to").isNull()), closed, snapshot, now, invalidate_hard_deletes)
+    return closed.select(*HISTORY_COLS).unionByName(step)
+
+
+def scd2_step(open_: DataFrame, closed: DataFrame, snapshot: DataFrame, now: dt.datetime,
+              invalidate_hard_deletes: bool = True) -> DataFrame:
+    """H1: the open versions and those newly closed after merging one snapshot of the source into the history (timestamp strategy).
 
     * key without an open version -> new open version (first sight or reappearance);
     * newer ``updated_at`` -> open version closed at the new ``updated_at``, new one opened;
@@ -53,13 +63,10 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, now: dt.datetime,
     a key never overlap and ``valid_from < valid_to``. A version that would
     end where it began was never current and leaves the history, so
     ``version_id`` stays unique. One full outer join of open versions with the
-    snapshot; closed versions are only looked up for keys that have no open one.
+    snapshot; versions closed before are only looked up for keys that have no
+    open one, and are not part of the result: they never change again.
     """
     snap = as_versions(snapshot)
-    if history is None:
-        return snap
-    closed = history.filter(F.col("valid_to").isNotNull())
-    open_ = history.filter(F.col("valid_to").isNull())
     o, s = open_.alias("o"), snap.alias("s")
     j = o.join(s, F.col("o.snapshot_key") == F.col("s.snapshot_key"), "full_outer")
     has_o, has_s = F.col("o.version_id").isNotNull(), F.col("s.version_id").isNotNull()
@@ -81,7 +88,7 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, now: dt.datetime,
                 .withColumn("valid_from", start)
                 .withColumn("version_id", _version_id(F.col("snapshot_key"), F.col("valid_from")))
                 .select(*HISTORY_COLS))
-    return closed.select(*HISTORY_COLS).unionByName(old_rows).unionByName(new_rows)
+    return old_rows.unionByName(new_rows)
 
 
 def scd2_from_history(versions: DataFrame) -> DataFrame:

@@ -26,11 +26,11 @@ from repo_pulse.operators import mart
 from repo_pulse.operators import quality as dq
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators.dedup import latest_version, version_order
-from repo_pulse.plans import job
+from repo_pulse.plans import daily, job
 from repo_pulse.session import new_work_dir
 from repo_pulse.sources import cursors as cur
 from repo_pulse.sources import landing
-from repo_pulse.streaming import streams
+from repo_pulse.streaming import resumable, streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -684,6 +684,32 @@ def q_job_two_runs(spark, d):
     return job.transform_incremental({k: p[1] for k, p in parts.items()}, AS_OF, first, fact_partitions=None)["mart_repo_health_daily"]
 
 
+@register("mart_incremental")
+def q_mart_incremental(spark, d):
+    """M8 by differences after two arrivals on touched partitions; equals the full rebuild."""
+    return _touched(spark, d).parts["mart_repo_health_daily"].read()
+
+
+@register("int_partitions_roundtrip")
+def q_int_partitions_roundtrip(spark, d):
+    """The PR lifecycle partitioned by updated_at, after PRs moved between partitions; equals the full rebuild."""
+    return _touched(spark, d).parts["int_pr_lifecycle"].read()
+
+
+_TOUCHED: dict[tuple[str, str], daily.Tables] = {}
+
+
+def _touched(spark, d) -> daily.Tables:
+    """Durable tables after two arrivals, in partitions of a month (the test tables have few rows a day); once per session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TOUCHED:
+        parts = {k: _split(v) for k, v in {"pulls": fx.pulls_raw(spark, d), "issues": fx.issues_raw(spark, d), "pr_reviews": fx.reviews_raw(spark, d)}.items()}
+        root = new_work_dir(spark, "daily-tables")
+        first = daily.transform_touched(daily.Tables(), {k: p[0] for k, p in parts.items()}, root, FIRST_RUN_AS_OF, unit="month")
+        _TOUCHED[key] = daily.transform_touched(first, {k: p[1] for k, p in parts.items()}, root, AS_OF, unit="month")
+    return _TOUCHED[key]
+
+
 @register("schema_sync_upsert")
 def q_schema_sync_upsert(spark, d):
     """I8: target with a legacy column and without ``head_branch``; result has the source columns."""
@@ -791,5 +817,14 @@ def q_stream_dedup(spark, d):
     return streams.stream_dedup(spark, _land_issue_days(spark, d, redeliver=True))
 
 
+@register("stream_resumed_counts")
+def q_stream_resumed_counts(spark, d):
+    """ST2 with open days as its only state, in two calls on one checkpoint; final, open and late rows add up to the batch."""
+    root, out = _land_issue_days(spark, d), new_work_dir(spark, "stream-resumed")
+    resumable.daily_counts(spark, root, out, max_files=500)
+    resumable.daily_counts(spark, root, out)
+    return resumable.totals(spark, out)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

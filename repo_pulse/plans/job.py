@@ -11,11 +11,7 @@
    given the tables of the run before, only keys that arrived are recomputed;
 4. quality: the full check report, written next to the models.
 
-``run_daily`` does the same with tables that outlive the process: every run
-writes its tables to a folder of its own, then appends one row per table (run,
-path, schema) to a log in a single write; the newest rows of the log are the
-current tables. A run that dies before that write leaves no trace in them, and
-the next run takes its rows again, as the cursors did not move.
+``daily.run_daily`` does the same with tables that outlive the process.
 
 ``snapshot`` merges the current staging pulls into the SCD2 history.
 """
@@ -23,14 +19,10 @@ the next run takes its rows again, as the cursors did not move.
 from __future__ import annotations
 
 import datetime as dt
-import json
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from repo_pulse.functions import safe_bigint, safe_timestamp
 from repo_pulse.operators import history as hist
@@ -44,7 +36,6 @@ from repo_pulse.sources import cursors as cur
 from repo_pulse.sources import landing
 
 ENTITIES = ("pulls", "issues", "pr_reviews")
-RUN_LOG_SCHEMA = "seq long, name string, path string, table_schema string"
 CURSOR_SCHEMA = ("entity string, repo_full_name string, last_updated_at timestamp, "
                  "last_success_run timestamp, updated_at timestamp")
 
@@ -72,8 +63,7 @@ def ingest(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Map
 def _ingest(spark, landing_roots, raw_paths, cursors, now, first_run, runs, at=None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The advanced cursors, and the rows that this run appended to each raw table (stored)."""
     def landed(entity: str, with_pr_number: bool = False) -> DataFrame:
-        df = landing.read_landing(spark, landing_roots[entity], with_pr_number)
-        return df.filter(F.col("run_id").isin(list(runs))) if runs else df
+        return landing.read_landing(spark, landing_roots[entity], with_pr_number, runs)
 
     pulls = _feed(landed("pulls"), "pr_number")
     issues = _feed(landed("issues"), "issue_number", drop_pull_requests=True)
@@ -133,7 +123,7 @@ def transform_incremental(new_raw: Mapping[str, DataFrame], as_of: dt.date, stat
     ``issue_versions`` and ``review_versions`` are the latest versions with
     the hash that settles ties against later arrivals. ``fact_partitions``:
     None writes the facts unpartitioned (small tables over many days). ``at``:
-    the run's folder, see ``run_daily``.
+    a folder for the tables.
     """
     def before(name: str, like: DataFrame) -> DataFrame:
         return state[name] if state else like.limit(0)
@@ -196,47 +186,6 @@ def run_batch(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths:
     return out
 
 
-def load_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The current tables under ``root`` by name; none before the first run."""
-    tables = {n: spark.read.schema(StructType.fromJson(json.loads(r["table_schema"]))).parquet(r["path"])
-              for n, r in _log(spark, root).items()}
-    if "pull_versions" in tables:  # staging is a projection of the versions
-        tables["stg_pulls"], tables["stg_issues"] = tables["pull_versions"].drop("_tie"), tables["issue_versions"].drop("_tie")
-        tables["stg_reviews"] = tables["review_versions"].filter(F.col("pr_number").isNotNull()).drop("_tie")
-    return tables
-
-
-def _log(spark: SparkSession, root: str) -> dict:
-    """Newest log row of each table: about a dozen rows, however large the tables are."""
-    try:
-        log = spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/log")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    newest = log.groupBy("name").agg(F.max_by(F.struct("seq", "path", "table_schema"), "seq").alias("r"))
-    return {r["name"]: r["r"] for r in newest.collect()}
-
-
-def run_daily(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Mapping[str, str], root: str,
-              as_of: dt.date, now: dt.datetime, run_start: dt.datetime, **options) -> dict[str, DataFrame]:
-    """``run_batch`` on the tables under ``root``, incremental from the second run on; publishes its result there.
-
-    One run at a time. Folders of earlier runs stay readable; remove those the
-    log no longer points at when no reader needs them.
-    """
-    before, log = load_state(spark, root), _log(spark, root)
-    cursors = before.get("ingestion_cursors")
-    at = f"{root}/run-{uuid.uuid4().hex[:12]}"
-    out = run_batch(spark, landing_roots, raw_paths, spark.createDataFrame([], CURSOR_SCHEMA) if cursors is None else cursors,
-                    as_of, now, run_start, state=before, at=at, **options)
-    seq = max((r["seq"] for r in log.values()), default=0) + 1
-    fresh = [(seq, n, f"{at}/{n}", df.schema.json()) for n, df in out.items()
-             if df is not before.get(n) and n not in ("stg_pulls", "stg_issues", "stg_reviews")]
-    spark.createDataFrame(fresh, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/log")
-    return out
-
-
 def snapshot(history: DataFrame | None, stg_pulls: DataFrame, now: dt.datetime) -> DataFrame:
     """Merge the current staging pulls into the PR state history (new version)."""
     return commit_version(hist.scd2_merge(history, stg_pulls, now), "pr_state_history")

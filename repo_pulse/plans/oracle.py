@@ -540,6 +540,8 @@ SELECT 'pr_dates', repo_full_name, pr_number, 1 FROM fact_pr_cycle_time
 WHERE pr_number % 50 < 3 OR created_at IS NULL OR least(merged_at, closed_at, updated_at) < created_at
 UNION ALL
 SELECT 'unique', repo_full_name, issue_number, 2 FROM stg_issues WHERE issue_number % 100 = 7"""),
+    "mart_incremental": _q(MART, "SELECT * FROM mart_repo_health_daily"),
+    "int_partitions_roundtrip": _q(PR_CHAIN, "SELECT * FROM int_pr_lifecycle"),
     "job_two_runs": _q(MART, "SELECT * FROM mart_repo_health_daily"),
     "schema_sync_upsert": _q((PULL_VERSIONS,), "SELECT s.* REPLACE (CASE WHEN " + BATCH2_TOUCHED +
                              " THEN s.head_branch END AS head_branch) FROM stg_pulls s"),
@@ -555,6 +557,9 @@ SELECT 'unique', repo_full_name, issue_number, 2 FROM stg_issues WHERE issue_num
     "stream_daily_counts": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT CAST(updated_at AS DATE) AS metric_date, "
                               "repo_full_name, CAST(count(*) AS BIGINT) AS issue_events_count FROM issues_kept "
                               "WHERE updated_at IS NOT NULL GROUP BY ALL"),
+    "stream_resumed_counts": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT CAST(updated_at AS DATE) AS metric_date, "
+                              "repo_full_name, CAST(count(*) AS BIGINT) AS issue_events_count FROM issues_kept "
+                              "WHERE updated_at IS NOT NULL GROUP BY ALL"),
     "stream_dedup": _q((ISSUE_VERSIONS, ISSUES_KEPT), "SELECT DISTINCT repo_full_name, issue_number, updated_at, "
                        "ingestion_date FROM issues_kept WHERE updated_at IS NOT NULL"),
 })

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ REVIEW_LANDING_SCHEMA = ("ingestion_date date, repo_full_name string, pr_number
 EVENT_TYPES = {"pulls": "pull", "issues": "issue", "pr_reviews": "pr_review"}
 CHUNK_RECORDS = 2000
 PARTITION_COLS = ["dt", "repo", "run_id"]
+RUN_LIST = "_runs"  # beside the day folders; Spark's readers pass over names with an underscore
 
 
 def envelope(records: DataFrame, event_type: str, as_of: dt.date,
@@ -70,20 +72,66 @@ def write_landing(raw: DataFrame, root: str, run_id: str | Column, max_records:
     """
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
     lines = landing_lines(raw, load_date, run)
+    # one row a run: which folders it wrote, so that a reader of the run lists no others
+    landed = lines.groupBy("run_id").agg(F.collect_set(F.struct("dt", "repo")).alias("folders"))
     (lines.hint("rebalance", "dt", "repo").write.mode("append")
           .option("maxRecordsPerFile", max_records)
           .partitionBy(*PARTITION_COLS)
           .text(root))
+    landed.write.mode("append").parquet(f"{root}/{RUN_LIST}")
 
 
-def read_landing(spark: SparkSession, path: str, with_pr_number: bool = False) -> DataFrame:
+def run_folders(spark: SparkSession, root: str, runs: Sequence[str], since: str | None = None) -> list[str]:
+    """Folders of the runs named, from the list of landed runs; ``since``: the first load day of interest.
+
+    The list has one row a run and the driver gets the folders of these runs
+    alone. A run that another writer landed is not in it; its folders are found
+    by name.
+    """
+    names = [f"{root}/dt=*/repo=*/run_id={escaped(spark, r)}" for r in runs]
+
+    def there(name: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+    try:
+        listed = spark.read.schema("run_id string, folders array<struct<dt:string,repo:string>>").parquet(f"{root}/{RUN_LIST}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return [n for n in names if there(n)]
+    listed = listed.filter(F.col("run_id").isin(list(runs)))
+    found = {r["run_id"] for r in listed.select("run_id").distinct().collect()}
+    rows = listed.select("run_id", F.inline("folders")).distinct()
+    if since:
+        rows = rows.filter(F.col("dt") >= since)
+    out = [f"{root}/dt={escaped(spark, r['dt'])}/repo={escaped(spark, r['repo'])}/run_id={escaped(spark, r['run_id'])}" for r in rows.collect()]
+    return sorted(out) + [n for n, r in zip(names, runs) if r not in found and there(n)]
+
+
+def escaped(spark: SparkSession, value: str | None) -> str:
+    """A partition value as Spark names its folder."""
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def read_landing(spark: SparkSession, path: str, with_pr_number: bool = False, runs: Sequence[str] | None = None,
+                 since: str | None = None) -> DataFrame:
     """Scan landed NDJSON with the declared envelope schema.
 
     Partition columns (dt, repo, run_id) are available for pruning, e.g.
-    ``.filter(F.col('dt') >= '2024-03-01')`` reads only those folders.
+    ``.filter(F.col('dt') >= '2024-03-01')`` reads only those folders. With
+    ``runs`` only the folders of these runs are listed at all, and with
+    ``since`` only those of load days from it on.
     """
     schema = REVIEW_LANDING_SCHEMA if with_pr_number else LANDING_SCHEMA
-    df = spark.read.schema(schema).json(path)
+    if runs:
+        folders = run_folders(spark, path, runs, since)
+        whole = schema + ", dt date, repo string, run_id string"
+        df = spark.read.schema(whole).option("basePath", path).json(folders) if folders else spark.createDataFrame([], whole)
+    else:
+        df = spark.read.schema(schema).json(path)
     base = [c.split()[0] for c in schema.split(", ")]
     return df.select(*base, *[c for c in PARTITION_COLS if c in df.columns])
 

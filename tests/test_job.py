@@ -34,33 +34,6 @@ def test_run_batch_end_to_end(spark, state):
     assert h.filter(F.col("valid_to").isNull()).count() == out["stg_pulls"].count()
 
 
-def test_run_daily_publishes_tables_that_the_next_run_finds(spark):
-    roots = {e: new_work_dir(spark, f"t-landing-{e}") for e in job.ENTITIES}
-    raws = {e: new_work_dir(spark, f"t-raw-{e}") for e in job.ENTITIES}
-    root, day = new_work_dir(spark, "t-tables"), dt.date(2024, 3, 1)
-    raw = {"pulls": fx.pulls_raw(spark, SF_SMALL), "issues": fx.issues_raw(spark, SF_SMALL), "pr_reviews": fx.reviews_raw(spark, SF_SMALL)}
-    assert job.load_state(spark, root) == {}
-
-    def run(n: int, odd: bool):
-        for e, df in raw.items():  # whole repos arrive, so no row is older than its repo's cursor
-            part = df.filter((F.crc32(F.col("repo_full_name").cast("binary")) % 2 == int(odd)))
-            landing.write_landing(part, roots[e], f"r{n}", load_date=day)
-        now = dt.datetime(2024, 3, 1 + n)
-        return job.run_daily(spark, roots, raws, root, day, now, now - dt.timedelta(hours=1), runs=[f"r{n}"], fact_partitions=None)
-
-    run(1, False)
-    first = job.load_state(spark, root)
-    n_first = first["stg_pulls"].count()
-    run(2, True)
-    second = job.load_state(spark, root)
-    assert 0 < n_first < second["stg_pulls"].count()
-    assert first["stg_pulls"].count() == n_first  # the version before stays as it was
-    whole = job.transform(spark, raws, day)
-    for name in ("int_pr_lifecycle", "fact_issue_aging", "mart_repo_health_daily"):
-        a, b = second[name].select(sorted(second[name].columns)), whole[name].select(sorted(whole[name].columns))
-        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-
-
 def test_many_runs_land_in_one_pass(spark):
     raw = spark.range(6).select(F.lit(dt.date(2024, 1, 1)).alias("ingestion_date"), F.lit("o/r").alias("repo_full_name"),
                                 F.lit("issue").alias("event_type"), F.format_string('{"number":%d}', "id").alias("payload"), "id")
