@@ -700,13 +700,13 @@ _TOUCHED: dict[tuple[str, str], daily.Tables] = {}
 
 
 def _touched(spark, d) -> daily.Tables:
-    """Durable tables after two arrivals, in partitions of a month (the test tables have few rows a day); once per session."""
+    """Durable tables after two arrivals, in partitions of a year (the test tables have few rows a day); once per session."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _TOUCHED:
         parts = {k: _split(v) for k, v in {"pulls": fx.pulls_raw(spark, d), "issues": fx.issues_raw(spark, d), "pr_reviews": fx.reviews_raw(spark, d)}.items()}
         root = new_work_dir(spark, "daily-tables")
-        first = daily.transform_touched(daily.Tables(), {k: p[0] for k, p in parts.items()}, root, FIRST_RUN_AS_OF, unit="month")
-        _TOUCHED[key] = daily.transform_touched(first, {k: p[1] for k, p in parts.items()}, root, AS_OF, unit="month")
+        first = daily.transform_touched(daily.Tables(), {k: p[0] for k, p in parts.items()}, root, FIRST_RUN_AS_OF, unit="year", buckets=1)
+        _TOUCHED[key] = daily.transform_touched(first, {k: p[1] for k, p in parts.items()}, root, AS_OF, unit="year", buckets=1)
     return _TOUCHED[key]
 
 

@@ -37,7 +37,7 @@ from repo_pulse.operators import mart_delta as md
 from repo_pulse.operators import quality as dq
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators.dedup import latest_version, version_order
-from repo_pulse.operators.part_table import NO_PART, PartTable, day_of, delete
+from repo_pulse.operators.part_table import NO_PART, PartTable, day_of, delete, part_of_day
 from repo_pulse.operators.upsert import ISSUE_KEY, PULL_KEY, REVIEW_KEY, commit_version, matching
 from repo_pulse.plans.job import CURSOR_SCHEMA, ENTITIES, _feed
 from repo_pulse.sources import cursors as cur
@@ -89,12 +89,17 @@ class Tables:
 # ---------------------------------------------------------------- transform
 
 
-def _table(tables: Tables, name: str, like: DataFrame, root: str, unit: str) -> PartTable:
+def mart_unit(unit: str) -> str:
+    """Mart rows are few a day (one a repo): days would make small files."""
+    return "month" if unit == "day" else unit
+
+
+def _table(tables: Tables, name: str, like: DataFrame, root: str, unit: str, buckets: int = md.BUCKETS) -> PartTable:
     """The table of the run before, or an empty one with the columns of ``like``."""
     if name in tables.parts:
         return tables.parts[name]
     _, column, cluster = LAYOUT[name]
-    part = day_of(column, unit) if column else md.bucket_part(unit)
+    part = day_of(column, unit) if column else md.bucket_part(mart_unit(unit), buckets)
     return PartTable(like.sparkSession, f"{root}/{name}", like.schema, part, cluster)
 
 
@@ -114,7 +119,7 @@ def first_created(tables: Sequence[PartTable], as_of: dt.date) -> dt.date:
 
 
 def transform_touched(before: Tables, new_raw: Mapping[str, DataFrame], root: str, as_of: dt.date,
-                      stale_days: int = lc.DEFAULT_STALE_DAYS, unit: str = "day") -> Tables:
+                      stale_days: int = lc.DEFAULT_STALE_DAYS, unit: str = "day", buckets: int = md.BUCKETS) -> Tables:
     """The tables after the raw rows ``new_raw``; equals a full rebuild over all raw rows so far."""
     if before.as_of and as_of < before.as_of:
         raise ValueError(f"the run before was for {before.as_of}; {as_of} is earlier")
@@ -156,13 +161,13 @@ def transform_touched(before: Tables, new_raw: Mapping[str, DataFrame], root: st
 
     change = _stored(md.changes(md.contributions(old_pr, old_issue, stale_days), md.contributions(new_pr, new_issue, stale_days)), "mart_change")
     repos = new_pr.select("repo_full_name").union(new_issue.select("repo_full_name")).distinct()
-    refresh_mart(before, out, change, repos, root, unit)
+    refresh_mart(before, out, change, repos, root, unit, buckets)
     return out
 
 
-def refresh_mart(before: Tables, out: Tables, change: DataFrame, arrived_repos: DataFrame, root: str, unit: str) -> None:
+def refresh_mart(before: Tables, out: Tables, change: DataFrame, arrived_repos: DataFrame, root: str, unit: str, buckets: int) -> None:
     """M8 by differences: only affected repos and days are computed, and the calendar grows to the run's day."""
-    sums = _table(before, "mart_sums", change, root, unit)
+    sums = _table(before, "mart_sums", change, root, unit, buckets)
     now = _stored(md.added(sums.rows_of(change, md.KEY), change), "mart_sums")
     out.parts["mart_sums"] = sums = sums.merged(change, now, md.KEY, places=())
     first = first_created([out.parts["fact_pr_cycle_time"], out.parts["fact_issue_aging"]], out.as_of)
@@ -172,20 +177,19 @@ def refresh_mart(before: Tables, out: Tables, change: DataFrame, arrived_repos:
     if old is None:
         known = arrived_repos.limit(0)
     else:
-        last = before.as_of.isoformat()[:7 if unit == "month" else 10]
+        last = part_of_day(before.as_of, mart_unit(unit))
         known = old.between(last, f"{last}.~").filter(F.col("metric_date") == F.lit(before.as_of)).select("repo_full_name")
     new = matching(arrived_repos, known, ["repo_full_name"], "left_anti").select("repo_full_name", F.lit(True).alias("is_new"))
     repos = known.select("repo_full_name", F.lit(whole).alias("is_new")).unionByName(new)
     start = _stored(md.starts(repos, change, first, since), "mart_starts")
-    cut = slice(0, 7 if unit == "month" else 10)
     low = start.agg(F.min("start").alias("d")).first()["d"] or first
     if old is None or whole:
         carried = sums.read([]).select("repo_full_name", "metric_date", F.lit(0).alias("open_issues_count"), F.lit(0).alias("stale_issues_count"))
     else:
-        carried = old.between((low - dt.timedelta(days=1)).isoformat()[cut])
-    rows = md.rows_from(start, sums.between(low.isoformat()[cut]), carried, out.as_of)
+        carried = old.between(part_of_day(low - dt.timedelta(days=1), mart_unit(unit)))
+    rows = md.rows_from(start, sums.between(part_of_day(low, mart_unit(unit))), carried, out.as_of)
     rows = _stored(rows, "mart_rows")
-    table = _table(before, "mart_repo_health_daily", rows, root, unit)
+    table = _table(before, "mart_repo_health_daily", rows, root, unit, buckets)
     if whole:
         places = set(table.parts) | {r["p"] for r in rows.select(F.expr(table.part).alias("p")).distinct().collect()}  # one row a partition
         out.parts["mart_repo_health_daily"] = table.replaced(places, rows)
@@ -319,10 +323,11 @@ def _drop(spark: SparkSession, row, kept: list) -> int:
 
 def run_daily(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths: Mapping[str, str], root: str, as_of: dt.date,
               now: dt.datetime, runs: Sequence[str] | None = None, first_run: str = "full", stale_days: int = lc.DEFAULT_STALE_DAYS,
-              unit: str = "day", keep: int | None = None) -> Tables:
+              unit: str = "day", keep: int | None = None, buckets: int = md.BUCKETS) -> Tables:
     """Ingest, gate, transform and quality report on the tables under ``root``; one run at a time.
 
-    ``unit``: partitions of a day or a month; ``keep``: runs whose tables stay
+    ``unit``: partitions of a day, month or year (mart: month or year, within
+    ``buckets`` of repos; both are fixed by the first run); ``keep``: runs whose tables stay
     readable (default: all). Without rows new to raw only the cursors move.
     """
     before = load(spark, root)
@@ -330,7 +335,7 @@ def run_daily(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths:
     new_cursors, rows, raw = ingest(spark, landing_roots, before, raw_paths, now, first_run, runs, at)
     n = sum(df.count() for df in rows.values())
     if n:
-        after = transform_touched(before, rows, root, as_of, stale_days, unit)
+        after = transform_touched(before, rows, root, as_of, stale_days, unit, buckets)
         after.parts |= raw
         report = dq.report(after.views(stale_days), dt.datetime.combine(as_of, dt.time()))
         after.plain["dq_report"] = commit_version(report, "dq_report", at=at)
