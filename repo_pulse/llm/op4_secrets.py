@@ -9,7 +9,9 @@ character changes two counts, so a run of any length costs one step a
 character. Overlapping windows above the threshold merge into one span. A
 window inside what an allow-list entry matches does not count, nor does a span
 that a fixed pattern has found; a path of words explains windows across its
-separators, not its single words.
+separators, not its single words; a window of letters of one case needs more
+bits than others, as long words have what random letters have. Allowed spans
+and windows are walked side by side, so the work is linear in the text.
 
 Scale: one scan without a shuffle; whole texts, any length; memory is one
 Arrow batch.
@@ -41,6 +43,8 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 PIECE = re.compile(r"[A-Za-z0-9+]+")
 #: class: (window, bits); the shortest secret is one window
 CLASSES = {"hex": (16, 2.5), "base64": (16, 3.5)}
+#: Limit for windows that a word can fill: letters alone, all of one case but for one. Random ones have 3.5 bits as words do.
+WORD_BITS = 3.9
 STRETCH = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 ALLOWED = (
     re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])"),  # UUID
@@ -52,24 +56,39 @@ ALLOWED = (
 PATH = re.compile(r"(?<![0-9A-Za-z+])([A-Za-z]+[/_-])+[A-Za-z]+[0-9]{0,4}(?![0-9A-Za-z+])")  # path or identifier of words
 
 
-def high_entropy(run: str, window: int, bits: float, allowed: list[tuple[int, int]] = ()) -> list[tuple[int, int]]:
-    """Merged windows whose Shannon entropy is at least ``bits``, by incremental counts; windows inside ``allowed`` do not count."""
+def high_entropy(run: str, window: int, bits: float, allowed: list[tuple[int, int]] = (), words: float = 0.0) -> list[tuple[int, int]]:
+    """Merged windows whose Shannon entropy is at least ``bits``, by incremental counts; windows inside one of ``allowed`` (sorted) do not count.
+
+    Windows that a word can fill (letters alone, all of one case but for one) need ``words`` bits.
+    """
     part = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     limit = window * (math.log2(window) - bits) + 1e-9  # H >= bits  <=>  sum n log n <= limit
+    strict = window * (math.log2(window) - max(words, bits)) + 1e-9
     counts: dict[str, int] = {}
     total, spans = 0.0, []
+    upper = lower = 0
+    reach, at = 0, 0  # the farthest end of the allowed spans that start no later than the window, and how many there are
     for i, c in enumerate(run):
         if i >= window:
             old = run[i - window]
             n = counts[old]
             total += part[n - 1] - part[n]
             counts[old] = n - 1
+            upper -= "A" <= old <= "Z"
+            lower -= "a" <= old <= "z"
         n = counts.get(c, 0)
         total += part[n + 1] - part[n]
         counts[c] = n + 1
+        upper += "A" <= c <= "Z"
+        lower += "a" <= c <= "z"
         if i >= window - 1 and total <= limit:
             start = i - window + 1
-            if any(a <= start and i < b for a, b in allowed):
+            if total > strict and upper + lower == window and min(upper, lower) <= 1:
+                continue
+            while at < len(allowed) and allowed[at][0] <= start:
+                reach = max(reach, allowed[at][1])
+                at += 1
+            if i < reach:
                 continue
             if spans and start <= spans[-1][1]:
                 spans[-1] = spans[-1][0], i + 1
@@ -95,15 +114,12 @@ def run_spans(run: str) -> list[tuple[int, int]]:
     """Merged spans of high entropy in a run, over the run, its pieces and its stretches of hex."""
     if len(run) < 16:
         return []
-    allowed = [m.span() for a in ALLOWED for m in a.finditer(run)]
+    allowed = sorted(m.span() for a in ALLOWED for m in a.finditer(run))
     paths = [m.span() for m in PATH.finditer(run)]
-    parts = [("base64", 0, run, allowed + paths)]
+    spans = high_entropy(run, *CLASSES["base64"], sorted(allowed + paths), WORD_BITS)
     if paths:  # elsewhere the windows of the run hold those of its pieces
-        parts += [("base64", m.start(), m[0], allowed) for m in PIECE.finditer(run)]
-    parts += [("hex", m.start(), m[0], allowed) for m in STRETCH.finditer(run)]
-    spans = []
-    for kind, at, part, known in parts:
-        spans += [(at + a, at + b) for a, b in high_entropy(part, *CLASSES[kind], [(a - at, b - at) for a, b in known])]
+        spans += _in_parts(PIECE, run, allowed, *CLASSES["base64"], WORD_BITS)
+    spans += _in_parts(STRETCH, run, allowed, *CLASSES["hex"])
     out = []
     for a, b in sorted(spans):
         if out and a <= out[-1][1]:
@@ -113,6 +129,21 @@ def run_spans(run: str) -> list[tuple[int, int]]:
     return out
 
 
+def _in_parts(parts: re.Pattern, run: str, allowed: list[tuple[int, int]], window: int, bits: float, words: float = 0.0) -> list[tuple[int, int]]:
+    """Windows of high entropy in each part of a run; parts and allowed spans are walked side by side."""
+    spans, open_, at = [], [], 0
+    for m in parts.finditer(run):
+        start, end = m.span()
+        if end - start < window:
+            continue
+        while at < len(allowed) and allowed[at][0] < end:
+            open_.append(allowed[at])
+            at += 1
+        open_ = [x for x in open_ if x[1] > start]  # those that can hold a window of this part or a later one
+        spans += [(start + a, start + b) for a, b in high_entropy(m[0], window, bits, [(a - start, b - start) for a, b in open_], words)]
+    return spans
+
+
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     spans = []
     for t in LONG.finditer(text):
@@ -125,8 +156,14 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, all spans), each (start, kind number, end)."""
     base = base_spans(text or "")
-    inside = [(s, 3, e) for s, e in entropy_spans(text or "") if not any(a <= s and e <= b for a, _, b in base)]
-    return base, sorted(base + inside)
+    more, reach, at = [], 0, 0
+    for s, e in entropy_spans(text or ""):  # in order of start
+        while at < len(base) and base[at][0] <= s:
+            reach = max(reach, base[at][2])
+            at += 1
+        if e > reach:  # else a fixed pattern holds it
+            more.append((s, 3, e))
+    return base, sorted(base + more)
 
 
 def listed(spans: list[tuple[int, int, int]]) -> str:

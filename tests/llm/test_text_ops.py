@@ -228,3 +228,35 @@ def test_empty_table(spark, op):
 def test_empty_table_with_labels(spark):
     assert op3.op3(table(spark, []), spark.createDataFrame([], "doc_id long, toxic int")).collect() == []
     assert op2.mix(table(spark, [])).collect() == []
+
+
+def test_entropy_scan_is_linear_in_a_run():
+    """One run of keys and numbers, joined: four times the length takes no more than about four times as long."""
+    import random
+    import time
+
+    r = random.Random(5)
+
+    def run(n):
+        return "_".join(f"{r.getrandbits(160):040x}_{r.randint(1000, 9999)}" for _ in range(n))
+
+    def seconds(text):
+        began = time.process_time()
+        op4.scan(text)
+        return time.process_time() - began
+
+    short, long = run(1000), run(4000)
+    seconds(short)
+    assert seconds(long) < 10 * min(seconds(short) for _ in range(3))
+
+
+def test_entropy_spans_are_secrets_and_not_words():
+    import random
+
+    r = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(r.choice(letters) for _ in range(20)) for _ in range(500)]
+    found = sum(bool(op4.scan(f"the key is {k} here")[1]) for k in keys)
+    assert found >= 440
+    words = ["keitlichenzuversch", "rkeitpfenchachst", "Erstingbleonedlyr", "uncopyrightable", "Donaudampfschifffahrt", "internationalization"]
+    assert not any(op4.scan(f"so {w} it is")[1] for w in words)
