@@ -10,8 +10,8 @@ better neighbour with probability below 1 - CONFIDENCE.
 
 Scale: a top-level kd-tree over a bounded, hash-chosen sample of projected
 rows (``SAMPLE``) cuts the space into leaves; every row is indexed in its
-leaf. A leaf is split into blocks of about ``BLOCK_ROWS`` rows (by hash, so
-equal vectors spread too); each block has a tree of its own. A query searches
+leaf. A leaf is split into blocks of about ``BLOCK_ROWS`` rows (by row, so
+equal vectors and rows of one vec_id spread too); each block has a tree of its own. A query searches
 its home leaf first; its k-th distance then sends it only to leaves whose box
 passes the same stopping test, in blocks of queries. Rows and queries meet by
 an equi-join on (leaf, block); box table and sample are bounded.
@@ -167,7 +167,7 @@ def _meet(rows: DataFrame, visits: DataFrame, blocks: dict[tuple[int, int], int]
         return spark.createDataFrame([], "query_id long, vec_id long, score double")
     plan = spark.createDataFrame([(d, leaf, blocks[d, leaf], n) for (d, leaf), n in load.items()], "dim int, leaf int, blocks int, parts int")
     on = ["dim", "leaf"]
-    r = rows.join(F.broadcast(plan), on).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    r = rows.join(F.broadcast(plan), on).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     r = r.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     q = visits.join(F.broadcast(plan), on).withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts")).cast("int"))
     q = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -192,7 +192,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, confidence: float =
     def leaf_of(at: pd.Series) -> pd.Series:
         return pd.Series(_leaf(np.stack(at.to_list()), cuts) if len(at) else [], dtype="int32")
 
-    indexed = store(indexed.withColumn("leaf", leaf_of("at")), "indexed")
+    indexed = store(indexed.withColumn("leaf", leaf_of("at")).withColumn("row", F.monotonically_increasing_id()), "indexed")
     sides = [f(F.col("at")[i]).alias(f"{name}{i}") for i in range(PROJECTED) for name, f in (("lo", F.min), ("hi", F.max))]
     boxes = indexed.groupBy("dim", "leaf").agg(F.count("*").alias("n"), *sides).toPandas()  # at most MOST_LEAVES a vector length
     blocks = {(int(d), int(leaf)): int(-(-m // BLOCK_ROWS)) for d, leaf, m in zip(boxes["dim"], boxes["leaf"], boxes["n"])}
