@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from helpers import edge_rows, prose, rows_of, same, table
@@ -241,7 +242,7 @@ def test_op7_drops_recurring_lines_but_the_first(spark):
         (1, f"{prose(1, 9)}\n{line}\nshort line", "en", "a"), (2, f"{line}\n{prose(2, 9)}\nshort line", "en", "a"),
         (3, f"{other}\n{other}\n{prose(3, 9)}", "en", "a"), (4, near, "en", "a"), (5, None, "en", "a"), (6, prose(6, 9), "en", "a")])
     got = dict(rows_of(op7.line_dedup(docs), "doc_id", "text"))
-    assert got == {1: f"{prose(1, 9)}\n{line}\nshort line", 2: f"{prose(2, 9)}\nshort line", 3: prose(3, 9), 4: "", 5: None, 6: prose(6, 9)}
+    assert got == {1: f"{prose(1, 9)}\n{line}\nshort line", 2: prose(2, 9), 3: prose(3, 9), 4: "", 5: None, 6: prose(6, 9)}
 
 
 def test_op7_exact_lines_equal_brute_force(spark, edge):
@@ -251,11 +252,11 @@ def test_op7_exact_lines_equal_brute_force(spark, edge):
     forms = lambda t: [" ".join(op7.masked(x)) for x in (t or "").split("\n")]
     for d, t, *_ in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for f in forms(t):
-            if len(f.split()) >= op7.MIN_TOKENS:
+            if f:
                 first.setdefault(f, d)
     want = []
     for d, t, *_ in rows:
-        keep = [x for x, f in zip((t or "").split("\n"), forms(t)) if len(f.split()) < op7.MIN_TOKENS or first[f] == d]
+        keep = [x for x, f in zip((t or "").split("\n"), forms(t)) if not f or first[f] == d]
         want.append((d, None if t is None else "\n".join(keep)))
     out = op7.line_dedup(docs)
     assert out.columns == docs.columns
@@ -275,11 +276,74 @@ def test_op7_rows_of_numbers_recur_only_as_they_are(spark):
     assert got == {1: "12 40 3 7 9\nBerlin 4 5 6 7", 2: "2019 1 5 8 33\nBerlin 8 8 8 9", 3: "", 4: "2019 1 5 8 34"}
 
 
-def test_op7_short_lines_recur_in_more_documents(spark):
+def test_op7_short_lines_recur_as_others_do(spark):
     docs = table(spark, [(i, f"{prose(i, 9)}\nAll rights reserved.\n\u7248\u6743\u6240\u6709\n{'two only' if i < 3 else prose(50 + i, 2)}", "en", "a") for i in range(1, 6)])
-    got = dict(rows_of(op7.line_dedup(docs), "doc_id", "text"))
+    out = op7.line_dedup(docs, count="n")
+    got = dict(rows_of(out, "doc_id", "text"))
     assert got.pop(1) == f"{prose(1, 9)}\nAll rights reserved.\n\u7248\u6743\u6240\u6709\ntwo only"
-    assert got == {i: f"{prose(i, 9)}\n{'two only' if i < 3 else prose(50 + i, 2)}" for i in range(2, 6)}
+    assert got == {i: prose(i, 9) + ("" if i < 3 else "\n" + prose(50 + i, 2)) for i in range(2, 6)}
+    assert dict(rows_of(out, "doc_id", "n")) == {1: 0, 2: 3, 3: 2, 4: 2, 5: 2}
+
+
+def test_op7_counts_every_dropped_line(spark):
+    docs = table(spark, [(1, "one two three", "en", "a"), (2, "one two three\nfour\none two three", "en", "a")])
+    assert sorted(rows_of(op7.op7(docs), "doc_id", "text", "n_dropped_lines")) == [(1, "one two three", 0), (2, "four", 2)]
+
+
+def brute_templates(lines, similar):
+    """Template of each member line of one leaf, {line: tokens with weight}, by plain dictionaries."""
+    nodes, found, turn = [list(lines)], {}, 0
+    while nodes:
+        after, turn = [], turn + 1
+        for node in nodes:
+            size = len(lines[node[0]][0])
+            n, kinds = {}, {}
+            for x in node:
+                for c in enumerate(lines[x][0]):
+                    n[c], kinds[c] = n.get(c, 0) + lines[x][1], kinds.get(c, 0) + 1
+            total = sum(lines[x][1] for x in node)
+            agree = {x: sum(2 * n[c] > total and c[1] != op7.FIELD for c in enumerate(lines[x][0])) for x in node}
+            took = [x for x in node if agree[x] and agree[x] >= similar * size]
+            found.update({x: min(took) for x in took})
+            part = [c for c in n if 1 < kinds[c] < len(node)]
+            if took:
+                after.append([x for x in node if x not in took])
+            elif part:
+                at = min(part, key=lambda c: (-n[c], c[0]))[0]
+                child = {}
+                for x in node:
+                    child.setdefault(lines[x][0][at] if 1 < kinds[at, lines[x][0][at]] < len(node) else None, []).append(x)
+                after += child.values()
+        nodes = [x for x in after if len(x) > 1]
+    return found
+
+
+@pytest.mark.parametrize("weight", [op7.WEIGHT, 150])
+def test_op7_templates_equal_brute_force(spark, weight):
+    """Both ways, in a task and by grouped rounds, give the templates of plain dictionaries."""
+    r = random.Random(3)
+    texts = {}
+    for leaf in range(12):
+        for _ in range(r.randint(2, 25)):
+            texts[" ".join(["it", "is", str(leaf) + "th"] + [r.choice("abcd") if r.random() < 0.8 else r.choice(["<*>", "q%d" % r.randint(0, 99)]) for _ in range(6)])] = (leaf, r.randint(1, 9))
+    rows = [(leaf, i, n, t) for i, (t, (leaf, n)) in enumerate(texts.items())]
+    want = {}
+    for leaf in range(12):
+        want |= brute_templates({i: (t.split(), n) for at, i, n, t in rows if at == leaf}, 0.7)
+    df = spark.createDataFrame([x for at, i, n, t in rows for x in [(at, i, 1, t)] * n], "node long, line long, docs long, masked string")
+    if weight < op7.WEIGHT:
+        merged = df.groupBy("node", "line", "masked").agg(F.sum("docs").alias("docs"))
+        out = op7.members(merged, 0.7, weight)
+    else:
+        out = op7.settle(df, 0.7, weight)
+    groups = lambda pairs: sorted(sorted(x for x, t in pairs if t == g) for g in {t for _, t in pairs})
+    got = [tuple(x) for x in out.collect()]
+    assert len(want) > 30 and groups(got) == groups(list(want.items()))
+
+
+def test_op7_is_the_same_by_either_way(spark, edge):
+    docs = table(spark, edge_rows() + [(500 + i, "\n".join(f"line {j} of part {prose(j % 7, 3)} and {prose(j, 2)}" for j in range(i, i + 9)), "en", "a") for i in range(40)])
+    same(rows_of(op7.op7(docs), "doc_id", "text", "n_dropped_lines"), rows_of(op7.line_dedup(docs, count="n", weight=40), "doc_id", "text", "n"))
 
 
 def test_op7_several_templates_in_a_leaf(spark):
