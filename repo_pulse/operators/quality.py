@@ -156,14 +156,9 @@ def reviews_before_creation(reviews: DataFrame, pulls: DataFrame) -> DataFrame:
             .select("repo_full_name", "pr_number", "review_id", "submitted_at", "created_at"))
 
 
-def _table_checks(df: DataFrame, table: str, more: Sequence[tuple[str, Column]] = ()) -> DataFrame:
-    """All declared checks of one table, and ``more`` (name, failing condition) pairs.
-
-    Row conditions are one global aggregate: a task sends one row. Only the
-    uniqueness check shuffles, and only the key columns. Output rows:
-    (check_name, table_name, failing_rows).
-    """
-    checks: list[tuple[str, object]] = []
+def row_conditions(table: str, as_of: dt.datetime) -> list[tuple[str, Column]]:
+    """(check name, failing condition) of every row check of one table, singular tests of the facts included."""
+    checks: list[tuple[str, Column]] = []
     for c in NOT_NULL.get(table, []):
         checks.append((f"not_null:{c}", F.col(c).isNull()))
     for (t, c), vals in ACCEPTED_VALUES.items():
@@ -171,7 +166,21 @@ def _table_checks(df: DataFrame, table: str, more: Sequence[tuple[str, Column]]
             checks.append((f"accepted_values:{c}", F.col(c).isNotNull() & ~F.col(c).isin(list(vals))))
     for e in EXPRESSIONS.get(table, []):
         checks.append((f"expression_is_true:{e}", ~F.expr(e)))
-    checks += more
+    if table == "fact_issue_aging":
+        checks.append(("issue_age_non_negative", _issue_age_bad()))
+    if table == "fact_pr_cycle_time":
+        checks += [("pr_cycle_time_non_negative", _cycle_time_bad()), ("pr_dates_valid", _pr_dates_bad(as_of))]
+    return checks
+
+
+def _table_checks(df: DataFrame, table: str, as_of: dt.datetime) -> DataFrame:
+    """All declared checks of one table.
+
+    Row conditions are one global aggregate: a task sends one row. Only the
+    uniqueness check shuffles, and only the key columns. Output rows:
+    (check_name, table_name, failing_rows).
+    """
+    checks = row_conditions(table, as_of)
     wide = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
     pairs = ", ".join("'" + n.replace("'", "''") + f"', `c{i}`" for i, (n, _) in enumerate(checks))
     out = wide.selectExpr(f"stack({len(checks)}, {pairs}) AS (check_name, failing_rows)", f"'{table}' AS table_name")
@@ -185,11 +194,7 @@ def report(tables: Mapping[str, DataFrame], as_of: dt.datetime) -> DataFrame:
     Each table costs one aggregate over its rows, which the singular tests of
     the facts share, and one count of its keys; the fourth test is a join.
     """
-    more = {
-        "fact_issue_aging": [("issue_age_non_negative", _issue_age_bad())],
-        "fact_pr_cycle_time": [("pr_cycle_time_non_negative", _cycle_time_bad()), ("pr_dates_valid", _pr_dates_bad(as_of))],
-    }
-    parts = [_table_checks(df, t, more.get(t, ())) for t, df in tables.items() if t in UNIQUE_KEYS]
+    parts = [_table_checks(df, t, as_of) for t, df in tables.items() if t in UNIQUE_KEYS]
     late = reviews_before_creation(tables["stg_reviews"], tables["stg_pulls"])
     parts.append(late.agg(F.count(F.lit(1)).alias("failing_rows")).select(
         F.lit("review_after_pr_creation").alias("check_name"), F.lit("stg_reviews").alias("table_name"), "failing_rows"))

@@ -35,6 +35,7 @@ from repo_pulse.operators import history as hist
 from repo_pulse.operators import lifecycle as lc
 from repo_pulse.operators import mart_delta as md
 from repo_pulse.operators import quality as dq
+from repo_pulse.operators import quality_state as qs
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators.dedup import latest_version, version_order
 from repo_pulse.operators.part_table import NO_PART, PartTable, day_of, delete, part_of_day
@@ -73,6 +74,20 @@ class Tables:
     first_day: dt.date | None = None
     seq: int = 0
     new_rows: int = 0  # the gate: rows new to the raw tables
+    changed_prs: DataFrame | None = None  # keys of the PRs that the run refreshed, or whose reviews it did
+
+    def checked(self, stale_days: int = lc.DEFAULT_STALE_DAYS) -> dict[str, qs.Source]:
+        """The tables of the quality report, each with its row-wise view."""
+        def reviews(df: DataFrame, as_of: dt.date) -> DataFrame:
+            return df.filter(F.col("pr_number").isNotNull())
+
+        def aged(df: DataFrame, as_of: dt.date) -> DataFrame:
+            return lc.issue_lifecycle(df, as_of, stale_days)
+
+        stored = {"stg_pulls": "pull_versions", "stg_issues": "issue_versions", "stg_reviews": "review_versions"}
+        views = {"stg_reviews": (reviews,), "int_issue_lifecycle": (aged,), "fact_issue_aging": (lambda df, as_of: lc.fact_issue_aging(aged(df, as_of)),)}
+        found = {n: stored.get(n, n) for n in dq.UNIQUE_KEYS}
+        return {n: qs.Source(self.parts[t], *views.get(n, ())) for n, t in found.items() if t in self.parts}
 
     def views(self, stale_days: int = lc.DEFAULT_STALE_DAYS) -> dict[str, DataFrame]:
         """Every table as a DataFrame; staging is a projection of the versions, ages follow the run's day."""
@@ -152,7 +167,7 @@ def transform_touched(before: Tables, new_raw: Mapping[str, DataFrame], root: st
     reviewed = _stored(reviewed.distinct(), "reviewed_prs")
     all_reviews = out.parts["review_versions"].rows_of(reviewed, PULL_KEY)
     refresh("int_pr_reviews_agg", reviewed, lc.reviews_agg(all_reviews))
-    prs = _stored(prs.union(reviewed).distinct(), "changed_prs")
+    out.changed_prs = prs = _stored(prs.union(reviewed).distinct(), "changed_prs")
     pulls, agg = out.parts["pull_versions"].rows_of(prs, PULL_KEY), out.parts["int_pr_reviews_agg"].rows_of(prs, PULL_KEY)
     _, life = refresh("int_pr_lifecycle", prs, lc.pr_lifecycle(pulls, agg))
     old_pr, new_pr = refresh("fact_pr_cycle_time", prs, lc.fact_pr_cycle_time(life))
@@ -337,8 +352,10 @@ def run_daily(spark: SparkSession, landing_roots: Mapping[str, str], raw_paths:
     if n:
         after = transform_touched(before, rows, root, as_of, stale_days, unit, buckets)
         after.parts |= raw
-        report = dq.report(after.views(stale_days), dt.datetime.combine(as_of, dt.time()))
-        after.plain["dq_report"] = commit_version(report, "dq_report", at=at)
+        counts, keys = qs.update(spark, before.plain.get("dq_counts"), before.parts.get("dq_keys"), before.checked(stale_days), after.checked(stale_days), as_of,
+                                 f"{root}/dq_keys", lambda df, name: commit_version(df, name, at=at), after.changed_prs)
+        after.plain["dq_counts"], after.parts["dq_keys"] = counts, keys
+        after.plain["dq_report"] = commit_version(qs.report(spark, counts, after.checked(), as_of), "dq_report", at=at)
     else:
         after = Tables(dict(before.parts), dict(before.plain), before.as_of, before.first_day)
     after.seq, after.new_rows = before.seq + 1, n

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from repo_pulse.operators import history as hist
 from repo_pulse.operators import lifecycle as lc
 from repo_pulse.operators import mart
+from repo_pulse.operators import quality as dq
 from repo_pulse.operators.part_table import PartTable, day_of
 from repo_pulse.operators.upsert import DuplicateKeyError
 from repo_pulse.plans import daily, job
@@ -180,6 +181,7 @@ class World:
         views, full = tables.views(), self.full(day)
         for name in ("stg_reviews", "int_pr_reviews_agg", "int_pr_lifecycle", "fact_pr_cycle_time", "fact_issue_aging", "mart_repo_health_daily"):
             same(views[name], full[name])
+        same(views["dq_report"], dq.report(full, dt.datetime.combine(day, dt.time())))
 
 
 def first_run(world, day=dt.date(2024, 2, 1)):
