@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -11,7 +12,8 @@ END = 1  # id that closes every document
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")  # no character outside it is touched by the short cut
 #: The vocabulary file's own split pattern, narrowed to lower-cased PLAIN text.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-CACHE = 400_000  # strings remembered per worker; the caches start anew when full
+CACHE = 300_000  # strings per generation; a worker remembers two generations, so frequent strings outlive a full cache
+LONGEST = 64  # characters of a remembered string
 
 
 def _byte_letters() -> dict[int, str]:
@@ -40,20 +42,30 @@ class Encoder:
         self.limit = cache
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            seen = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
-            found = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(seen)], "<u4").tobytes()
+            found = self.old_pieces.get(piece)
+            if found is None:
+                seen = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
+                ids = [t.id for t in self.model.tokenize(seen)]
+                found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.pieces) >= self.limit:
+                self.old_pieces, self.pieces = self.pieces, {}
+            if len(piece) <= LONGEST:
+                self.pieces[piece] = found
         return found
 
     def _chunk(self, chunk: str) -> bytes:
-        if len(self.chunks) >= self.limit or len(self.pieces) >= self.limit:
-            self.chunks.clear()
-            self.pieces.clear()
-        found = b"".join(map(self._piece, PIECES.findall(chunk)))
-        if len(chunk) <= 64:
+        found = self.old_chunks.get(chunk)
+        if found is None:
+            found = b"".join(map(self._piece, PIECES.findall(chunk)))
+        if len(self.chunks) >= self.limit:
+            self.old_chunks, self.chunks = self.chunks, {}
+        if len(chunk) <= LONGEST:
             self.chunks[chunk] = found
         return found
 
@@ -61,8 +73,7 @@ class Encoder:
         """Ids (unsigned 32-bit) of a text, without the closing id."""
         if "<|" in text or not PLAIN.fullmatch(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        known = self.chunks.get
-        return np.frombuffer(b"".join([known(c) or self._chunk(c) for c in text.lower().split()]), "<u4")
+        return np.frombuffer(b"".join([self.chunks.get(c) or self._chunk(c) for c in text.lower().split()]), "<u4")
 
 
 _ENCODERS: dict[str, Encoder] = {}
