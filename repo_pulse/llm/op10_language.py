@@ -10,17 +10,20 @@ Scale: a bundle is counts x vectors, so tasks count 3-grams first and then
 multiply matrices in bounded blocks. Training reads every training text in
 one scan; a task returns one vector a language and Spark adds them up.
 Scoring is a second scan without a shuffle. Prototypes are one vector a
-language (at most ``LANGUAGES`` of them, else an error).
+language, stored as a table; they are read and broadcast in groups of at most
+``LANGUAGES``, and a document takes its best over all groups. A batch of
+documents is bounded by its 3-grams, whatever their lengths.
 
 Rows: NULL text or text without a letter gives ``und`` and score 0; NULL lang
 never trains; NULL doc_id is not held out and trains if it has a lang;
-without prototypes everything is ``und``; equal cosines go to the smaller
-language; repeated rows score alike; an empty table gives an empty result.
+without prototypes everything is ``und``; marks (vowel signs, accents) belong
+to the word they stand in; equal cosines go to the smaller language; repeated rows score alike; an empty table gives an empty result.
 lang, source and doc_id are no inputs of a prediction.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,24 +32,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repo_pulse.llm.common import store
+
 DIMENSION = 1024
 SEED = 10
 FOLDS, HELD = 5, 0
-LANGUAGES = 2000
+LANGUAGES = 2000  # prototypes in one broadcast
 UNKNOWN = "und"
 FLUSH = 1 << 21  # 3-grams counted at a time
 BLOCK = 2048  # 3-gram vectors multiplied at a time
-DOCUMENTS = 256  # documents bundled at a time
+DOCUMENTS = 256  # documents bundled at a time, if they hold at most
+GRAMS = 1 << 18  # different 3-grams
 
 _LETTER: np.ndarray | None = None
 _VECTORS: dict[int, np.ndarray] = {}
 
 
 def letters() -> np.ndarray:
-    """Which UTF-16 units belong to words; halves of a pair count as letters."""
+    """Which UTF-16 units belong to words: letters, marks and halves of a pair."""
     global _LETTER
     if _LETTER is None:
-        _LETTER = np.array([0xD800 <= c < 0xE000 or chr(c).isalpha() for c in range(1 << 16)])
+        _LETTER = np.array([0xD800 <= c < 0xE000 or chr(c).isalpha() or unicodedata.category(chr(c)) in ("Mn", "Mc") for c in range(1 << 16)])
     return _LETTER
 
 
@@ -84,13 +90,15 @@ def bundle(counted: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Vectors of several texts from their (3-gram codes, counts)."""
     out = np.zeros((len(counted), DIMENSION))
     every, at = np.unique(np.concatenate([c for c, _ in counted]), return_inverse=True)
-    row = np.repeat(np.arange(len(counted)), [len(c) for c, _ in counted])
-    n = np.concatenate([n for _, n in counted])
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    row = np.repeat(np.arange(len(counted)), [len(c) for c, _ in counted])[order]
+    n = np.concatenate([n for _, n in counted])[order]
     for start in range(0, len(every), BLOCK):
         codes = every[start:start + BLOCK]
-        use = (at >= start) & (at < start + BLOCK)
+        a, b = np.searchsorted(at, (start, start + BLOCK))
         counts = np.zeros((len(counted), len(codes)), np.float32)
-        counts[row[use], at[use] - start] = n[use]
+        counts[row[a:b], at[a:b] - start] = n[a:b]
         out += counts @ gram_vectors(codes)
     return out
 
@@ -122,57 +130,74 @@ def _prototypes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["lang", "vector"])
 
 
-def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in order and their unit prototypes, from all rows of docs(lang, text)."""
+def train(docs: DataFrame, most: int = LANGUAGES) -> list[tuple[list[str], np.ndarray]]:
+    """Languages in order and their unit prototypes, from all rows of docs(lang, text); groups of at most ``most``."""
     parts = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     parts = parts.mapInArrow(_prototypes, "lang string, vector array<double>")
     sums = parts.select("lang", F.posexplode("vector").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
-    rows = sums.limit(LANGUAGES * DIMENSION + 1).toPandas()
-    if len(rows) > LANGUAGES * DIMENSION:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    table = rows.pivot(index="lang", columns="i", values="x").sort_index() if len(rows) else pd.DataFrame()
-    v = table.to_numpy(dtype=float) if len(table) else np.zeros((0, DIMENSION))
-    norm = np.linalg.norm(v, axis=1)
-    return [lang for lang, n in zip(table.index, norm) if n > 0], v[norm > 0] / norm[norm > 0][:, None]
+    sums = store(sums, "prototypes")
+    out, last = [], None
+    while True:  # one group of languages at a time, in order
+        left = sums if last is None else sums.where(F.col("lang") > last)
+        names = [r["lang"] for r in left.select("lang").distinct().orderBy("lang").limit(most).collect()]
+        if not names:
+            return out
+        last = names[-1]
+        rows = left.where(F.col("lang") <= last).toPandas()  # at most ``most`` prototypes
+        table = rows.pivot(index="lang", columns="i", values="x").loc[names]
+        v = table.to_numpy(dtype=float)
+        norm = np.linalg.norm(v, axis=1)
+        if (norm > 0).any():
+            out.append(([lang for lang, n in zip(names, norm) if n > 0], v[norm > 0] / norm[norm > 0][:, None]))
 
 
 def identify(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> Column:
-    """Column struct(lang_pred, score) of docs' text."""
+    """Column struct(cosine, lang) of docs' text: the best of these languages; NULL for a text without a letter."""
     shared = docs.sparkSession.sparkContext.broadcast((languages, prototypes))
 
-    @F.pandas_udf("struct<lang_pred: string, score: double>")
+    @F.pandas_udf("struct<cosine: double, lang: string>")
     def predict(text: pd.Series) -> pd.DataFrame:
         names, protos = shared.value
-        lang, score = np.full(len(text), UNKNOWN, object), np.zeros(len(text))
+        lang, best = np.full(len(text), None, object), np.full(len(text), np.nan)
         todo: list[tuple[int, tuple[np.ndarray, np.ndarray]]] = []
+        size = 0
 
         def flush():
+            nonlocal size
             v = bundle([c for _, c in todo])
             cosine = (v @ protos.T) / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]
-            best = cosine.argmax(axis=1)
+            first = cosine.argmax(axis=1)
             at = [i for i, _ in todo]
-            lang[at] = [names[k] for k in best]
-            score[at] = np.clip(cosine[np.arange(len(best)), best], 0, 1)
+            lang[at] = [names[k] for k in first]
+            best[at] = cosine[np.arange(len(first)), first]
             todo.clear()
+            size = 0
 
         for i, t in enumerate(text):
-            if names and has_letter(t):
+            if has_letter(t):
                 todo.append((i, np.unique(ngrams(t), return_counts=True)))
-                if len(todo) == DOCUMENTS:
+                size += len(todo[-1][1][0])
+                if len(todo) == DOCUMENTS or size > GRAMS:
                     flush()
         if todo:
             flush()
-        return pd.DataFrame({"lang_pred": lang, "score": score})
+        return pd.DataFrame({"cosine": best, "lang": lang})
 
     return predict(F.col("text").cast("string"))
 
 
-def language(docs: DataFrame) -> DataFrame:
+def language(docs: DataFrame, most: int = LANGUAGES) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document."""
     held = F.coalesce(remainder(FOLDS) == HELD, F.lit(False))
-    names, protos = train(docs.where(~held))
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), identify(docs, names, protos).alias("p"))
-    return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
+    groups = train(docs.where(~held), most)
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"),
+                      *[identify(docs, names, protos).alias(f"p{k}") for k, (names, protos) in enumerate(groups)])
+    lang, cosine = F.lit(None).cast("string"), F.lit(None).cast("double")
+    for k in range(len(groups)):  # groups are in order, so a later one must be better
+        better = F.col(f"p{k}.lang").isNotNull() & (cosine.isNull() | (F.col(f"p{k}.cosine") > cosine))
+        lang, cosine = F.when(better, F.col(f"p{k}.lang")).otherwise(lang), F.when(better, F.col(f"p{k}.cosine")).otherwise(cosine)
+    score = F.least(F.greatest(F.coalesce(cosine, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    return out.select("doc_id", "held_out", F.coalesce(lang, F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"))
 
 
 def op10(docs: DataFrame) -> DataFrame:
