@@ -2,10 +2,11 @@
 
 Each rule looks at one feature of a text and votes good (1), bad (-1) or
 abstains (0). Nobody says how good the rules are: expectation-maximisation on
-the counts of vote patterns estimates every rule's accuracy (how often its
-vote, when it votes, is right) and the share of good documents. A document
-is kept if its posterior probability of being good is at least one half (and
-the fixed base rules do not fail), so one doubtful rule cannot reject it.
+the counts of vote patterns estimates the share of good documents and, for
+every rule, how often it votes good, bad or not at all on good and on bad
+documents, and from these its accuracy (how often its vote, when it votes, is
+right). A document is kept if its posterior probability of being good is at
+least one half (and the fixed base rules do not fail).
 
 Scale: features are computed in one scan, row by row, in built-in functions
 (word windows are compared through 64-bit hashes, sorted within the row:
@@ -44,10 +45,13 @@ RULES = {
 }
 PRIOR_GOOD = 0.8  # where EM starts; the share itself is estimated
 START_RIGHT = 0.8  # a vote is right this often at the start
-SMOOTH = 10.0  # pseudo-votes
-STEPS = 30
+SMOOTH = 10.0  # pseudo-documents a class
+LEAST = 1e-4  # no vote is impossible
+MOST_GOOD = 0.99
+STEPS = 100
 TOLERANCE = 1e-4
 KEEP = 0.5
+VOTES = (-1, 0, 1)
 
 
 def repeated_words(found: Column, window: int = WINDOW) -> Column:
@@ -108,35 +112,53 @@ def votes(rules: dict = RULES) -> dict[str, Column]:
             for name, (f, good, bad) in rules.items()}
 
 
-def posterior(model: dict[str, float]) -> Column:
-    """P(good | votes): prior odds times the odds of each vote being right."""
+def start(rates: dict[int, float]) -> dict[int, tuple[float, float]]:
+    """P(vote | good), P(vote | bad) of a rule with these overall vote rates whose votes are right START_RIGHT of the time."""
+    wrong = 1 - START_RIGHT
+    good = {-1: rates[-1] * wrong / PRIOR_GOOD, 1: rates[1] * START_RIGHT / PRIOR_GOOD}
+    bad = {-1: rates[-1] * START_RIGHT / (1 - PRIOR_GOOD), 1: rates[1] * wrong / (1 - PRIOR_GOOD)}
+    for p in (good, bad):
+        p[0] = max(1 - p[-1] - p[1], LEAST)
+    return {v: (good[v] / sum(good.values()), bad[v] / sum(bad.values())) for v in VOTES}
+
+
+def weights(likelihood: dict[int, tuple[float, float]]) -> dict[int, float]:
+    """Log odds of each vote; a bad vote never speaks for a document, a good one never against it."""
+    w = {v: math.log(max(g, LEAST) / max(b, LEAST)) for v, (g, b) in likelihood.items()}
+    return w | {-1: min(0.0, w[-1]), 1: max(0.0, w[1])}
+
+
+def posterior(model: dict) -> Column:
+    """P(good | votes): prior odds times each vote's (or abstention's) likelihood ratio."""
     odds = F.lit(math.log(model["prior"] / (1 - model["prior"])))
-    for c, right in model.items():
-        if c != "prior":
-            odds = odds + F.col(c) * F.lit(math.log(right / (1 - right)))
+    for c, likelihood in model["likelihood"].items():
+        w = weights(likelihood)
+        odds = odds + F.when(F.col(c) == -1, w[-1]).when(F.col(c) == 1, w[1]).otherwise(w[0])
     return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: DataFrame, columns: list[str], steps: int = STEPS) -> dict[str, float]:
-    """EM over patterns(votes.., n): the share of good documents ("prior") and each rule's accuracy among its votes.
+def estimate(patterns: DataFrame, columns: list[str], steps: int = STEPS) -> dict:
+    """EM over patterns(votes.., n): the share of good documents ("prior"), each rule's vote probabilities by class
+    ("likelihood") and, under its own name, its accuracy among its votes.
 
-    Smoothing adds pseudo-votes of the starting accuracy; a rule is never
-    taken to be worse than a coin.
+    Smoothing adds pseudo-documents of the starting probabilities to each class.
     """
-    model = {"prior": PRIOR_GOOD} | dict.fromkeys(columns, START_RIGHT)
-    for _ in range(steps):
-        p = patterns.withColumn("g", posterior(model))
-        sums = [F.sum(F.col("g") * F.col("n")).alias("g"), F.sum("n").alias("n")]
-        for c in columns:
-            right = F.when(F.col(c) == 1, F.col("g")).when(F.col(c) == -1, 1 - F.col("g"))
-            sums += [F.sum(right * F.col("n")).alias(f"r_{c}"), F.sum(F.abs(F.col(c)).cast("long") * F.col("n")).alias(f"n_{c}")]
-        row = p.agg(*sums).first()
-        if not row["n"]:
-            break
-        new = {"prior": min(0.95, max(0.5, (row["g"] + SMOOTH * PRIOR_GOOD) / (row["n"] + SMOOTH)))}
+    total = patterns.agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col(c) == v, F.col("n")).otherwise(0)).alias(f"{c}:{v}") for c in columns for v in VOTES]).first()
+    n = total["n"] or 0
+    counts = {c: {v: total[f"{c}:{v}"] or 0 for v in VOTES} for c in columns}
+    begin = {c: start({v: counts[c][v] / max(n, 1) for v in VOTES}) for c in columns}
+    model = {"prior": PRIOR_GOOD, "likelihood": begin} | dict.fromkeys(columns, START_RIGHT)
+    for _ in range(steps if n else 0):
+        p = patterns.withColumn("g", posterior(model) * F.col("n"))
+        row = p.agg(F.sum("g").alias("g"), *[F.sum(F.when(F.col(c) == v, F.col("g")).otherwise(0.0)).alias(f"{c}:{v}") for c in columns for v in VOTES]).first()
+        g = row["g"]
+        new = {"prior": min(MOST_GOOD, max(0.5, (g + SMOOTH * PRIOR_GOOD) / (n + SMOOTH))), "likelihood": {}}
         for c in columns:
-            new[c] = min(0.99, max(0.5, ((row[f"r_{c}"] or 0.0) + SMOOTH * START_RIGHT) / (row[f"n_{c}"] + SMOOTH)))
-        moved = max(abs(new[c] - model[c]) for c in model)
+            found = {v: (row[f"{c}:{v}"], counts[c][v] - row[f"{c}:{v}"]) for v in VOTES}  # good and bad documents with this vote
+            new["likelihood"][c] = {v: ((x + SMOOTH * begin[c][v][0]) / (g + SMOOTH), (y + SMOOTH * begin[c][v][1]) / (n - g + SMOOTH))
+                                    for v, (x, y) in found.items()}
+            new[c] = (found[1][0] + found[-1][1] + SMOOTH * START_RIGHT) / (counts[c][1] + counts[c][-1] + SMOOTH)
+        moved = max(abs(new[c] - model[c]) for c in ("prior", *columns))
         model = new
         if moved < TOLERANCE:
             break

@@ -57,6 +57,70 @@ def test_op1_em_finds_the_useful_rule(spark):
     assert model["a"] > 0.9 and model["b"] > 0.9 and model["c"] <= 0.6
 
 
+def brute_em(rows, columns, steps):
+    """The same model fitted row by row in plain Python: prior, {rule: {vote: (P(v | good), P(v | bad))}}, posterior per row."""
+    n = len(rows)
+    begin = {}
+    for c in columns:
+        rate = {v: sum(r[c] == v for r in rows) / n for v in (-1, 0, 1)}
+        tables = []
+        for good in (True, False):
+            share = 0.8 if good else 0.2
+            p = {v: rate[v] * (0.8 if (v == 1) == good else 0.2) / share for v in (-1, 1)}
+            p[0] = max(1 - p[1] - p[-1], 1e-4)
+            tables.append({v: x / sum(p.values()) for v, x in p.items()})
+        begin[c] = {v: (tables[0][v], tables[1][v]) for v in (-1, 0, 1)}
+    prior, like = 0.8, begin
+
+    def good(r):
+        odds = math.log(prior / (1 - prior))
+        for c in columns:
+            g, b = like[c][r[c]]
+            w = math.log(max(g, 1e-4) / max(b, 1e-4))
+            odds += min(w, 0) if r[c] == -1 else max(w, 0) if r[c] == 1 else w
+        return 1 / (1 + math.exp(-odds))
+
+    for _ in range(steps):
+        g = [good(r) for r in rows]
+        like = {c: {v: ((sum(x for r, x in zip(rows, g) if r[c] == v) + 10 * begin[c][v][0]) / (sum(g) + 10),
+                        (sum(1 - x for r, x in zip(rows, g) if r[c] == v) + 10 * begin[c][v][1]) / (n - sum(g) + 10)) for v in (-1, 0, 1)} for c in columns}
+        prior = min(0.99, max(0.5, (sum(g) + 8) / (n + 10)))
+    return prior, like, [good(r) for r in rows]
+
+
+def planted_votes(n):
+    """One rule votes on nearly all, three only find faults; every fifth document is bad and most of these show one fault."""
+    import random
+
+    r = random.Random(3)
+    truth = [r.random() > 0.2 for _ in range(n)]
+    rows = []
+    for good in truth:
+        faults = {c: -1 if r.random() < (0.01 if good else share) else 0 for c, share in (("b", 0.5), ("c", 0.4), ("d", 0.3))}
+        rows.append({"a": 1 if r.random() < (0.97 if good else 0.5) else -1} | faults)
+    return truth, rows
+
+
+def test_op1_em_equals_plain_python_and_finds_planted_accuracies(spark):
+    columns = ["a", "b", "c", "d"]
+    truth, rows = planted_votes(3000)
+    patterns = spark.createDataFrame([(*k, n) for k, n in Counter(tuple(r[c] for c in columns) for r in rows).items()], "a byte, b byte, c byte, d byte, n long")
+    for steps in (1, 5):
+        model = op1.estimate(patterns, columns, steps)
+        prior, like, good = brute_em(rows, columns, steps)
+        assert model["prior"] == pytest.approx(prior, abs=1e-9)
+        for c in columns:
+            for v in (-1, 0, 1):
+                assert model["likelihood"][c][v] == pytest.approx(like[c][v], abs=1e-9)
+        got = {tuple(r[c] for c in columns): r.good for r in patterns.withColumn("good", op1.posterior(model)).collect()}
+        assert all(got[tuple(r[c] for c in columns)] == pytest.approx(g, abs=1e-9) for r, g in zip(rows, good))
+    model = op1.estimate(patterns, columns)
+    for c in columns:
+        voted = [(r[c] == 1) == t for r, t in zip(rows, truth) if r[c]]
+        assert model[c] == pytest.approx(sum(voted) / len(voted), abs=0.05)
+    assert model["prior"] == pytest.approx(sum(truth) / len(truth), abs=0.05)
+
+
 def brute_targets(sizes, weights=(3, 1, 2)):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[i % 3] for i, s in enumerate(order)}
@@ -220,6 +284,74 @@ def test_op10_bundle_is_the_sum_of_bound_vectors():
     assert (op10.bundle([(uniq, n)])[0] == want).all()
 
 
+def brute_language(rows):
+    """doc_id -> (language, cosine) by dictionaries of 3-grams and one vector each, in plain loops."""
+    import unicodedata
+
+    import numpy as np
+
+    def vector(c):
+        return np.random.default_rng([op10.SEED, ord(c)]).integers(0, 2, op10.DIMENSION, dtype=np.int8).astype(int) * 2 - 1
+
+    def profile(text):
+        kept = "".join(c if c.isalpha() or unicodedata.category(c) in ("Mn", "Mc") else " " for c in text.lower())
+        t = " " + " ".join(kept.split()) + " "
+        total = np.zeros(op10.DIMENSION)
+        for (a, b, c), n in Counter(zip(t, t[1:], t[2:])).items():
+            total += n * np.roll(vector(a), 2) * np.roll(vector(b), 1) * vector(c)
+        return total
+
+    profiles = {d: profile(t) for d, t, *_ in rows}
+    sums = {}
+    for d, _, lang, _ in rows:
+        if lang is not None and zlib.crc32(str(d).encode()) % 5:
+            sums[lang] = sums.get(lang, 0) + profiles[d]
+    out = {}
+    for d, v in profiles.items():
+        cosines = [(float(v @ s / np.linalg.norm(v) / np.linalg.norm(s)), lang) for lang, s in sorted(sums.items())]
+        out[d] = max(cosines, key=lambda x: x[0])
+    return out
+
+
+def language_rows():
+    letters = {"xx": "abcdefgh", "yy": "cdefghij", "zz": "éèàùçôîâ", "hi": "कखगिीु"}
+    return [(i, prose(i, 6 + i % 9, letters[lang]) + ("!" if i % 2 else ""), None if i % 11 == 0 else lang, "a") for i in range(120) for lang in [sorted(letters)[i % 4]]]
+
+
+@pytest.mark.parametrize("most", [2000, 1])
+def test_op10_equals_brute_force(spark, most):
+    """Also when the prototypes do not fit one broadcast."""
+    rows = language_rows()
+    want = brute_language(rows)
+    got = op10.language(table(spark, rows), most).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.score == pytest.approx(min(max(want[r.doc_id][0], 0), 1), abs=1e-9) and r.lang_pred == want[r.doc_id][1]
+
+
+def test_op10_ties_take_the_smaller_language_and_held_out_lang_changes_nothing(spark):
+    text = prose(5, 30)
+    rows = [(i, text, lang, "a") for i, lang in enumerate(["b", "a", "b", "a", "a", "b", "a", "b"], 1)]
+    for most in (2000, 1):
+        assert {r.lang_pred for r in op10.language(table(spark, rows), most).collect()} == {"a"}
+    rows = language_rows()
+    changed = [(d, t, "other" if zlib.crc32(str(d).encode()) % 5 == 0 else lang, s) for d, t, lang, s in rows]
+    same(rows_of(op10.op10(table(spark, rows)), "doc_id", "lang_pred", "score"), rows_of(op10.op10(table(spark, changed)), "doc_id", "lang_pred", "score"))
+
+
+def test_op10_marks_belong_to_words_and_batches_are_bounded(monkeypatch):
+    import numpy as np
+
+    assert len(op10.ngrams("हिन्दी")) == len("हिन्दी") and len(op10.ngrams("हिन्दी भाषा")) == len("हिन्दी भाषा")
+    r = np.random.default_rng(1)
+    texts = ["".join(map(chr, r.integers(0x4E00, 0x9FFF, 3000))) for _ in range(6)]
+    counted = [np.unique(op10.ngrams(t), return_counts=True) for t in texts]
+    whole = op10.bundle(counted)
+    monkeypatch.setattr(op10, "BLOCK", 500)
+    assert (op10.bundle(counted) == whole).all()
+    assert all((op10.bundle([c])[0] == w).all() for c, w in zip(counted, whole))
+
+
 @pytest.mark.parametrize("op", [op1.op1, op2.op2, op4.op4, op10.op10])
 def test_empty_table(spark, op):
     assert op(table(spark, [])).collect() == []
