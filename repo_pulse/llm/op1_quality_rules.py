@@ -3,16 +3,20 @@
 Each rule looks at one feature of a text and votes good (1), bad (-1) or
 abstains (0). Nobody says how good the rules are: expectation-maximisation on
 the counts of vote patterns estimates the share of good documents and, for
-every rule, how often it votes good, bad or not at all on good and on bad
-documents, and from these its accuracy (how often its vote, when it votes, is
-right). A document is kept if its posterior probability of being good is at
-least one half (and the fixed base rules do not fail).
+every rule, how often it votes good, bad or not at all on good documents and
+on each kind of bad ones, and from these its accuracy (how often its vote, when
+it votes, is right). Bad documents come in kinds (rows of symbols, shouting,
+repetition), each found by rules of its own: after a fit, documents still taken
+for good on which two rules or more find a fault start a further kind, until
+there are few of them. A document is kept if its posterior probability of
+being good is at least one half (and the fixed base rules do not fail).
 
 Scale: features are computed in one scan, row by row, in built-in functions
 (word windows are compared through 64-bit hashes, sorted within the row:
 n log n, whole texts). The narrow feature rows are stored; patterns are a
 pre-aggregated count of at most 3^8 rows, whatever the input; each EM step is
-one aggregate over that table and returns one row of sums.
+one aggregate over that table and returns one row of sums. There are at most
+as many kinds as rules.
 
 Rows: NULL or empty text has no words, fails the base and is not kept;
 repeated rows are scored each; NULL doc_id stays NULL; other columns are not
@@ -45,11 +49,11 @@ RULES = {
 }
 PRIOR_GOOD = 0.8  # where EM starts; the share itself is estimated
 START_RIGHT = 0.8  # a vote is right this often at the start
-SMOOTH = 10.0  # pseudo-documents a class
+SMOOTH = 10.0  # pseudo-documents a class; a further kind starts from more documents than that
+AGREE = 2  # rules that find a fault in a document of a further kind
 LEAST = 1e-4  # no vote is impossible
-MOST_GOOD = 0.99
-STEPS = 100
-TOLERANCE = 1e-4
+STEPS = 50
+TOLERANCE = 1e-3
 KEEP = 0.5
 VOTES = (-1, 0, 1)
 
@@ -122,46 +126,86 @@ def start(rates: dict[int, float]) -> dict[int, tuple[float, float]]:
     return {v: (good[v] / sum(good.values()), bad[v] / sum(bad.values())) for v in VOTES}
 
 
-def weights(likelihood: dict[int, tuple[float, float]]) -> dict[int, float]:
-    """Log odds of each vote; a bad vote never speaks for a document, a good one never against it."""
-    w = {v: math.log(max(g, LEAST) / max(b, LEAST)) for v, (g, b) in likelihood.items()}
-    return w | {-1: min(0.0, w[-1]), 1: max(0.0, w[1])}
+def odds(model: dict, kind: int) -> Column:
+    """P(kind | votes) / P(good | votes): the shares' odds times each vote's (or abstention's) likelihood ratio.
+
+    The weights are array constants, which generated code refers to and does
+    not spell out, so all steps of a fit share their compiled code.
+    """
+    out, add = F.lit(0.0), math.log(model["shares"][kind] / model["prior"])
+    for c, p in model["kinds"][kind].items():
+        w = [math.log(max(p[v], LEAST) / max(model["good"][c][v], LEAST)) + add for v in VOTES]
+        out, add = out + F.get(F.lit(w), F.col(c).cast("int") + 1), 0.0
+    return F.exp(out)
 
 
 def posterior(model: dict) -> Column:
-    """P(good | votes): prior odds times each vote's (or abstention's) likelihood ratio."""
-    odds = F.lit(math.log(model["prior"] / (1 - model["prior"])))
-    for c, likelihood in model["likelihood"].items():
-        w = weights(likelihood)
-        odds = odds + F.when(F.col(c) == -1, w[-1]).when(F.col(c) == 1, w[1]).otherwise(w[0])
-    return 1 / (1 + F.exp(-odds))
+    """P(good | votes)."""
+    return 1 / (1 + sum((odds(model, k) for k in range(len(model["kinds"]))), F.lit(0.0)))
+
+
+def count_votes(columns: list[str], of: Column, name: str) -> list[Column]:
+    return [F.sum(F.when(F.col(c) == v, of).otherwise(0)).alias(f"{name}:{c}:{v}") for c in columns for v in (-1, 1)]
+
+
+def probabilities(row, columns: list[str], name: str, total: float, begin: dict) -> dict[str, dict[int, float]]:
+    """P(vote | class) from a row of sums and SMOOTH pseudo-documents of ``begin``."""
+    out = {}
+    for c in columns:
+        found = {-1: row[f"{name}:{c}:-1"], 1: row[f"{name}:{c}:1"]}
+        found[0] = max(total - found[-1] - found[1], 0.0)
+        out[c] = {v: (found[v] + SMOOTH * begin[c][v]) / (total + SMOOTH) for v in VOTES}
+    return out
+
+
+def fit(patterns: DataFrame, columns: list[str], model: dict, n: int, voted: dict[str, int], steps: int) -> dict:
+    """EM steps from a model over n documents; the classes keep their pseudo-documents ("begin")."""
+    begin, kinds = model["begin"], range(len(model["kinds"]))
+    for _ in range(steps):
+        p = patterns.withColumns({f"o{k}": odds(model, k) for k in kinds})
+        p = p.withColumn("g", F.col("n") / (1 + sum((F.col(f"o{k}") for k in kinds), F.lit(0.0))))
+        p = p.withColumns({f"b{k}": F.col("g") * F.col(f"o{k}") for k in kinds})
+        row = p.agg(*[F.sum(x).alias(x) for x in ("g", *[f"b{k}" for k in kinds])], *count_votes(columns, F.col("g"), "g"),
+                    *[x for k in kinds for x in count_votes(columns, F.col(f"b{k}"), f"b{k}")]).first()
+        new = {"begin": begin, "prior": (row["g"] + SMOOTH * PRIOR_GOOD) / (n + SMOOTH), "good": probabilities(row, columns, "g", row["g"], begin[0]),
+               "kinds": [probabilities(row, columns, f"b{k}", row[f"b{k}"], begin[k + 1]) for k in kinds],
+               "shares": [(row[f"b{k}"] + SMOOTH * (1 - PRIOR_GOOD) / len(kinds)) / (n + SMOOTH) for k in kinds]}
+        for c in columns:
+            right = row[f"g:{c}:1"] + sum(row[f"b{k}:{c}:-1"] for k in kinds)
+            new[c] = (right + SMOOTH * START_RIGHT) / (voted[c] + SMOOTH)
+        moved = max(abs(new[c] - model[c]) for c in ("prior", *columns))
+        model = new
+        if moved < TOLERANCE:
+            break
+    return model
 
 
 def estimate(patterns: DataFrame, columns: list[str], steps: int = STEPS) -> dict:
-    """EM over patterns(votes.., n): the share of good documents ("prior"), each rule's vote probabilities by class
-    ("likelihood") and, under its own name, its accuracy among its votes.
+    """EM over patterns(votes.., n): the share of good documents ("prior") and of each kind of bad ones ("shares"), the vote
+    probabilities of each class ("good", "kinds") and, under its own name, each rule's accuracy among its votes.
 
-    Smoothing adds pseudo-documents of the starting probabilities to each class.
+    Smoothing adds pseudo-documents of a class's starting probabilities to it.
     """
-    total = patterns.agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col(c) == v, F.col("n")).otherwise(0)).alias(f"{c}:{v}") for c in columns for v in VOTES]).first()
-    n = total["n"] or 0
-    counts = {c: {v: total[f"{c}:{v}"] or 0 for v in VOTES} for c in columns}
-    begin = {c: start({v: counts[c][v] / max(n, 1) for v in VOTES}) for c in columns}
-    model = {"prior": PRIOR_GOOD, "likelihood": begin} | dict.fromkeys(columns, START_RIGHT)
-    for _ in range(steps if n else 0):
-        p = patterns.withColumn("g", posterior(model) * F.col("n"))
-        row = p.agg(F.sum("g").alias("g"), *[F.sum(F.when(F.col(c) == v, F.col("g")).otherwise(0.0)).alias(f"{c}:{v}") for c in columns for v in VOTES]).first()
-        g = row["g"]
-        new = {"prior": min(MOST_GOOD, max(0.5, (g + SMOOTH * PRIOR_GOOD) / (n + SMOOTH))), "likelihood": {}}
-        for c in columns:
-            found = {v: (row[f"{c}:{v}"], counts[c][v] - row[f"{c}:{v}"]) for v in VOTES}  # good and bad documents with this vote
-            new["likelihood"][c] = {v: ((x + SMOOTH * begin[c][v][0]) / (g + SMOOTH), (y + SMOOTH * begin[c][v][1]) / (n - g + SMOOTH))
-                                    for v, (x, y) in found.items()}
-            new[c] = (found[1][0] + found[-1][1] + SMOOTH * START_RIGHT) / (counts[c][1] + counts[c][-1] + SMOOTH)
-        moved = max(abs(new[c] - model[c]) for c in ("prior", *columns))
-        model = new
-        if moved < TOLERANCE:
+    total = patterns.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *count_votes(columns, F.col("n"), "n")).first()
+    n = total["n"]
+    votes_of = {c: {v: total[f"n:{c}:{v}"] or 0 for v in (-1, 1)} for c in columns}
+    voted = {c: sum(x.values()) for c, x in votes_of.items()}
+    begin = {c: start({v: x / max(n, 1) for v, x in votes_of[c].items()}) for c in columns}
+    good, bad = ({c: {v: begin[c][v][i] for v in VOTES} for c in columns} for i in (0, 1))
+    model = {"begin": [good, bad], "prior": PRIOR_GOOD, "good": good, "kinds": [bad], "shares": [1 - PRIOR_GOOD]} | dict.fromkeys(columns, START_RIGHT)
+    if not n:
+        return model
+    model = fit(patterns, columns, model, n, voted, steps)
+    faults = sum(((F.col(c) == -1).cast("int") for c in columns), F.lit(0))
+    while len(model["kinds"]) < len(columns):
+        missed = patterns.where((faults >= AGREE) & (posterior(model) >= KEEP))
+        row = missed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *count_votes(columns, F.col("n"), "n")).first()
+        if row["n"] <= SMOOTH:
             break
+        kind, share = probabilities(row, columns, "n", row["n"], good), row["n"] / n
+        model = model | {"begin": [*model["begin"], kind], "kinds": [*model["kinds"], kind], "shares": [*model["shares"], share],
+                         "prior": max(model["prior"] - share, share)}
+        model = fit(patterns, columns, model, n, voted, steps)
     return model
 
 

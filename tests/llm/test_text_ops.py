@@ -58,34 +58,40 @@ def test_op1_em_finds_the_useful_rule(spark):
 
 
 def brute_em(rows, columns, steps):
-    """The same model fitted row by row in plain Python: prior, {rule: {vote: (P(v | good), P(v | bad))}}, posterior per row."""
-    n = len(rows)
-    begin = {}
+    """The same model fitted row by row in plain Python: share of good rows, number of kinds, P(good) per row."""
+    n, values = len(rows), (-1, 0, 1)
+    classes = [{}, {}]
     for c in columns:
-        rate = {v: sum(r[c] == v for r in rows) / n for v in (-1, 0, 1)}
-        tables = []
-        for good in (True, False):
-            share = 0.8 if good else 0.2
+        rate = {v: sum(r[c] == v for r in rows) / n for v in values}
+        for tables, good, share in zip(classes, (True, False), (0.8, 0.2)):
             p = {v: rate[v] * (0.8 if (v == 1) == good else 0.2) / share for v in (-1, 1)}
             p[0] = max(1 - p[1] - p[-1], 1e-4)
-            tables.append({v: x / sum(p.values()) for v, x in p.items()})
-        begin[c] = {v: (tables[0][v], tables[1][v]) for v in (-1, 0, 1)}
-    prior, like = 0.8, begin
-
-    def good(r):
-        odds = math.log(prior / (1 - prior))
-        for c in columns:
-            g, b = like[c][r[c]]
-            w = math.log(max(g, 1e-4) / max(b, 1e-4))
-            odds += min(w, 0) if r[c] == -1 else max(w, 0) if r[c] == 1 else w
-        return 1 / (1 + math.exp(-odds))
-
-    for _ in range(steps):
-        g = [good(r) for r in rows]
-        like = {c: {v: ((sum(x for r, x in zip(rows, g) if r[c] == v) + 10 * begin[c][v][0]) / (sum(g) + 10),
-                        (sum(1 - x for r, x in zip(rows, g) if r[c] == v) + 10 * begin[c][v][1]) / (n - sum(g) + 10)) for v in (-1, 0, 1)} for c in columns}
-        prior = min(0.99, max(0.5, (sum(g) + 8) / (n + 10)))
-    return prior, like, [good(r) for r in rows]
+            tables[c] = {v: x / sum(p.values()) for v, x in p.items()}
+    begin, shares = list(classes), [0.8, 0.2]
+
+    def of(r):
+        w = [s * math.prod(max(t[c][r[c]], 1e-4) for c in columns) for s, t in zip(shares, classes)]
+        return [x / sum(w) for x in w]
+
+    def table_of(weight, pseudo):
+        return {c: {v: (sum(w for r, w in zip(rows, weight) if r[c] == v) + 10 * pseudo[c][v]) / (sum(weight) + 10) for v in values} for c in columns}
+
+    def fit():
+        nonlocal classes, shares
+        for _ in range(steps):
+            each = list(zip(*map(of, rows)))
+            classes = [table_of(w, pseudo) for w, pseudo in zip(each, begin)]
+            shares = [(sum(w) + 10 * (0.8 if k == 0 else 0.2 / (len(each) - 1))) / (n + 10) for k, w in enumerate(each)]
+
+    fit()
+    while len(classes) <= len(columns):
+        missed = [float(sum(v == -1 for v in r.values()) >= 2 and of(r)[0] >= 0.5) for r in rows]
+        if sum(missed) <= 10:
+            break
+        kind, share = table_of(missed, begin[0]), sum(missed) / n
+        begin, classes, shares = [*begin, kind], [*classes, kind], [max(shares[0] - share, share), *shares[1:], share]
+        fit()
+    return shares[0], len(classes) - 1, [of(r)[0] for r in rows]
 
 
 def planted_votes(n):
@@ -101,24 +107,32 @@ def planted_votes(n):
     return truth, rows
 
 
-def test_op1_em_equals_plain_python_and_finds_planted_accuracies(spark):
-    columns = ["a", "b", "c", "d"]
-    truth, rows = planted_votes(3000)
-    patterns = spark.createDataFrame([(*k, n) for k, n in Counter(tuple(r[c] for c in columns) for r in rows).items()], "a byte, b byte, c byte, d byte, n long")
-    for steps in (1, 5):
-        model = op1.estimate(patterns, columns, steps)
-        prior, like, good = brute_em(rows, columns, steps)
-        assert model["prior"] == pytest.approx(prior, abs=1e-9)
-        for c in columns:
-            for v in (-1, 0, 1):
-                assert model["likelihood"][c][v] == pytest.approx(like[c][v], abs=1e-9)
-        got = {tuple(r[c] for c in columns): r.good for r in patterns.withColumn("good", op1.posterior(model)).collect()}
-        assert all(got[tuple(r[c] for c in columns)] == pytest.approx(g, abs=1e-9) for r, g in zip(rows, good))
+def two_kinds(n):
+    """Bad documents of two kinds, each with faults of its own; a rule that votes good on nearly all sees one kind only."""
+    import random
+
+    r = random.Random(4)
+    kinds = [r.choices((0, 1, 2), (88, 8, 4))[0] for _ in range(n)]
+    shown = {"b": (0.002, 0.98, 0.01), "c": (0.002, 0.98, 0.01), "d": (0.002, 0.98, 0.01), "e": (0.002, 0.01, 0.9), "f": (0.002, 0.01, 0.95)}
+    return [k == 0 for k in kinds], [{"a": -1 if r.random() < (0.01, 0.98, 0.01)[k] else 1} | {c: -1 if r.random() < p[k] else 0 for c, p in shown.items()} for k in kinds]
+
+
+@pytest.mark.parametrize("made, n_kinds", [(planted_votes, 1), (two_kinds, 2)])
+def test_op1_em_equals_plain_python_and_finds_planted_accuracies(spark, made, n_kinds):
+    truth, rows = made(3000)
+    columns = list(rows[0])
+    counted = Counter(tuple(r.values()) for r in rows)
+    patterns = spark.createDataFrame([(*k, n) for k, n in counted.items()], ", ".join(f"{c} byte" for c in columns) + ", n long").coalesce(1).cache()
+    model = op1.estimate(patterns, columns, 4)
+    prior, kinds, good = brute_em(rows, columns, 4)
+    assert model["prior"] == pytest.approx(prior, abs=1e-9) and len(model["kinds"]) == kinds
+    got = {tuple(r[c] for c in columns): r.good for r in patterns.withColumn("good", op1.posterior(model)).collect()}
+    assert all(got[tuple(r.values())] == pytest.approx(g, abs=1e-9) for r, g in zip(rows, good))
     model = op1.estimate(patterns, columns)
+    assert len(model["kinds"]) == n_kinds and model["prior"] == pytest.approx(sum(truth) / len(truth), abs=0.05)
     for c in columns:
         voted = [(r[c] == 1) == t for r, t in zip(rows, truth) if r[c]]
-        assert model[c] == pytest.approx(sum(voted) / len(voted), abs=0.05)
-    assert model["prior"] == pytest.approx(sum(truth) / len(truth), abs=0.05)
+        assert model[c] == pytest.approx(sum(voted) / len(voted), abs=0.06)
 
 
 def brute_targets(sizes, weights=(3, 1, 2)):
