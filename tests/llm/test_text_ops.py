@@ -200,6 +200,58 @@ def test_op3_learns_and_scores(spark, edge):
     assert out.count() == edge.count() and out.where("score IS NULL OR predicted IS NULL OR held_out IS NULL").count() == 0
 
 
+def brute_toxicity(rows, toxic, selected):
+    """doc_id -> score: n-grams as strings, counts in dictionaries, a dense matrix for the regression."""
+    import numpy as np
+
+    def grams(text):
+        t = " " + " ".join(text.lower().split()) + " "
+        out = set()
+        for n in op3.SIZES:
+            for i in range(len(t) - n + 1):
+                h = n
+                for c in t[i:i + n]:
+                    h = (h * int(op3._BASE) + ord(c)) % 2**64
+                out.add(((h ^ (h >> 29)) * int(op3._ODD) % 2**64) >> (64 - op3.BITS))
+        return out
+
+    found = {d: grams(t) for d, t, *_ in rows}
+    train = [d for d in found if zlib.crc32(str(d).encode()) % 4 != 2]
+    bad, good = Counter(), Counter()
+    for d in train:
+        (bad if d in toxic else good).update(found[d])
+    n_bad = sum(d in toxic for d in train)
+    ratio, gain = {}, {}
+    for g in bad.keys() | good.keys():
+        if bad[g] + good[g] >= 3:
+            p, q = (bad[g] + op3.ALPHA) / (n_bad + 2 * op3.ALPHA), (good[g] + op3.ALPHA) / (len(train) - n_bad + 2 * op3.ALPHA)
+            ratio[g] = math.log(p) - math.log(q)
+            gain[g] = abs(ratio[g]) * abs(p - q)
+    best = sorted(gain, key=lambda g: (-round(gain[g], 12), g))[:selected]
+    x = np.array([[ratio[g] if g in found[d] else 0.0 for g in best] for d in train])
+    y = np.array([float(d in toxic) for d in train])
+    w = np.zeros(len(best) + 1)
+    w[-1] = math.log(y.mean() / (1 - y.mean()))
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for t in range(1, op3.STEPS + 1):
+        error = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - y
+        grad = np.append(x.T @ error / len(y) + op3.L2 * w[:-1], error.mean())
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        w -= op3.RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return {d: 1 / (1 + math.exp(-(w[-1] + sum(w[i] * ratio[g] for i, g in enumerate(best) if g in found[d])))) for d in found}
+
+
+def test_op3_scores_equal_brute_force(spark):
+    """Ratios, weights and scores with all features; gains tie in small tables, so the choice of fewer is not compared."""
+    docs, labels, toxic = toxic_table(spark, 240)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = brute_toxicity(rows, toxic, 10**6)
+    got = {r.doc_id: r for r in op3.toxicity(docs, labels, selected=10**6).collect()}
+    assert got.keys() == want.keys()
+    for d, r in got.items():
+        assert r.score == pytest.approx(want[d], abs=1e-4) and r.predicted == int(r.score >= 0.3)
+
+
 def test_op3_held_out_labels_change_nothing(spark):
     docs, labels, _ = toxic_table(spark, 200)
     flipped = labels.selectExpr("doc_id", "CASE WHEN crc32(cast(cast(doc_id AS string) AS binary)) % 4 = 2 THEN 1 - toxic ELSE toxic END AS toxic")
