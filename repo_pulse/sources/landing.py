@@ -16,6 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repo_pulse.session import PARQUET_OPTIONS
+
 # Envelope schema and landing layout.
 LANDING_SCHEMA = "ingestion_date date, repo_full_name string, event_type string, payload string"
 REVIEW_LANDING_SCHEMA = ("ingestion_date date, repo_full_name string, pr_number bigint, "
@@ -138,4 +140,4 @@ def read_landing(spark: SparkSession, path: str, with_pr_number: bool = False, r
 
 def append_raw(raw: DataFrame, table_path: str) -> None:
     """Append rows to the raw table (parquet, append-only)."""
-    raw.write.mode("append").parquet(table_path)
+    raw.write.mode("append").options(**PARQUET_OPTIONS).parquet(table_path)
