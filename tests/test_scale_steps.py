@@ -74,3 +74,13 @@ def test_iso_z_fraction_only_when_there_is_one(spark):
     df = spark.createDataFrame([(t,) for t in times], "t string").select(fx.iso_z(F.col("t").cast("timestamp")).alias("a"), fx.iso_z(F.col("t").cast("timestamp_ntz")).alias("b"))
     want = ["1969-12-31T23:59:59.500000Z", "1969-12-31T23:59:59Z", "2024-01-01T00:00:00.000001Z", "2024-01-01T00:00:00Z", None]
     assert [r["a"] for r in df.collect()] == want and [r["b"] for r in df.collect()] == want
+
+
+def test_review_counts_do_not_store_their_reviews(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(fx, "stored", lambda s, n, b, d, **k: built.append(n))
+    raw = spark.createDataFrame([_review(r, 7, "2024-01-02T00:00:00Z") for r in range(3)], RAW)
+    monkeypatch.setattr(fx, "reviews_raw", lambda s, d: raw)
+    out = catalog.REGISTRY["int_pr_reviews_agg"](spark, "none")
+    assert "review_body" not in out._jdf.queryExecution().optimizedPlan().toString()  # columns the counts do not use are not dealt out
+    assert [r["review_count"] for r in out.collect()] == [3] and built == []
