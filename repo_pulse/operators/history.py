@@ -62,11 +62,14 @@ def scd2_step(open_: DataFrame, closed: DataFrame, snapshot: DataFrame, now: dt.
     start and the key's last close, and the old one closes there, so ranges of
     a key never overlap and ``valid_from < valid_to``. A version that would
     end where it began was never current and leaves the history, so
-    ``version_id`` stays unique. One full outer join of open versions with the
-    snapshot; versions closed before are only looked up for keys that have no
-    open one, and are not part of the result: they never change again.
+    ``version_id`` stays unique. The snapshot gets the last close of its keys,
+    which counts for keys that have no open version, and one full outer join
+    with the open versions follows: every joined row gives its old and its new
+    version at once, so the snapshot's plan runs once. Versions closed before
+    are not part of the result: they never change again.
     """
-    snap = as_versions(snapshot)
+    last_close = closed.groupBy("snapshot_key").agg(F.max("valid_to").alias("_last_close"))
+    snap = as_versions(snapshot).join(last_close, "snapshot_key", "left")
     o, s = open_.alias("o"), snap.alias("s")
     j = o.join(s, F.col("o.snapshot_key") == F.col("s.snapshot_key"), "full_outer")
     has_o, has_s = F.col("o.version_id").isNotNull(), F.col("s.version_id").isNotNull()
@@ -75,20 +78,16 @@ def scd2_step(open_: DataFrame, closed: DataFrame, snapshot: DataFrame, now: dt.
     start = F.greatest(F.col("s.updated_at"), F.col("o.valid_from"))  # NULL open version: the new one's own time
     old_valid_to = (F.when(newer, start)
                      .when(has_o & ~has_s & F.lit(invalidate_hard_deletes), F.greatest(ts_now, F.col("o.valid_from"))))
-    old_rows = j.filter(has_o).select(*[F.col("o." + c).alias(c) for c in HISTORY_COLS[:-1]],
-                                      old_valid_to.alias("valid_to"))
-    old_rows = old_rows.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
-    new_rows = j.filter(has_s & (~has_o | newer)).select(
-        *[F.col("s." + c).alias(c) for c in HISTORY_COLS if c != "valid_from"], start.alias("valid_from"), has_o.alias("_open"))
-    unseen = new_rows.filter(~F.col("_open")).select("snapshot_key")
-    last_close = (closed.join(unseen, "snapshot_key", "left_semi")
-                  .groupBy("snapshot_key").agg(F.max("valid_to").alias("_last_close")))
-    start = F.greatest(F.col("valid_from"), F.col("_last_close"))
-    new_rows = (new_rows.join(last_close, "snapshot_key", "left")
-                .withColumn("valid_from", start)
-                .withColumn("version_id", _version_id(F.col("snapshot_key"), F.col("valid_from")))
-                .select(*HISTORY_COLS))
-    return old_rows.unionByName(new_rows)
+    last = F.when(~has_o, F.col("s._last_close"))
+    new_from = F.greatest(start, last)
+    old = F.struct(*[F.col("o." + c).alias(c) for c in HISTORY_COLS[:-1]], old_valid_to.alias("valid_to"))
+    new = F.struct(*[F.col("s." + c).alias(c) for c in HISTORY_COLS[:-3]],
+                   _version_id(F.col("s.snapshot_key"), new_from).alias("version_id"), new_from.alias("valid_from"),
+                   F.lit(None).cast("timestamp").alias("valid_to"))
+    versions = F.array(
+        F.when(has_o & (old_valid_to.isNull() | (old_valid_to > F.col("o.valid_from"))), old),
+        F.when(has_s & (~has_o | newer), new))
+    return j.select(F.inline(F.array_compact(versions)))
 
 
 def scd2_from_history(versions: DataFrame) -> DataFrame:

@@ -6,11 +6,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from repo_pulse.operators import history as hist
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators import upsert as up
 from repo_pulse.plans import catalog
 from repo_pulse.session import SPLIT_BYTES, ensure_session_settings
 from repo_pulse.sources import fixtures as fx
+from inputs import SF_SMALL
 
 
 class _Frame:
@@ -84,3 +86,29 @@ def test_review_counts_do_not_store_their_reviews(spark, monkeypatch):
     out = catalog.REGISTRY["int_pr_reviews_agg"](spark, "none")
     assert "review_body" not in out._jdf.queryExecution().optimizedPlan().toString()  # columns the counts do not use are not dealt out
     assert [r["review_count"] for r in out.collect()] == [3] and built == []
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_snapshot_merge_joins_once(spark, tmp_path):
+    cols = "repo_full_name string, pr_number bigint, pull_request_id bigint, pull_request_state string, pull_request_title string, author_login string, is_draft boolean, created_at timestamp, updated_at timestamp, closed_at timestamp, merged_at timestamp"
+    day = lambda d: dt.datetime(2024, 1, d)
+    snap = lambda *rows: spark.createDataFrame([("o/a", n, n, "open", "t", "u", False, day(1), day(d), None, None) for n, d in rows], cols)
+    h = up.commit_version(hist.scd2_merge(None, snap((1, 2), (2, 2), (3, 2)), day(3)), "t_once")
+    h = up.commit_version(hist.scd2_merge(h, snap((1, 5), (3, 2)), day(6)), "t_once")
+    out = hist.scd2_merge(h, snap((1, 5), (2, 2), (4, 7)), day(8))
+    assert _plan(out).count("Join FullOuter") == 1
+    end = lambda t: t.day if t else None
+    got = sorted(((r["pr_number"], r["valid_from"].day, end(r["valid_to"])) for r in out.collect()), key=str)
+    assert got == [(1, 2, 5), (1, 5, None), (2, 2, 6), (2, 6, None), (3, 2, 8), (4, 7, None)]
+
+
+def test_pulls_without_every_tenth_key_are_read_from_the_whole_table(spark, monkeypatch):
+    want = fx.build_pulls_raw(spark, SF_SMALL, drop_mod10=True)
+    stored, built = fx.stored, []
+    monkeypatch.setattr(fx, "stored", lambda s, n, b, d, **k: built.append(k) or stored(s, n, b, d, **k))
+    got = fx.pulls_raw(spark, SF_SMALL, drop_mod10=True)
+    assert built == [{"versions": (0, 1)}]
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
