@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from repo_pulse.operators import history as hist
+from repo_pulse.operators import mart
 from repo_pulse.operators import staging as stg
 from repo_pulse.operators import upsert as up
 from repo_pulse.plans import catalog
@@ -92,6 +93,28 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+PR_FACT = "repo_full_name string, created_at timestamp, merged_at timestamp, time_to_first_review_hours bigint, time_to_merge_hours bigint"
+ISSUE_FACT = "repo_full_name string, created_at timestamp, updated_at timestamp, closed_at timestamp"
+
+
+def test_mart_reads_each_fact_once(spark, tmp_path):
+    t = lambda d: dt.datetime(2024, 2, d, 12)
+    spark.createDataFrame([("o/a", t(27), t(28), 2, 24), ("o/a", t(27), None, None, None), ("o/a", None, t(28), 5, 6),
+                           (None, t(26), t(27), 1, 1)], PR_FACT).write.parquet(str(tmp_path / "pr"))
+    spark.createDataFrame([("o/a", t(27), t(27), t(29)), ("o/b", t(25), t(25), t(20)), ("o/c", None, t(27), t(28)),
+                           ("o/a", t(28), None, None)], ISSUE_FACT).write.parquet(str(tmp_path / "issue"))
+    fp, fi = (spark.read.parquet(str(tmp_path / name)) for name in ("pr", "issue"))
+    assert _plan(mart.day_sums(fp, fi)).count("Relation [") == 2
+    out = mart.mart_repo_health_daily(fp, fi, dt.date(2024, 2, 29), stale_days=1)
+    assert not [f for f in out.inputFiles() if f.endswith(".parquet") and str(tmp_path) in f]  # bounds, repos and rows come from the day sums
+    rows = {(r["repo_full_name"], r["metric_date"].day): tuple(r)[2:] for r in out.collect()}
+    assert set(rows) == {(repo, day) for repo in ("o/a", "o/b", "o/c", None) for day in range(25, 30)}
+    assert rows["o/a", 27] == (2, 0, 1, 0, 2.0, None)
+    assert rows["o/a", 28] == (0, 2, 2, 0, None, 15.0)
+    assert rows["o/a", 29] == (0, 0, 1, 0, None, None)
+    assert all(v == (0, 0, 0, 0, None, None) for (repo, _), v in rows.items() if repo != "o/a")
+
+
 def test_snapshot_merge_joins_once(spark, tmp_path):
     cols = "repo_full_name string, pr_number bigint, pull_request_id bigint, pull_request_state string, pull_request_title string, author_login string, is_draft boolean, created_at timestamp, updated_at timestamp, closed_at timestamp, merged_at timestamp"
     day = lambda d: dt.datetime(2024, 1, d)
