@@ -115,6 +115,15 @@ def test_mart_reads_each_fact_once(spark, tmp_path):
     assert all(v == (0, 0, 0, 0, None, None) for (repo, _), v in rows.items() if repo != "o/a")
 
 
+@pytest.mark.parametrize("name", ["mart_repo_health_daily"])
+def test_queries_that_read_a_fact_once_store_no_model(spark, name, monkeypatch):
+    stored, built = fx.stored, []
+    monkeypatch.setattr(fx, "is_stored", lambda *_: False)
+    monkeypatch.setattr(fx, "stored", lambda s, n, b, d, **k: built.append(n) or stored(s, n, b, d, **k))
+    assert catalog.REGISTRY[name](spark, SF_SMALL).count() > 0
+    assert built and not [n for n in built if n.startswith("model-")]
+
+
 def test_snapshot_merge_joins_once(spark, tmp_path):
     cols = "repo_full_name string, pr_number bigint, pull_request_id bigint, pull_request_state string, pull_request_title string, author_login string, is_draft boolean, created_at timestamp, updated_at timestamp, closed_at timestamp, merged_at timestamp"
     day = lambda d: dt.datetime(2024, 1, d)
