@@ -115,7 +115,7 @@ def test_mart_reads_each_fact_once(spark, tmp_path):
     assert all(v == (0, 0, 0, 0, None, None) for (repo, _), v in rows.items() if repo != "o/a")
 
 
-@pytest.mark.parametrize("name", ["mart_repo_health_daily"])
+@pytest.mark.parametrize("name", ["calendar", "mart_repo_health_daily", "repo_list", "date_bounds"])
 def test_queries_that_read_a_fact_once_store_no_model(spark, name, monkeypatch):
     stored, built = fx.stored, []
     monkeypatch.setattr(fx, "is_stored", lambda *_: False)
@@ -124,6 +124,16 @@ def test_queries_that_read_a_fact_once_store_no_model(spark, name, monkeypatch):
     assert built and not [n for n in built if n.startswith("model-")]
 
 
+def test_calendar_is_taken_from_first_days(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([("o/a", dt.datetime(2024, 2, 28, 5)), ("o/a", dt.datetime(2024, 2, 29)), (None, None)], "repo_full_name string, created_at timestamp").write.parquet(str(tmp_path / "pr"))
+    fact = spark.read.parquet(str(tmp_path / "pr"))
+    monkeypatch.setattr(catalog, "_fact_pr_once", lambda s, d: fact)
+    monkeypatch.setattr(catalog, "_fact_issue_once", lambda s, d: fact.limit(0))
+    out = catalog.REGISTRY["calendar"](spark, "none")
+    assert not [f for f in out.inputFiles() if str(tmp_path) in f]
+    assert sorted((r["repo_full_name"] or "", r["metric_date"].day) for r in out.collect()) == [("", 1), ("", 28), ("", 29), ("o/a", 1), ("o/a", 28), ("o/a", 29)]
+
+
 def test_snapshot_merge_joins_once(spark, tmp_path):
     cols = "repo_full_name string, pr_number bigint, pull_request_id bigint, pull_request_state string, pull_request_title string, author_login string, is_draft boolean, created_at timestamp, updated_at timestamp, closed_at timestamp, merged_at timestamp"
     day = lambda d: dt.datetime(2024, 1, d)
